@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference is one batch run; it has no ``readStream``, watermark, time
+window or state, so no streaming operator is built.  Every operator in this
+package is a pure ``DataFrame -> DataFrame`` function and therefore also
+applies unchanged inside ``foreachBatch`` of a file-source stream, should new
+metadata files ever arrive incrementally.
+"""
