@@ -89,7 +89,7 @@ def _digest_of(images: DataFrame) -> DataFrame:
 def scan_csv_metadata(s, sf):
     path = shared_scratch(s, "meta-csv")
     src_meta.write_metadata_csv(C.meta_view(s, sf), path)
-    return src_meta.read_metadata_csv(s, path)
+    return cleaning.cast_metadata(cleaning.project_metadata(src_meta.read_metadata_csv(s, path)))
 
 
 @query

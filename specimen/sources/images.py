@@ -12,6 +12,12 @@ from specimen.functions import paths as P
 IMAGE_GLOB = "*.{jpg,JPG,jpeg,JPEG,Jpg,Jpeg}"
 
 
+def local_path(c) -> F.Column:
+    """``file:/x``, ``file:///x`` -> ``/x`` so listings, image origins and
+    metadata paths compare equal; other schemes (hdfs://, s3a://) are kept."""
+    return F.regexp_replace(c, r"^file:/+", "/")
+
+
 def list_files(spark: SparkSession, roots: list[str], glob: str | None = None) -> DataFrame:
     """(path, length) of every file under ``roots``, recursively.
 
@@ -23,8 +29,7 @@ def list_files(spark: SparkSession, roots: list[str], glob: str | None = None) -
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.load(roots).select("path", "length")
-    # strip the URI scheme so paths compare with plain file names
-    return df.withColumn("path", F.regexp_replace("path", r"^file:", ""))
+    return df.withColumn("path", local_path("path"))
 
 
 def list_images(spark: SparkSession, roots: list[str]) -> DataFrame:
@@ -43,7 +48,7 @@ def read_images(spark: SparkSession, roots: list[str], glob: str | None = IMAGE_
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.load(roots)
-    path = F.regexp_replace("image.origin", r"^file:", "")
+    path = local_path("image.origin")
     return df.select(
         path.alias("path"),
         P.name_stem(path).alias("image_id"),
