@@ -22,10 +22,12 @@ def class_deficit(df: DataFrame, column: str = "dx") -> DataFrame:
     """
     per = df.groupBy(null_label(column).alias("value")).agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("image_id").alias("n_images"))
-    majority = per.select(F.max("n")).scalar()
+    # the majority count is merged from per-partition maxima of the class table
+    per = with_ordinal(per, [F.desc("n"), F.asc("value")], name="_r",
+                       totals={"majority_n": ("n", "max")})
+    majority = F.col("majority_n")
     return per.select(
-        "value", "n", majority.alias("majority_n"), (majority - F.col("n")).alias("deficit"),
-        "n_images",
+        "value", "n", "majority_n", (majority - F.col("n")).alias("deficit"), "n_images",
         F.greatest(majority - F.col("n") - F.col("n_images") * N_VARIANTS, F.lit(0))
         .alias("unfilled"))
 

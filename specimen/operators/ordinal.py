@@ -7,9 +7,14 @@ Here the rows are range-partitioned and sorted by (group, order) across all
 tasks; each task numbers its own rows (``monotonically_increasing_id`` encodes
 partition and local position); a small table with one row per
 (partition, group) gives each group's offset in earlier partitions; a join
-adds it back.  The sorted, numbered rows are checkpointed to the shared
-checkpoint folder first, so both uses see the same numbering even after a
-recomputation or an executor loss.
+adds it back.
+
+The range repartition has an explicit partition count, so AQE does not
+coalesce it and both reads of it (the counts and the join-back) see the same
+partitions; its bounds are fixed in the shuffle dependency and each partition
+is sorted by the keys, so a partition recomputed after an executor loss gets
+the same numbers (rows tied on every key may swap positions, as with
+``row_number``).
 """
 
 from __future__ import annotations
@@ -19,7 +24,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from specimen.session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33
 
@@ -29,32 +33,41 @@ def _as_col(c) -> Column:
 
 
 def with_ordinal(df: DataFrame, order_by: Sequence, group_by: Sequence[str] = (),
-                 name: str = "ordinal", count_name: str | None = None) -> DataFrame:
+                 name: str = "ordinal", count_name: str | None = None,
+                 partitions: int | None = None,
+                 totals: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """Add ``name`` = 1-based position in ``order_by`` order within ``group_by``.
 
     ``order_by`` items are column names or sort expressions (``F.desc(...)``).
     Ties get distinct, arbitrary positions (as ``row_number``).  With
-    ``count_name`` the group size is added too.
+    ``count_name`` the group size is added too.  ``totals`` maps an output
+    name to (column, 'sum' | 'max' | 'min'): the group's aggregate of that
+    column, merged from per-partition partial aggregates -- so a report
+    needs no second pass over its input for a grand total.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     groups = list(group_by)
     keys = [F.col(g).asc_nulls_first() for g in groups] + [_as_col(c) for c in order_by]
-    tagged = (df.orderBy(*keys)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
               .withColumn("_loc", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1))
-              .drop("_mid")
-              .checkpoint(eager=True))
+              .drop("_mid"))
     # one row per (partition, group): bounded by partitions + groups
+    fns = {"sum": F.sum, "max": F.max, "min": F.min}
+    totals = totals or {}
     per_part = tagged.groupBy("_pid", *groups).agg(
-        F.count(F.lit(1)).alias("_cnt"), F.min("_loc").alias("_first"))
+        F.count(F.lit(1)).alias("_cnt"), F.min("_loc").alias("_first"),
+        *[fns[how](c).alias(f"_t_{out}") for out, (c, how) in totals.items()])
     w = Window.partitionBy(*groups).orderBy("_pid") if groups else Window.orderBy("_pid")
     offsets = per_part.withColumn(
         "_before",
         F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    wt = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     if count_name:
-        wt = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
         offsets = offsets.withColumn(count_name, F.sum("_cnt").over(wt))
+    for out, (_, how) in totals.items():
+        offsets = offsets.withColumn(out, fns[how](f"_t_{out}").over(wt)).drop(f"_t_{out}")
     renamed = offsets.drop("_cnt").withColumnRenamed("_pid", "_o_pid")
     for i, g in enumerate(groups):
         renamed = renamed.withColumnRenamed(g, f"_o_g{i}")

@@ -21,11 +21,6 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
 
 
-def _total(df: DataFrame):
-    """Row count as a scalar subquery (no cross join, no driver round trip)."""
-    return df.select(F.count(F.lit(1))).scalar()
-
-
 def row_count(df: DataFrame) -> DataFrame:
     """(n_rows) (A1)."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
@@ -60,10 +55,10 @@ def class_frequency(df: DataFrame, column: str) -> DataFrame:
     rank orders by count descending, ties by value.
     """
     counts = df.groupBy(null_label(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    total = _total(df)
-    out = counts.select("value", "n", percent_of_total("n", total).alias("percent"),
-                        format_percent("n", total).alias("percent_text"))
-    return with_ordinal(out, [F.desc("n"), F.asc("value")], name="rank")
+    ranked = with_ordinal(counts, [F.desc("n"), F.asc("value")], name="rank",
+                          totals={"_total": ("n", "sum")})
+    return ranked.select("value", "n", percent_of_total("n", "_total").alias("percent"),
+                         format_percent("n", "_total").alias("percent_text"), "rank")
 
 
 def frequency_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -77,11 +72,13 @@ def frequency_report(df: DataFrame, columns: list[str] | None = None) -> DataFra
         F.struct(F.lit(c).alias("column_name"), null_label(c).alias("value")) for c in cols]))
         .alias("p")).select("p.*")
     counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    total = _total(df)
-    out = counts.select("column_name", upper_title("column_name").alias("title"), "value", "n",
-                        percent_of_total("n", total).alias("percent"),
-                        format_percent("n", total).alias("percent_text"))
-    return with_ordinal(out, [F.desc("n"), F.asc("value")], group_by=["column_name"], name="rank")
+    # every column has one value per row (nulls are a class): the column's sum
+    # of counts is the row count
+    ranked = with_ordinal(counts, [F.desc("n"), F.asc("value")], group_by=["column_name"],
+                          name="rank", totals={"_total": ("n", "sum")})
+    return ranked.select("column_name", upper_title("column_name").alias("title"), "value", "n",
+                         percent_of_total("n", "_total").alias("percent"),
+                         format_percent("n", "_total").alias("percent_text"), "rank")
 
 
 def column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
