@@ -76,6 +76,21 @@ def digest(img: np.ndarray | None) -> dict:
 
 RowFn = Callable[[dict], Iterable[dict]]
 
+ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+IMAGE_BATCH_ROWS = 64
+
+
+def cap_arrow_batch(spark, rows: int = IMAGE_BATCH_ROWS) -> None:
+    """Keep Arrow input batches small when rows carry images.
+
+    Spark cuts Arrow batches by row count only (10,000 by default); with
+    decoded photos of ~1 MB that would be ~10 GB per batch.  The cap is
+    lowered (never raised) for the session.
+    """
+    current = int(spark.conf.get(ARROW_BATCH_CONF, "10000"))
+    if current <= 0 or current > rows:
+        spark.conf.set(ARROW_BATCH_CONF, str(rows))
+
 
 def map_rows(df: DataFrame, row_fn: RowFn, out_schema: T.StructType,
              batch_rows: int = 32) -> DataFrame:
@@ -109,4 +124,6 @@ def map_rows(df: DataFrame, row_fn: RowFn, out_schema: T.StructType,
 
     from specimen.session import ship_package
     ship_package(df.sparkSession)
+    if "data" in df.columns:
+        cap_arrow_batch(df.sparkSession)
     return df.mapInArrow(run, out_schema)

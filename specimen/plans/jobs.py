@@ -16,43 +16,73 @@ from pyspark.sql import functions as F
 
 from specimen.operators import catalog as cat
 from specimen.operators import cleaning, profile, report
+from specimen.functions import paths as P
 from specimen.operators.images import augment_variants, preprocess_images
-from specimen.schema import DEFAULT_SAMPLE_FRACTION, REPORT_COLUMNS
+from specimen.schema import DEFAULT_SAMPLE_FRACTION, REPORT_COLUMNS, STATUS_SKIPPED
 from specimen.sources import images as src_images
 from specimen.sources import metadata as src_meta
 
 _PIXELS = ["height", "width", "n_channels", "data"]
 
 
-def attach_images(rows: DataFrame, images: DataFrame, how: str = "left") -> DataFrame:
-    """Rows plus the decoded pixels of the file at ``img_path``.
+def select_images(rows: DataFrame, images: DataFrame) -> DataFrame:
+    """Decoded images of the distinct files the rows point at: (img_path, pixels).
 
-    ``images`` has ``path`` and the image fields (``read_images`` output).
-    ``how='inner'`` keeps only rows whose file was read (F6).
+    The path list is deduplicated first (a partial aggregate: a path repeated
+    by a third of all rows becomes one row before any shuffle), so every
+    image is decoded and processed once however many rows refer to it.  The
+    semi join lets AQE broadcast the path list when it is small and stream
+    the image table without shuffling pixels.
     """
+    paths = rows.select("img_path").filter(F.col("img_path").isNotNull()).distinct()
     pix = images.select(F.col("path").alias("img_path"), *_PIXELS)
-    return rows.join(pix, on="img_path", how=how)
+    return pix.join(paths, on="img_path", how="left_semi")
+
+
+def augmented_images(rows: DataFrame, images: DataFrame) -> DataFrame:
+    """The nine variants of every distinct image file of the rows (I6-I8):
+    (img_path, variant, variant_rank, variant_path, pixels, ok, error)."""
+    out = augment_variants(select_images(rows, images))
+    return out.withColumn("variant_path", P.variant_path("img_path", F.col("variant")))
 
 
 def augment_dataset(clean: DataFrame, images: DataFrame) -> DataFrame:
-    """Nine variants of every existing image of the cleaned rows (I8).
+    """Per cleaned row and variant: whether the variant was made (I8).
 
-    Rows: image_id, img_path, node, variant, variant_rank, ok, error,
-    variant_path and pixels.  ``node`` is the reference's two-way split of the
-    path list (I18), kept as a column for the totals (A12).
+    Rows: image_id, img_path, node, variant, variant_rank, variant_path, ok,
+    error -- pixels live in ``augmented_images`` (one copy per file).  ``node``
+    is the reference's two-way split of the path list (I18), kept for the
+    totals (A12); rows whose file could not be read get no variant rows, as
+    the reference skips paths that do not exist.
     """
-    rows = cat.split_two_nodes(clean.select("image_id", "img_path"), "img_path")
-    existing = attach_images(rows.drop("ordinal"), images, how="inner")
-    out = augment_variants(existing)
-    from specimen.functions import paths as P
-    return out.withColumn("variant_path", P.variant_path("img_path", F.col("variant")))
+    rows = cat.split_two_nodes(clean.select("image_id", "img_path"), "img_path").drop("ordinal")
+    made = augmented_images(clean, images).select(
+        "img_path", "variant", "variant_rank", "variant_path", "ok", "error")
+    return rows.join(made, on="img_path", how="inner")
 
 
-def preprocess_dataset(rows: DataFrame, images: DataFrame) -> DataFrame:
-    """Preprocess the image of every row (I21): the rows plus ``status``,
-    ``error`` and the 128x128 pixels.  A row without a readable file is
-    SKIPPED (no file) or FAILED (unreadable)."""
-    return preprocess_images(attach_images(rows, images, how="left"))
+def preprocessed_images(rows: DataFrame, images: DataFrame) -> DataFrame:
+    """Preprocessing of every distinct image file of the rows (I20):
+    (img_path, status, error, 128x128 pixels)."""
+    return preprocess_images(select_images(rows, images))
+
+
+def preprocess_dataset(rows: DataFrame, images: DataFrame,
+                       processed: DataFrame | None = None) -> DataFrame:
+    """The rows plus ``status``, ``error`` and the result size.
+
+    A row whose path is null or not among the images is SKIPPED; an
+    unreadable file is FAILED.  ``processed`` may be a stored
+    ``preprocessed_images`` result, otherwise it is computed.
+    """
+    done = processed if processed is not None else preprocessed_images(rows, images)
+    res = done.select("img_path", F.col("status").alias("_status"), F.col("error").alias("_error"),
+                      "height", "width")
+    out = rows.join(res, on="img_path", how="left")
+    return out.select(
+        *[c for c in rows.columns],
+        F.coalesce("_status", F.lit(STATUS_SKIPPED)).alias("status"),
+        F.col("_error").alias("error"), "height", "width")
 
 
 def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_dir: str,
@@ -71,12 +101,14 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
     quarantine.write.mode("overwrite").parquet(f"{out_dir}/quarantine")
 
     pixels = src_images.read_images(spark, parts)
-    augmented = augment_dataset(clean, pixels)
-    src_images.write_image_table(augmented, f"{out_dir}/variants", partition_by=["variant"])
-    variants = spark.read.parquet(f"{out_dir}/variants")
-    processed = preprocess_dataset(clean, pixels)
-    src_images.write_image_table(processed, f"{out_dir}/preprocessed")
-    processed = spark.read.parquet(f"{out_dir}/preprocessed")
+    src_images.write_image_table(augmented_images(clean, pixels), f"{out_dir}/variants",
+                                 partition_by=["variant"])
+    variant_files = spark.read.parquet(f"{out_dir}/variants")
+    rows = cat.split_two_nodes(clean.select("image_id", "img_path"), "img_path").drop("ordinal")
+    augmented = rows.join(variant_files.select("img_path", "variant", "ok"), "img_path")
+    src_images.write_image_table(preprocessed_images(clean, pixels), f"{out_dir}/preprocessed")
+    stored = spark.read.parquet(f"{out_dir}/preprocessed")
+    processed = preprocess_dataset(clean, pixels, processed=stored)
 
     return {
         "cleaning_delta": cleaning.cleaning_delta(enriched),
@@ -85,9 +117,9 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
         "frequency_report": profile.frequency_report(clean, REPORT_COLUMNS),
         "describe_age": profile.describe_numeric(clean, "age"),
         "variant_counts": report.variant_counts(
-            variants.filter("ok").select(F.col("variant_path").alias("path"))),
-        "augment_totals": report.augment_totals(variants),
+            variant_files.filter("ok").select(F.col("variant_path").alias("path"))),
+        "augment_totals": report.augment_totals(augmented),
         "status_counts": report.status_counts(processed),
         "success_rate": report.success_rate(processed),
-        "summary": report.run_summary(processed.drop(*_PIXELS), fraction),
+        "summary": report.run_summary(processed, fraction),
     }

@@ -274,7 +274,7 @@ SELECT image_id, img_path, status,
        CASE WHEN status = 'SUCCESS' THEN 128 END AS width FROM v_status""", _JOB)
 register("run_summary", f"""
 SELECT count(*) AS n_rows,
-       'img_path, image_id, dx, dx_type, sex, age, localization, status, error' AS columns,
+       'image_id, dx, dx_type, sex, age, localization, img_path, status, error' AS columns,
        {_d(0.05)} AS sample_fraction FROM v_clean""")
 register("variant_counts", """
 SELECT variant_rank, variant, n FROM (

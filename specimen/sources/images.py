@@ -61,8 +61,11 @@ def read_images(spark: SparkSession, roots: list[str], glob: str | None = IMAGE_
 
 def write_image_table(images: DataFrame, path: str, partition_by: list[str] | None = None,
                       mode: str = "overwrite") -> None:
-    """Write derived images as parquet, never over the inputs."""
-    w = images.write.mode(mode)
+    """Write derived images as parquet, never over the inputs.
+
+    Pixels are stored raw (no lossy re-encode, M22) and compressed with zstd.
+    """
+    w = images.write.mode(mode).option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

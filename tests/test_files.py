@@ -75,7 +75,8 @@ def test_prepare_dataset_end_to_end(spark, image_root):
     pre = spark.read.parquet(f"{out}/preprocessed")
     for r in pre.filter(F.col("status") == "SUCCESS").collect():
         assert (r["height"], r["width"], r["n_channels"]) == (128, 128, 3)
-    img2 = pre.filter(F.col("image_id") == "IMG_2").first()
+    assert pre.count() == 5                               # one row per distinct file
+    img2 = pre.filter(F.col("img_path").endswith("/IMG_2.JPG")).first()
     exp = K.preprocess(_synth_pixels(2)[:, :, ::-1])
     assert bytes(img2["data"]) == exp.tobytes()
 
@@ -89,7 +90,8 @@ def test_prepare_dataset_end_to_end(spark, image_root):
     assert totals[1]["originals"] == 2 and totals[2]["originals"] == 3
 
     variants = spark.read.parquet(f"{out}/variants")
-    v = variants.filter((F.col("image_id") == "IMG_2") & (F.col("variant") == "_rot90")).first()
+    v = variants.filter(F.col("img_path").endswith("/IMG_2.JPG") &
+                        (F.col("variant") == "_rot90")).first()
     rot = np.frombuffer(v["data"], np.uint8).reshape(v["height"], v["width"], 3)
     assert (rot == K.rotate(_synth_pixels(2)[:, :, ::-1], 90)).all()
     assert v["variant_path"].endswith("IMG_2_rot90.JPG")
