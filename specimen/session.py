@@ -69,8 +69,9 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``specimen`` importable by Python workers (once per application).
 
-    The package is zipped into the shared checkpoint folder and added with
-    ``addPyFile``, which is how a cluster receives it as well.
+    The package is zipped on the driver and added with ``addPyFile``, the
+    same mechanism as ``spark-submit --py-files``; Spark copies it to every
+    executor.  (Only code goes through this folder, never data.)
     """
     sc = spark.sparkContext
     app = sc.applicationId
@@ -79,8 +80,7 @@ def ship_package(spark: SparkSession) -> None:
     import shutil
     import specimen
     pkg_dir = os.path.dirname(os.path.abspath(specimen.__file__))
-    target = shared_scratch(spark, "pyfiles")
-    os.makedirs(target, exist_ok=True)
+    target = tempfile.mkdtemp(prefix="specimen-pyfiles-")
     archive = shutil.make_archive(os.path.join(target, "specimen"), "zip",
                                   root_dir=os.path.dirname(pkg_dir), base_dir="specimen")
     sc.addPyFile(archive)
