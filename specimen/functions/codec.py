@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import struct
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,6 +77,21 @@ def digest(img: np.ndarray | None) -> dict:
             "chk_b": int((wt * b).sum())}
 
 
+def png_encode(img: np.ndarray) -> bytes:
+    """Lossless PNG of a BGR (3 channels) or grey (1 channel) image."""
+    rgb = np.ascontiguousarray(img[:, :, ::-1] if img.shape[2] == 3 else img, dtype=np.uint8)
+    h, w, c = rgb.shape
+    raw = b"".join(b"\x00" + rgb[y].tobytes() for y in range(h))
+
+    def chunk(tag: bytes, data: bytes) -> bytes:
+        return (struct.pack(">I", len(data)) + tag + data +
+                struct.pack(">I", zlib.crc32(tag + data) & 0xFFFFFFFF))
+
+    ihdr = struct.pack(">IIBBBBB", w, h, 8, 2 if c == 3 else 0, 0, 0, 0)
+    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", ihdr) +
+            chunk(b"IDAT", zlib.compress(raw, 6)) + chunk(b"IEND", b""))
+
+
 RowFn = Callable[[dict], Iterable[dict]]
 
 ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -553,6 +553,19 @@ def _px_query(key: str, ctes: list[str], out: str, keys: str = "image_id") -> No
     register(key, digest_sql(out, keys), ",\n".join(ctes))
 
 
+register("scan_image_pixels", """
+SELECT image_id,
+       CASE WHEN k % 50 = 13 THEN NULL ELSE height END AS height,
+       CASE WHEN k % 50 = 13 THEN NULL ELSE width END AS width,
+       CASE WHEN k % 50 = 13 THEN NULL ELSE sum_r END AS sum_r,
+       CASE WHEN k % 50 = 13 THEN NULL ELSE sum_g END AS sum_g,
+       CASE WHEN k % 50 = 13 THEN NULL ELSE sum_b END AS sum_b,
+       CASE WHEN k % 50 = 13 THEN NULL ELSE chk_r END AS chk_r,
+       CASE WHEN k % 50 = 13 THEN NULL ELSE chk_g END AS chk_g,
+       CASE WHEN k % 50 = 13 THEN NULL ELSE chk_b END AS chk_b
+FROM (SELECT *, CAST(regexp_extract(image_id, '(\\d+)$', 1) AS BIGINT) AS k FROM (""" +
+         digest_sql("px_rect") + """))
+WHERE k % 50 <> 29""", PX_RECT)
 _px_query("img_rotate_90", [PX_RECT, rot_sql("o", "px_rect", 90)], "o")
 _px_query("img_rotate_180", [PX_RECT, rot_sql("o", "px_rect", 180)], "o")
 _px_query("img_rotate_270", [PX_RECT, rot_sql("o", "px_rect", 270)], "o")

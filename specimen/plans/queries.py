@@ -56,19 +56,19 @@ def _clean(s, sf):
     return cleaning.clean_and_enrich(_raw(s, sf), _resolved(s, sf))
 
 
-def _spread(s, images: DataFrame) -> DataFrame:
-    """Carrier images come from one small parquet file: hash-spread them over
-    the shuffle partitions before pixel work (explicit count: not coalesced)."""
-    n = int(s.conf.get("spark.sql.shuffle.partitions"))
-    return images.repartition(n, "image_id")
+def _parts(s) -> int:
+    """Carrier images come from one small parquet file: their ids are spread
+    over the shuffle partitions before pixels are generated (an explicit
+    count, so AQE does not coalesce the pixel work back into one task)."""
+    return int(s.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _rect(s, sf):
-    return _spread(s, C.rect_images(s, sf))
+    return C.rect_images(s, sf, partitions=_parts(s))
 
 
 def _synth(s, sf, junk=False):
-    return _spread(s, C.synth_images(s, sf, with_junk=junk))
+    return C.synth_images(s, sf, with_junk=junk, partitions=_parts(s))
 
 
 def _image_files(s, sf, pixels: DataFrame) -> DataFrame:
@@ -107,6 +107,25 @@ def write_image_table(s, sf):
                                   "data", "ok"))
 
 
+@query
+def scan_image_pixels(s, sf):
+    """S3: the rect images written as PNG files (unreadable bytes for
+    vec_id % 50 = 13, zero bytes for vec_id % 50 = 29), decoded back by
+    Spark's image source, reduced to digests."""
+    folder = shared_scratch(s, "png")
+    imgs = C.rect_images(s, sf, partitions=_parts(s))
+    k = F.regexp_extract("image_id", r"(\d+)$", 1).cast("long")
+    imgs = imgs.select(
+        "image_id",
+        *[F.when(k % 50 == 13, F.lit(-1)).otherwise(F.col(c)).alias(c)
+          for c in ("height", "width", "n_channels")],
+        F.when(k % 50 == 13, F.lit(b"not an image at all")).when(k % 50 == 29, F.lit(b""))
+        .otherwise(F.col("data")).alias("data"))
+    src_images.write_image_files(imgs, folder).write.format("noop").mode("overwrite").save()
+    decoded = src_images.read_images(s, [folder], glob="*.png")
+    return ops.image_digest(decoded.select("image_id", "height", "width", "n_channels", "data"))
+
+
 @query
 def locate_file_ci(s, sf):
     return cat.locate_file_ci(C.listing_view(s, sf))

@@ -175,25 +175,33 @@ def synth_is_junk(k: int) -> bool:
     return k % 50 == 13
 
 
-def synth_images(spark: SparkSession, sf_dir: str, with_junk: bool = False) -> DataFrame:
+def _ids(spark: SparkSession, sf_dir: str, cols, partitions: int | None):
+    """embeddings rows, hash-spread over ``partitions`` tasks *before* the
+    pixels are generated, so generation is parallel and no pixel is shuffled."""
+    e = table(spark, sf_dir, "embeddings").select(*cols)
+    return e.repartition(partitions, "vec_id") if partitions else e
+
+
+def synth_images(spark: SparkSession, sf_dir: str, with_junk: bool = False,
+                 partitions: int | None = None) -> DataFrame:
     """``v_synth`` as an image table (all embeddings rows)."""
     ship_package(spark)
-    e = table(spark, sf_dir, "embeddings").select("vec_id")
+    e = _ids(spark, sf_dir, ["vec_id"], partitions)
     rule = synth_is_junk if with_junk else None
     return e.mapInArrow(lambda it: _rows_to_images(it, lambda k, _: _synth_pixels(k), rule),
                         IMAGE_SCHEMA)
 
 
-def rect_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rect_images(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """``v_rect`` as an image table (all embeddings rows)."""
     ship_package(spark)
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    e = _ids(spark, sf_dir, ["vec_id", "embedding"], partitions)
     return e.mapInArrow(lambda it: _rows_to_images(it, _rect_pixels), IMAGE_SCHEMA)
 
 
-def tile_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tile_images(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """``v_tile`` as a one-channel image table (all embeddings rows)."""
     ship_package(spark)
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    e = _ids(spark, sf_dir, ["vec_id", "embedding"], partitions)
     return e.mapInArrow(lambda it: _rows_to_images(it, lambda k, emb: _tile_pixels(emb)),
                         IMAGE_SCHEMA)

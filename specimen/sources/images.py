@@ -71,6 +71,35 @@ def write_image_table(images: DataFrame, path: str, partition_by: list[str] | No
     w.parquet(path)
 
 
+def write_image_files(images: DataFrame, folder: str, name_col: str = "image_id") -> DataFrame:
+    """Write every image as a lossless PNG file ``<folder>/<name>.png`` from the
+    executors (the reference writes one file per image).  Returns a lazy
+    (path, n_bytes) table; run an action on it to write.  Unreadable images
+    are written as they came (their original bytes), so a decode of the
+    folder reports them again.  ``folder`` may be any filesystem URI that
+    ``pyarrow.fs`` resolves (local, HDFS, S3).
+    """
+    from pyspark.sql import types as T
+
+    from specimen.functions.codec import decode, map_rows, png_encode
+
+    schema = T.StructType([T.StructField("path", T.StringType()),
+                           T.StructField("n_bytes", T.LongType())])
+
+    def fn(row):
+        from pyarrow import fs as pafs
+        filesystem, base = pafs.FileSystem.from_uri(folder)
+        filesystem.create_dir(base, recursive=True)
+        img = decode(row.get("height"), row.get("width"), row.get("n_channels"), row.get("data"))
+        payload = png_encode(img) if img is not None else bytes(row.get("data") or b"")
+        target = f"{base.rstrip('/')}/{row[name_col]}.png"
+        with filesystem.open_output_stream(target) as out:
+            out.write(payload)
+        yield {"path": target, "n_bytes": len(payload)}
+
+    return map_rows(images, fn, schema, batch_rows=256)
+
+
 def read_image_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
