@@ -57,17 +57,15 @@ def variant_counts(files: DataFrame, path_col: str = "path") -> DataFrame:
 
 def augment_totals(augmented: DataFrame) -> DataFrame:
     """(node, originals, variants_ok, variants_failed) per node plus node 0 =
-    all nodes (A12).  ``augmented`` has one row per (image, variant) with
-    ``node`` and ``ok``."""
-    per = augmented.groupBy("node").agg(
+    all nodes (A12), in one pass (``rollup``).  ``augmented`` has one row per
+    (row, variant) with ``node`` and ``ok``; like the reference's counters, a
+    file listed by two rows counts twice."""
+    rolled = augmented.rollup("node").agg(
         F.countDistinct("image_id").alias("originals"),
         F.count_if(F.col("ok")).alias("variants_ok"),
         F.count_if(~F.col("ok")).alias("variants_failed"))
-    total = augmented.agg(
-        F.lit(0).alias("node"), F.countDistinct("image_id").alias("originals"),
-        F.count_if(F.col("ok")).alias("variants_ok"),
-        F.count_if(~F.col("ok")).alias("variants_failed"))
-    return per.select("node", "originals", "variants_ok", "variants_failed").unionByName(total)
+    return rolled.select(F.coalesce("node", F.lit(0)).cast("int").alias("node"),
+                         "originals", "variants_ok", "variants_failed")
 
 
 def run_summary(final: DataFrame, fraction: float) -> DataFrame:

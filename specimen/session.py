@@ -46,7 +46,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
     as is.  Only when it is unset (local tests) do we set a fresh local one.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- no SparkContext (Spark Connect client)
+        named = spark.conf.get(CHECKPOINT_CONF, None)
+        if not named:
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder") from None
+        return named
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -73,8 +79,11 @@ def ship_package(spark: SparkSession) -> None:
     same mechanism as ``spark-submit --py-files``; Spark copies it to every
     executor.  (Only code goes through this folder, never data.)
     """
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 -- Spark Connect: ship as a session artifact
+        sc, app = None, f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
     import shutil
@@ -83,5 +92,8 @@ def ship_package(spark: SparkSession) -> None:
     target = tempfile.mkdtemp(prefix="specimen-pyfiles-")
     archive = shutil.make_archive(os.path.join(target, "specimen"), "zip",
                                   root_dir=os.path.dirname(pkg_dir), base_dir="specimen")
-    sc.addPyFile(archive)
+    if sc is not None:
+        sc.addPyFile(archive)
+    else:
+        spark.addArtifacts(archive, pyfile=True)
     _SHIPPED.add(app)

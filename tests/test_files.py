@@ -107,3 +107,22 @@ def test_catalog_from_real_listing(spark, image_root):
                               spark.read.option("header", True).csv(
                                   os.path.join(image_root, "metadata.csv")), parts).first()
     assert ready["ready"] and ready["part1_images"] >= 3
+
+
+def test_hot_path_is_processed_once(spark, image_root):
+    """A third of the rows point at one file: it is decoded and processed once,
+    and every row still gets its status."""
+    from specimen.plans import jobs
+    parts = cat.part_dirs_under(image_root)
+    pixels = src.read_images(spark, parts)
+    hot = os.path.join(image_root, "part_1", "IMG_1.jpg")
+    other = os.path.join(image_root, "part_2", "IMG_3.jpeg")
+    rows = spark.createDataFrame(
+        [(f"R{i}", hot if i % 3 == 0 else (other if i % 3 == 1 else None)) for i in range(300)],
+        "image_id string, img_path string")
+    processed = jobs.preprocessed_images(rows, pixels)
+    assert processed.count() == 2                      # two distinct files, once each
+    status = {r["status"]: r["n"] for r in
+              jobs.preprocess_dataset(rows, pixels).groupBy("status").count()
+              .withColumnRenamed("count", "n").collect()}
+    assert status == {"SUCCESS": 200, "SKIPPED": 100}

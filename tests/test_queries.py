@@ -179,3 +179,17 @@ def test_balance_plan_fills_deficit(spark):
     assert sorted(r["plan_rank"] for r in per["min"]) == list(range(1, 18))
     d = {r["value"]: r for r in balance.class_deficit(df).collect()}
     assert d["tiny"]["unfilled"] == 19 - 9 and d["maj"]["deficit"] == 0
+
+
+@pytest.mark.parametrize("name", ["augment_variants", "preprocess_image", "img_roi_box"])
+def test_pixel_results_independent_of_batch_size(spark, name):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "1")
+        one = {tuple(r) for r in E.queries()[name](spark, SF_SMALL).collect()}
+        spark.conf.set(key, "64")
+        many = {tuple(r) for r in E.queries()[name](spark, SF_SMALL).collect()}
+    finally:
+        spark.conf.set(key, old)
+    assert one == many and len(one) > 0
