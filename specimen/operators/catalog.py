@@ -11,7 +11,7 @@ sort-merge from runtime sizes; AQE's skew-join splits a hot image id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from specimen.functions import paths as P
@@ -182,4 +182,4 @@ def split_two_nodes(rows: DataFrame, order_col: str = "img_path") -> DataFrame:
         .drop("_n")
 
 
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("DataFrame", "Window", "F", "P")]
+__all__ = [n for n in dir() if not n.startswith("_") and n not in ("DataFrame", "F", "P")]

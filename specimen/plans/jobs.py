@@ -2,11 +2,12 @@
 
 The reference collects the path list to the driver and loops over it
 (augmentation), and runs preprocessing as a row-at-a-time UDF that overwrites
-each input file.  Here both are distributed table jobs: metadata rows are
-joined to the decoded images on the file path, the join's shuffle spreads the
-images over tasks (AQE sizes partitions by bytes and splits a hot path), and
-``mapInArrow`` kernels produce new tables.  Inputs are never modified, so a
-retried task cannot process an image twice (M14).
+each input file.  Here both are distributed table jobs: the distinct file
+paths of the metadata rows select the decoded images (a semi join that AQE
+turns into a broadcast when the path list is small), ``mapInArrow`` kernels
+process each file once and produce new tables, and per-row results join back
+without pixels.  Inputs are never modified, so a retried task cannot process
+an image twice (M14).
 """
 
 from __future__ import annotations

@@ -58,9 +58,13 @@ def _clean(s, sf):
 
 def _parts(s) -> int:
     """Carrier images come from one small parquet file: their ids are spread
-    over the shuffle partitions before pixels are generated (an explicit
-    count, so AQE does not coalesce the pixel work back into one task)."""
-    return int(s.conf.get("spark.sql.shuffle.partitions"))
+    over one partition per core before pixels are generated -- pixel work is
+    CPU-bound -- with an explicit count, so AQE does not coalesce it back
+    into one task."""
+    try:
+        return max(1, int(s.sparkContext.defaultParallelism))
+    except Exception:  # noqa: BLE001 -- no SparkContext (Spark Connect)
+        return int(s.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _rect(s, sf):
