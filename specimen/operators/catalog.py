@@ -164,7 +164,7 @@ def dataset_ready(listing: DataFrame, meta: DataFrame, part_dirs: list[str]) ->
     """
     parent = P.parent_dir("path")
     glob = P.basename("path").rlike(r"^.*\.jp.*g$")
-    meta_present = meta.select((F.count(F.lit(1)) > 0).alias("m")).scalar()
+    meta_present = meta.exists()          # EXISTS subquery: stops at the first row
     counts = listing.agg(
         F.count_if((parent == part_dirs[0]) & glob).alias("part1_images"),
         F.count_if((parent == part_dirs[1]) & glob).alias("part2_images"))
