@@ -114,6 +114,40 @@ def _variant_kernel(name: str, param):
 VARIANT_KERNELS = {suffix: _variant_kernel(name, param) for name, suffix, param in VARIANTS}
 
 
+def _variant_outputs(img):
+    """The nine variants of one decoded image (or nine failures)."""
+    for rank, (_, suffix, _) in enumerate(VARIANTS, start=1):
+        out = {"variant": suffix, "variant_rank": rank}
+        if img is None:
+            out.update(ok=False, error="unreadable image")
+        else:
+            try:
+                out.update(encode(VARIANT_KERNELS[suffix](img)))
+                out.update(ok=True, error=None)
+            except Exception as e:  # noqa: BLE001
+                out.update(ok=False, error=f"{type(e).__name__}: {e}")
+        yield out
+
+
+def _preprocess_output(row: dict, img) -> dict:
+    """Status, error and pixels of one row's preprocessing."""
+    if row.get("data") is None and row.get("height") is None:
+        return {"status": STATUS_SKIPPED, "error": None}
+    if img is None:
+        return {"status": STATUS_FAILED, "error": "unreadable image"}
+    try:
+        out = encode(K.preprocess(img))
+        out.update(status=STATUS_SUCCESS, error=None)
+        return out
+    except Exception as e:  # noqa: BLE001
+        return {"status": STATUS_FAILED, "error": f"{type(e).__name__}: {e}"}
+
+
+def _image_fields(keys):
+    names = {k.name for k in keys}
+    return [f for f in IMAGE_FIELDS if f.name != "image_id" or "image_id" not in names]
+
+
 def augment_variants(images: DataFrame) -> DataFrame:
     """Every image x the nine variants, pixels decoded once per image.
 
@@ -122,27 +156,15 @@ def augment_variants(images: DataFrame) -> DataFrame:
     tally can count it; callers that want only made variants filter ``ok``.
     """
     keys = _keys(images)
-    fields = [*keys, T.StructField("variant", T.StringType()),
-              T.StructField("variant_rank", T.IntegerType()),
-              *[f for f in IMAGE_FIELDS if f.name != "image_id" or
-                "image_id" not in {k.name for k in keys}],
-              T.StructField("ok", T.BooleanType()), T.StructField("error", T.StringType())]
-    schema = T.StructType(fields)
+    schema = T.StructType([
+        *keys, T.StructField("variant", T.StringType()),
+        T.StructField("variant_rank", T.IntegerType()), *_image_fields(keys),
+        T.StructField("ok", T.BooleanType()), T.StructField("error", T.StringType())])
 
     def fn(row):
         base = _passthrough(row, keys)
-        img = _image_of(row)
-        for rank, (_, suffix, _) in enumerate(VARIANTS, start=1):
-            out = dict(base, variant=suffix, variant_rank=rank)
-            if img is None:
-                out.update(ok=False, error="unreadable image")
-            else:
-                try:
-                    out.update(encode(VARIANT_KERNELS[suffix](img)))
-                    out.update(ok=True, error=None)
-                except Exception as e:  # noqa: BLE001
-                    out.update(ok=False, error=f"{type(e).__name__}: {e}")
-            yield out
+        for out in _variant_outputs(_image_of(row)):
+            yield dict(base, **out)
 
     return map_rows(images, fn, schema, batch_rows=16)
 
@@ -155,27 +177,37 @@ def preprocess_images(rows: DataFrame) -> DataFrame:
     (then SKIPPED).  Unreadable images are FAILED.
     """
     keys = _keys(rows)
-    fields = [*keys, *[f for f in IMAGE_FIELDS if f.name != "image_id" or
-                       "image_id" not in {k.name for k in keys}],
-              T.StructField("status", T.StringType()), T.StructField("error", T.StringType())]
-    schema = T.StructType(fields)
+    schema = T.StructType([*keys, *_image_fields(keys), T.StructField("status", T.StringType()),
+                           T.StructField("error", T.StringType())])
 
     def fn(row):
-        out = _passthrough(row, keys)
-        if row.get("data") is None and row.get("height") is None:
-            out.update(status=STATUS_SKIPPED, error=None)
-            yield out
-            return
-        img = _image_of(row)
-        if img is None:
-            out.update(status=STATUS_FAILED, error="unreadable image")
-            yield out
-            return
-        try:
-            out.update(encode(K.preprocess(img)))
-            out.update(status=STATUS_SUCCESS, error=None)
-        except Exception as e:  # noqa: BLE001
-            out.update(status=STATUS_FAILED, error=f"{type(e).__name__}: {e}")
-        yield out
+        yield dict(_passthrough(row, keys), **_preprocess_output(row, _image_of(row)))
 
     return map_rows(rows, fn, schema, batch_rows=32)
+
+
+PREPROCESSED = "preprocessed"
+
+
+def derive_images(images: DataFrame) -> DataFrame:
+    """Both derived products of every image in one pass: the nine variants
+    (``kind`` = suffix, ``kind_rank`` 1..9) and the preprocessed image
+    (``kind`` = 'preprocessed', ``kind_rank`` 0).  Each image is decoded once.
+    ``ok`` is true for a made variant or a SUCCESS; ``status`` is set on the
+    preprocessed row only."""
+    keys = _keys(images)
+    schema = T.StructType([
+        *keys, T.StructField("kind", T.StringType()), T.StructField("kind_rank", T.IntegerType()),
+        *_image_fields(keys), T.StructField("ok", T.BooleanType()),
+        T.StructField("status", T.StringType()), T.StructField("error", T.StringType())])
+
+    def fn(row):
+        base = _passthrough(row, keys)
+        img = _image_of(row)
+        for out in _variant_outputs(img):
+            kind, rank = out.pop("variant"), out.pop("variant_rank")
+            yield dict(base, kind=kind, kind_rank=rank, status=None, **out)
+        pre = _preprocess_output(row, img)
+        yield dict(base, kind=PREPROCESSED, kind_rank=0, ok=pre["status"] == STATUS_SUCCESS, **pre)
+
+    return map_rows(images, fn, schema, batch_rows=16)

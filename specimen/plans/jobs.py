@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from specimen.operators import catalog as cat
 from specimen.operators import cleaning, profile, report
 from specimen.functions import paths as P
-from specimen.operators.images import augment_variants, preprocess_images
+from specimen.operators.images import (PREPROCESSED, augment_variants, derive_images,
+                                      preprocess_images)
 from specimen.schema import DEFAULT_SAMPLE_FRACTION, REPORT_COLUMNS, STATUS_SKIPPED
 from specimen.sources import images as src_images
 from specimen.sources import metadata as src_meta
@@ -89,8 +90,11 @@ def preprocess_dataset(rows: DataFrame, images: DataFrame,
 def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_dir: str,
                     fraction: float = DEFAULT_SAMPLE_FRACTION, infer_schema: bool = False) -> dict:
     """The reference's whole run as Spark jobs, writing new tables under
-    ``out_dir`` (never touching ``data_root``).  Returns report DataFrames,
-    each small and bounded (per column / class / status / variant)."""
+    ``out_dir`` (never touching ``data_root``): ``clean``, ``quarantine`` and
+    ``derived`` (partitioned by ``kind``: the nine variant suffixes and
+    'preprocessed'; every image file is decoded once for both).  Returns
+    report DataFrames, each small and bounded (per column / class / status /
+    variant)."""
     parts = cat.part_dirs_under(data_root)
     raw = src_meta.read_metadata_csv(spark, metadata_csv, infer=infer_schema)
     raw = cleaning.sample_fraction(raw, fraction)
@@ -101,14 +105,17 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
     quarantine = cleaning.quarantine_null_age(enriched)
     quarantine.write.mode("overwrite").parquet(f"{out_dir}/quarantine")
 
+    # one pass over the selected image files makes both derived products
     pixels = src_images.read_images(spark, parts)
-    src_images.write_image_table(augmented_images(clean, pixels), f"{out_dir}/variants",
-                                 partition_by=["variant"])
-    variant_files = spark.read.parquet(f"{out_dir}/variants")
+    src_images.write_image_table(derive_images(select_images(clean, pixels)), f"{out_dir}/derived",
+                                 partition_by=["kind"])
+    derived = spark.read.parquet(f"{out_dir}/derived")
+    variant_files = (derived.filter(F.col("kind") != PREPROCESSED)
+                     .withColumnRenamed("kind", "variant")
+                     .withColumn("variant_path", P.variant_path("img_path", F.col("variant"))))
+    stored = derived.filter(F.col("kind") == PREPROCESSED)
     rows = cat.split_two_nodes(clean.select("image_id", "img_path"), "img_path").drop("ordinal")
     augmented = rows.join(variant_files.select("img_path", "variant", "ok"), "img_path")
-    src_images.write_image_table(preprocessed_images(clean, pixels), f"{out_dir}/preprocessed")
-    stored = spark.read.parquet(f"{out_dir}/preprocessed")
     processed = preprocess_dataset(clean, pixels, processed=stored)
 
     return {

@@ -72,7 +72,8 @@ def test_prepare_dataset_end_to_end(spark, image_root):
     rate = rep["success_rate"].first()
     assert rate["n_rows"] == 5 and abs(rate["success_rate"] - 80.0) < 1e-9
 
-    pre = spark.read.parquet(f"{out}/preprocessed")
+    derived = spark.read.parquet(f"{out}/derived")
+    pre = derived.filter(F.col("kind") == "preprocessed")
     for r in pre.filter(F.col("status") == "SUCCESS").collect():
         assert (r["height"], r["width"], r["n_channels"]) == (128, 128, 3)
     assert pre.count() == 5                               # one row per distinct file
@@ -89,12 +90,11 @@ def test_prepare_dataset_end_to_end(spark, image_root):
     assert totals[0]["variants_failed"] == 9 + 2
     assert totals[1]["originals"] == 2 and totals[2]["originals"] == 3
 
-    variants = spark.read.parquet(f"{out}/variants")
-    v = variants.filter(F.col("img_path").endswith("/IMG_2.JPG") &
-                        (F.col("variant") == "_rot90")).first()
+    v = derived.filter(F.col("img_path").endswith("/IMG_2.JPG") &
+                       (F.col("kind") == "_rot90")).first()
     rot = np.frombuffer(v["data"], np.uint8).reshape(v["height"], v["width"], 3)
     assert (rot == K.rotate(_synth_pixels(2)[:, :, ::-1], 90)).all()
-    assert v["variant_path"].endswith("IMG_2_rot90.JPG")
+    assert derived.filter(F.col("kind") != "preprocessed").count() == 5 * 9
 
     schema = {r["column_name"]: r["data_type"] for r in rep["schema"].collect()}
     assert schema["age"] == "double" and schema["img_path"] == "string"

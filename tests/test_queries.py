@@ -193,3 +193,16 @@ def test_pixel_results_independent_of_batch_size(spark, name):
     finally:
         spark.conf.set(key, old)
     assert one == many and len(one) > 0
+
+
+def test_fused_derivation_equals_separate_operators(spark):
+    from specimen.operators import images as ops
+    imgs = Q._synth(spark, SF_SMALL, junk=True)
+    fused = {(r["image_id"], r["kind"]): (r["ok"], r["status"], r["data"]) for r in
+             ops.derive_images(imgs).collect()}
+    for r in ops.augment_variants(imgs).collect():
+        assert fused[(r["image_id"], r["variant"])][0] == r["ok"]
+        assert fused[(r["image_id"], r["variant"])][2] == r["data"]
+    for r in ops.preprocess_images(imgs).collect():
+        ok, status, data = fused[(r["image_id"], "preprocessed")]
+        assert status == r["status"] and data == r["data"] and ok == (status == "SUCCESS")
