@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,8 +95,12 @@ def write_image_files(images: DataFrame, folder: str, name_col: str = "image_id"
         img = decode(row.get("height"), row.get("width"), row.get("n_channels"), row.get("data"))
         payload = png_encode(img) if img is not None else bytes(row.get("data") or b"")
         target = f"{base.rstrip('/')}/{row[name_col]}.png"
-        with filesystem.open_output_stream(target) as out:
+        # a retried or speculative task writes a private file, then renames it
+        # over the target: readers never see a half-written image
+        tmp = f"{target}.tmp-{uuid.uuid4().hex}"
+        with filesystem.open_output_stream(tmp) as out:
             out.write(payload)
+        filesystem.move(tmp, target)
         yield {"path": target, "n_bytes": len(payload)}
 
     return map_rows(images, fn, schema, batch_rows=256)
