@@ -126,3 +126,13 @@ def test_hot_path_is_processed_once(spark, image_root):
               jobs.preprocess_dataset(rows, pixels).groupBy("status").count()
               .withColumnRenamed("count", "n").collect()}
     assert status == {"SUCCESS": 200, "SKIPPED": 100}
+
+
+def test_command_line_run(image_root, capsys):
+    from specimen.plans import prepare
+    out = tempfile.mkdtemp(prefix="specimen-cli-")
+    assert prepare.main(["--metadata", os.path.join(image_root, "metadata.csv"),
+                         "--root", image_root, "--out", out, "--fraction", "1.0"]) == 0
+    text = capsys.readouterr().out
+    assert "== frequency_report" in text and "== status_counts" in text
+    assert os.path.isdir(os.path.join(out, "derived"))

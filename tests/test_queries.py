@@ -206,3 +206,11 @@ def test_fused_derivation_equals_separate_operators(spark):
     for r in ops.preprocess_images(imgs).collect():
         ok, status, data = fused[(r["image_id"], "preprocessed")]
         assert status == r["status"] and data == r["data"] and ok == (status == "SUCCESS")
+
+
+def test_bernoulli_mode_is_spark_sample(spark):
+    df = spark.range(20000).select(F.col("id").cast("string").alias("image_id")).repartition(4)
+    got = cleaning.sample_fraction(df, 0.05, mode="bernoulli")
+    ref = df.sample(False, 0.05, seed=42)
+    assert sorted(r[0] for r in got.collect()) == sorted(r[0] for r in ref.collect())
+    assert 800 < got.count() < 1200
