@@ -41,6 +41,14 @@ def select_images(rows: DataFrame, images: DataFrame) -> DataFrame:
     return pix.join(paths, on="img_path", how="left_semi")
 
 
+def decode_selected(rows: DataFrame, decoder) -> DataFrame:
+    """Decoded images of the distinct files the rows point at, read by path on
+    the executors with ``decoder`` (see ``sources.images.decode_paths``):
+    (img_path, pixels).  Files no row selects are never opened."""
+    paths = rows.select("img_path").filter(F.col("img_path").isNotNull()).distinct()
+    return src_images.decode_paths(paths, decoder)
+
+
 def augmented_images(rows: DataFrame, images: DataFrame) -> DataFrame:
     """The nine variants of every distinct image file of the rows (I6-I8):
     (img_path, variant, variant_rank, variant_path, pixels, ok, error)."""
@@ -88,13 +96,21 @@ def preprocess_dataset(rows: DataFrame, images: DataFrame,
 
 
 def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_dir: str,
-                    fraction: float = DEFAULT_SAMPLE_FRACTION, infer_schema: bool = False) -> dict:
+                    fraction: float = DEFAULT_SAMPLE_FRACTION, infer_schema: bool = False,
+                    decoder=None) -> dict:
     """The reference's whole run as Spark jobs, writing new tables under
     ``out_dir`` (never touching ``data_root``): ``clean``, ``quarantine`` and
     ``derived`` (partitioned by ``kind``: the nine variant suffixes and
     'preprocessed'; every image file is decoded once for both).  Returns
     report DataFrames, each small and bounded (per column / class / status /
-    variant)."""
+    variant).
+
+    Images are decoded by Spark's ``image`` source (the same JVM decoder
+    everywhere) and the selected ones kept by a semi join.  With ``decoder``
+    (e.g. ``sources.images.pillow_decoder``) only the selected files are read
+    and decoded, by path on the executors -- the better plan when the sample
+    fraction is small.
+    """
     parts = cat.part_dirs_under(data_root)
     raw = src_meta.read_metadata_csv(spark, metadata_csv, infer=infer_schema)
     raw = cleaning.sample_fraction(raw, fraction)
@@ -106,8 +122,13 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
     quarantine.write.mode("overwrite").parquet(f"{out_dir}/quarantine")
 
     # one pass over the selected image files makes both derived products
-    pixels = src_images.read_images(spark, parts)
-    src_images.write_image_table(derive_images(select_images(clean, pixels)), f"{out_dir}/derived",
+    if decoder is None:
+        pixels = src_images.read_images(spark, parts)
+        selected = select_images(clean, pixels)
+    else:
+        selected = decode_selected(clean, decoder)
+        pixels = selected.withColumnRenamed("img_path", "path")
+    src_images.write_image_table(derive_images(selected), f"{out_dir}/derived",
                                  partition_by=["kind"])
     derived = spark.read.parquet(f"{out_dir}/derived")
     variant_files = (derived.filter(F.col("kind") != PREPROCESSED)

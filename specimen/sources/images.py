@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specimen.functions import paths as P
+from specimen.schema import IMAGE_FIELDS
 
 # Spark's glob filter: the three extensions the reference looks for, plus the
 # case-insensitive rule applied afterwards.
@@ -106,6 +107,64 @@ def write_image_files(images: DataFrame, folder: str, name_col: str = "image_id"
     return map_rows(images, fn, schema, batch_rows=256)
 
 
+def pillow_decoder(data: bytes):
+    """Decode file bytes with Pillow (if installed on the executors) into a
+    BGR (h, w, 3) uint8 array -- the layout of Spark's image source."""
+    import io
+
+    import numpy as np
+    from PIL import Image  # optional dependency, imported on the executor
+
+    with Image.open(io.BytesIO(data)) as im:
+        rgb = np.asarray(im.convert("RGB"), dtype=np.uint8)
+    return np.ascontiguousarray(rgb[:, :, ::-1])
+
+
+def decode_paths(paths: DataFrame, decoder, path_col: str = "img_path",
+                 partitions: int | None = None) -> DataFrame:
+    """Read and decode only the listed files, on the executors.
+
+    ``paths`` holds one row per wanted file (deduplicate first).  The rows are
+    hash-spread over ``partitions`` tasks (default: shuffle partitions); each
+    task reads its files' bytes (``pyarrow.fs``: local, HDFS, S3) and calls
+    ``decoder(bytes) -> BGR array``.  Nothing but paths is shuffled, and
+    files outside ``paths`` are never opened -- unlike a decode scan of the
+    whole folder followed by a join.  Unreadable or undecodable files get
+    height -1 and empty data, like Spark's image source.
+    """
+    from pyspark.sql import types as T
+
+    from specimen.functions.codec import encode, map_rows
+
+    schema = T.StructType([T.StructField(path_col, T.StringType()),
+                           *[f for f in IMAGE_FIELDS if f.name != "image_id"]])
+    n = partitions or int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = paths.select(path_col).repartition(n, path_col)
+
+    def read_bytes(path: str) -> bytes:
+        from pyarrow import fs as pafs
+        if "://" in path:
+            filesystem, inner = pafs.FileSystem.from_uri(path)
+        else:
+            filesystem, inner = pafs.LocalFileSystem(), path
+        with filesystem.open_input_stream(inner) as f:
+            return f.read()
+
+    def fn(row):
+        path = row[path_col]
+        try:
+            data = read_bytes(path)
+            img = decoder(data) if data else None
+        except Exception:  # noqa: BLE001 -- a missing or broken file is a row, not a job failure
+            img = None
+        if img is None:
+            yield {path_col: path, "height": -1, "width": -1, "n_channels": -1, "data": b""}
+        else:
+            yield {path_col: path, **encode(img)}
+
+    return map_rows(spread, fn, schema, batch_rows=16)
+
+
 def read_image_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -41,6 +41,27 @@ def png_bytes(rgb: np.ndarray) -> bytes:
             + chunk(b"IEND", b""))
 
 
+def png_decoder(data: bytes):
+    """Test-only decoder for the PNGs ``png_bytes`` writes (8-bit, filter 0),
+    standing in for Pillow: returns BGR, raises on anything else."""
+    if not data.startswith(b"\x89PNG\r\n\x1a\n"):
+        raise ValueError("not a PNG")
+    pos, idat = 8, b""
+    w = h = c = None
+    while pos < len(data):
+        (n,) = struct.unpack(">I", data[pos:pos + 4])
+        tag, body = data[pos + 4:pos + 8], data[pos + 8:pos + 8 + n]
+        if tag == b"IHDR":
+            w, h, _, colour = struct.unpack(">IIBB", body[:10])
+            c = {0: 1, 2: 3}[colour]
+        elif tag == b"IDAT":
+            idat += body
+        pos += 12 + n
+    raw = np.frombuffer(zlib.decompress(idat), np.uint8).reshape(h, 1 + w * c)
+    img = raw[:, 1:].reshape(h, w, c)
+    return np.ascontiguousarray(img[:, :, ::-1] if c == 3 else np.repeat(img, 3, axis=2))
+
+
 @pytest.fixture(scope="session")
 def image_root():
     """A data root with two part folders and the edge cases of SURVEY §5."""
