@@ -214,3 +214,27 @@ def test_bernoulli_mode_is_spark_sample(spark):
     ref = df.sample(False, 0.05, seed=42)
     assert sorted(r[0] for r in got.collect()) == sorted(r[0] for r in ref.collect())
     assert 800 < got.count() < 1200
+
+
+def test_ordinal_consistent_under_sort_merge_and_coalescing(spark):
+    from pyspark.sql import Window
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = spark.range(20000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97).alias("g"),
+            ((F.col("id") * 7919) % 20011).alias("v"))
+        got = with_ordinal(df, [F.desc("v")], group_by=["g"], name="o", partitions=37)
+        ref = df.withColumn("o2", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("v"))))
+        assert got.join(ref, ["g", "v"]).filter(F.col("o") != F.col("o2")).count() == 0
+        assert got.count() == 20000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
