@@ -95,7 +95,7 @@ def png_encode(img: np.ndarray) -> bytes:
 RowFn = Callable[[dict], Iterable[dict]]
 
 ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
-IMAGE_BATCH_ROWS = 64
+IMAGE_BATCH_ROWS = 16
 
 
 def cap_arrow_batch(spark, rows: int = IMAGE_BATCH_ROWS) -> None:

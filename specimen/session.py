@@ -30,7 +30,7 @@ def get_session(app: str = "specimen", cores: str | int = "*",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # images are large rows: keep Arrow batches small
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
