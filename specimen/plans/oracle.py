@@ -766,8 +766,19 @@ _ROI = ",\n".join([PX_SYNTH, _CROP, score_sql("sc", "cr"), otsu_sql("ot", "sc"),
          least(h, y + bh + CAST(floor(bh * {_d(0.15)}) AS BIGINT)) AS y1
   FROM bx)"""])
 register("largest_component", """
-SELECT image_id, CAST(area AS INTEGER) AS area, CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y,
-       CAST(bw AS INTEGER) AS bw, CAST(bh AS INTEGER) AS bh FROM bx""", _ROI)
+SELECT b.image_id, CAST(q.q4 AS DOUBLE) + CAST(q.q3 AS DOUBLE) / 2.0::DOUBLE AS area,
+       CAST(b.x AS INTEGER) AS x, CAST(b.y AS INTEGER) AS y, CAST(b.bw AS INTEGER) AS bw,
+       CAST(b.bh AS INTEGER) AS bh, CAST(b.area AS INTEGER) AS n_pixels
+FROM bx b JOIN (
+  SELECT image_id, count(*) FILTER (WHERE s = 4) AS q4, count(*) FILTER (WHERE s = 3) AS q3
+  FROM (SELECT image_id, m + mr + md + mdr AS s FROM (
+          SELECT image_id, m, md,
+                 lead(m) OVER (PARTITION BY image_id, y ORDER BY x) AS mr,
+                 lead(md) OVER (PARTITION BY image_id, y ORDER BY x) AS mdr
+          FROM (SELECT image_id, y, x, m,
+                       lead(m) OVER (PARTITION BY image_id, x ORDER BY y) AS md FROM cl))
+        WHERE mr IS NOT NULL AND md IS NOT NULL)
+  GROUP BY image_id) q ON q.image_id = b.image_id""", _ROI)
 register("img_roi_box", """
 SELECT image_id, CAST(x0 AS INTEGER) AS x0, CAST(y0 AS INTEGER) AS y0, CAST(x1 AS INTEGER) AS x1,
        CAST(y1 AS INTEGER) AS y1 FROM roi""", _ROI)

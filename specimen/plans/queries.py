@@ -557,10 +557,11 @@ def img_otsu_threshold(s, sf):
 def largest_component(s, sf):
     def fn(rgb):
         best = K.largest_component(K.lesion_mask(K.border_crop(rgb), 7))
-        keys = ("area", "x", "y", "bw", "bh")
+        keys = ("area", "x", "y", "bw", "bh", "n_pixels")
         return dict(zip(keys, best)) if best else {}
-    return ops.image_scalars(_synth(s, sf), fn, [T.StructField(n, _INT) for n in
-                                                 ("area", "x", "y", "bw", "bh")])
+    fields = [T.StructField("area", T.DoubleType())] + [
+        T.StructField(n, _INT) for n in ("x", "y", "bw", "bh", "n_pixels")]
+    return ops.image_scalars(_synth(s, sf), fn, fields)
 
 
 @query
