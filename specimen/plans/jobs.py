@@ -97,7 +97,7 @@ def preprocess_dataset(rows: DataFrame, images: DataFrame,
 
 def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_dir: str,
                     fraction: float = DEFAULT_SAMPLE_FRACTION, infer_schema: bool = False,
-                    decoder=None) -> dict:
+                    decoder="auto") -> dict:
     """The reference's whole run as Spark jobs, writing new tables under
     ``out_dir`` (never touching ``data_root``): ``clean``, ``quarantine`` and
     ``derived`` (partitioned by ``kind``: the nine variant suffixes and
@@ -105,12 +105,15 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
     report DataFrames, each small and bounded (per column / class / status /
     variant).
 
-    Images are decoded by Spark's ``image`` source (the same JVM decoder
-    everywhere) and the selected ones kept by a semi join.  With ``decoder``
-    (e.g. ``sources.images.pillow_decoder``) only the selected files are read
-    and decoded, by path on the executors -- the better plan when the sample
-    fraction is small.
+    ``decoder``: a function bytes -> BGR array reads and decodes only the
+    selected files, by path on the executors, so only paths are shuffled;
+    ``None`` decodes every file under the part folders with Spark's ``image``
+    source and keeps the selected ones by a semi join (pixels may be shuffled
+    when the path list is too large to broadcast).  ``'auto'`` (default)
+    picks OpenCV, then Pillow, when installed, else Spark's source.
     """
+    if decoder == "auto":
+        decoder = src_images.auto_decoder()
     parts = cat.part_dirs_under(data_root)
     raw = src_meta.read_metadata_csv(spark, metadata_csv, infer=infer_schema)
     raw = cleaning.sample_fraction(raw, fraction)

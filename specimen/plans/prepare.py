@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from specimen.plans.jobs import prepare_dataset  # noqa: E402
 from specimen.schema import DEFAULT_SAMPLE_FRACTION  # noqa: E402
 from specimen.session import ensure_checkpoint_dir, ship_package  # noqa: E402
-from specimen.sources.images import pillow_decoder  # noqa: E402
+from specimen.sources.images import opencv_decoder, pillow_decoder  # noqa: E402
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -32,15 +32,17 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--fraction", type=float, default=DEFAULT_SAMPLE_FRACTION,
                     help="sample fraction; outside (0, 1) keeps every row")
     ap.add_argument("--infer-schema", action="store_true", help="infer CSV types (extra pass)")
-    ap.add_argument("--decoder", choices=["spark", "pillow"], default="spark",
-                    help="spark: decode scan of the part folders (JVM); pillow: read and "
-                         "decode only the selected files on the executors")
+    ap.add_argument("--decoder", choices=["auto", "spark", "opencv", "pillow"], default="auto",
+                    help="spark: decode scan of the part folders (JVM); opencv / pillow: read "
+                         "and decode only the selected files on the executors; auto: opencv, "
+                         "then pillow, when installed, else spark")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("specimen-prepare").getOrCreate()
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    decoder = pillow_decoder if args.decoder == "pillow" else None
+    decoder = {"auto": "auto", "spark": None, "opencv": opencv_decoder,
+               "pillow": pillow_decoder}[args.decoder]
     reports = prepare_dataset(spark, args.metadata, args.root, args.out, args.fraction,
                               infer_schema=args.infer_schema, decoder=decoder)
     for name, df in reports.items():

@@ -120,6 +120,29 @@ def pillow_decoder(data: bytes):
     return np.ascontiguousarray(rgb[:, :, ::-1])
 
 
+def opencv_decoder(data: bytes):
+    """Decode file bytes with OpenCV (if installed on the executors): BGR,
+    three channels, EXIF ignored -- the reference's own image read."""
+    import cv2
+    import numpy as np
+
+    return cv2.imdecode(np.frombuffer(data, dtype=np.uint8), cv2.IMREAD_COLOR)
+
+
+def auto_decoder():
+    """The path-driven decoder to use, or None for Spark's ``image`` source:
+    OpenCV if importable, else Pillow, else None.  (Checked on the driver;
+    the executors are expected to share its environment, as in a cluster
+    image built from one requirements file.)"""
+    import importlib.util
+
+    if importlib.util.find_spec("cv2") is not None:
+        return opencv_decoder
+    if importlib.util.find_spec("PIL") is not None:
+        return pillow_decoder
+    return None
+
+
 def decode_paths(paths: DataFrame, decoder, path_col: str = "img_path",
                  partitions: int | None = None) -> DataFrame:
     """Read and decode only the listed files, on the executors.
