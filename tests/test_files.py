@@ -164,3 +164,14 @@ def test_decode_paths_opens_only_listed_files(spark, image_root):
     assert set(got) == set(wanted)
     assert got[wanted[0]]["height"] == 64 and got[wanted[1]]["height"] == -1
     assert got[wanted[2]]["height"] == -1
+
+
+def test_auto_decoder_prefers_opencv_then_pillow(monkeypatch):
+    import importlib.util
+    real = importlib.util.find_spec
+    for present, expected in ((set(), None), ({"PIL"}, src.pillow_decoder),
+                              ({"PIL", "cv2"}, src.opencv_decoder)):
+        monkeypatch.setattr(importlib.util, "find_spec",
+                            lambda name, *a, _p=present: object() if name in _p else
+                            (None if name in ("PIL", "cv2") else real(name, *a)))
+        assert src.auto_decoder() is expected
