@@ -74,8 +74,9 @@ def write_image_table(images: DataFrame, path: str, partition_by: list[str] | No
     w.parquet(path)
 
 
-def write_image_files(images: DataFrame, folder: str, name_col: str = "image_id") -> DataFrame:
-    """Write every image as a lossless PNG file ``<folder>/<name>.png`` from the
+def write_image_files(images: DataFrame, folder: str, name_col: str = "image_id",
+                      ext: str = ".png") -> DataFrame:
+    """Write every image as a lossless PNG file ``<folder>/<name><ext>`` from the
     executors (the reference writes one file per image).  Returns a lazy
     (path, n_bytes) table; run an action on it to write.  Unreadable images
     are written as they came (their original bytes), so a decode of the
@@ -95,7 +96,7 @@ def write_image_files(images: DataFrame, folder: str, name_col: str = "image_id"
         filesystem.create_dir(base, recursive=True)
         img = decode(row.get("height"), row.get("width"), row.get("n_channels"), row.get("data"))
         payload = png_encode(img) if img is not None else bytes(row.get("data") or b"")
-        target = f"{base.rstrip('/')}/{row[name_col]}.png"
+        target = f"{base.rstrip('/')}/{row[name_col]}{ext}"
         # a retried or speculative task writes a private file, then renames it
         # over the target: readers never see a half-written image
         tmp = f"{target}.tmp-{uuid.uuid4().hex}"
