@@ -184,13 +184,13 @@ def test_metadata_csv_by_header_name_any_order(spark):
     path = os.path.join(d, "meta.csv")
     with open(path, "w") as f:
         f.write("lesion_id,image_id,dx,dx_type,age,sex,localization,extra\n")
-        f.write("L1,ISIC_1,bkl,histo,80.0,male,scalp,x\n")
-        f.write("L2,ISIC_2,nv,follow_up,,female,back,y\n")
-        f.write("L3,ISIC_3,mel,histo,old,male,face,z\n")
+        f.write("L1,IMG_1,bkl,histo,80.0,male,scalp,x\n")
+        f.write("L2,IMG_2,nv,follow_up,,female,back,y\n")
+        f.write("L3,IMG_3,mel,histo,old,male,face,z\n")
     for infer in (False, True):
         raw = sm.read_metadata_csv(spark, path, infer=infer)
         got = cleaning.cast_metadata(cleaning.project_metadata(raw))
         assert got.columns == ["image_id", "dx", "dx_type", "sex", "age", "localization"]
         rows = {r["image_id"]: r for r in got.collect()}
-        assert rows["ISIC_1"]["age"] == 80.0 and rows["ISIC_1"]["sex"] == "male"
-        assert rows["ISIC_2"]["age"] is None and rows["ISIC_3"]["age"] is None
+        assert rows["IMG_1"]["age"] == 80.0 and rows["IMG_1"]["sex"] == "male"
+        assert rows["IMG_2"]["age"] is None and rows["IMG_3"]["age"] is None
