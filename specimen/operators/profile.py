@@ -81,13 +81,25 @@ def frequency_report(df: DataFrame, columns: list[str] | None = None) -> DataFra
                          format_percent("n", "_total").alias("percent_text"), "rank")
 
 
-def column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def column_stats(df: DataFrame, columns: list[str] | None = None,
+                 approx_distinct: bool = False, rsd: float = 0.01) -> DataFrame:
     """Per column: total rows, nulls and number of distinct non-null values --
-    the header of each block of the reference's report (A4, A5), one scan."""
+    the header of each block of the reference's report (A4, A5), one scan.
+
+    The exact form groups by (column, value) first; for very wide columns
+    (an id column) ``approx_distinct=True`` uses ``approx_count_distinct``
+    (HyperLogLog++, relative error ``rsd``), whose state per column is a
+    fixed-size sketch instead of one row per distinct value.
+    """
     cols = columns or REPORT_COLUMNS
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
         for c in cols])).alias("p")).select("p.*")
+    if approx_distinct:
+        return pairs.groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("total_rows"),
+            F.count_if(F.col("value").isNull()).alias("null_count"),
+            F.approx_count_distinct("value", rsd).alias("n_distinct"))
     per_value = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     return per_value.groupBy("column_name").agg(
         F.sum("n").alias("total_rows"),

@@ -238,3 +238,15 @@ def test_ordinal_consistent_under_sort_merge_and_coalescing(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_column_stats_approximate_distinct(spark):
+    clean = Q._clean(spark, SF_SMALL)
+    cols = ["image_id", "dx", "localization"]
+    exact = {r["column_name"]: tuple(r) for r in profile.column_stats(clean, cols).collect()}
+    approx = {r["column_name"]: r for r in
+              profile.column_stats(clean, cols, approx_distinct=True).collect()}
+    for c in cols:
+        _, total, nulls, n = exact[c]
+        assert approx[c]["total_rows"] == total and approx[c]["null_count"] == nulls
+        assert abs(approx[c]["n_distinct"] - n) <= max(1, 0.05 * n)
