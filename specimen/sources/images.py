@@ -153,8 +153,9 @@ def decode_paths(paths: DataFrame, decoder, path_col: str = "img_path",
     task reads its files' bytes (``pyarrow.fs``: local, HDFS, S3) and calls
     ``decoder(bytes) -> BGR array``.  Nothing but paths is shuffled, and
     files outside ``paths`` are never opened -- unlike a decode scan of the
-    whole folder followed by a join.  Unreadable or undecodable files get
-    height -1 and empty data, like Spark's image source.
+    whole folder followed by a join.  Undecodable files get height -1 and
+    empty data, like Spark's image source; missing files give no row (the
+    row that points at one is SKIPPED).
     """
     from pyspark.sql import types as T
 
@@ -178,8 +179,11 @@ def decode_paths(paths: DataFrame, decoder, path_col: str = "img_path",
         path = row[path_col]
         try:
             data = read_bytes(path)
+        except FileNotFoundError:
+            return  # no row: a missing file is SKIPPED downstream, as in the decode scan
+        try:
             img = decoder(data) if data else None
-        except Exception:  # noqa: BLE001 -- a missing or broken file is a row, not a job failure
+        except Exception:  # noqa: BLE001 -- an undecodable file is a row, not a job failure
             img = None
         if img is None:
             yield {path_col: path, "height": -1, "width": -1, "n_channels": -1, "data": b""}
