@@ -193,3 +193,18 @@ def test_metadata_csv_by_header_name_any_order(spark):
         rows = {r["image_id"]: r for r in got.collect()}
         assert rows["IMG_1"]["age"] == 80.0 and rows["IMG_1"]["sex"] == "male"
         assert rows["IMG_2"]["age"] is None and rows["IMG_3"]["age"] is None
+
+
+def test_path_driven_statuses(spark, image_root):
+    from specimen.plans import jobs
+    from tests.conftest import png_decoder
+    rows = spark.createDataFrame([
+        ("A", os.path.join(image_root, "part_1", "IMG_1.jpg")),
+        ("B", os.path.join(image_root, "part_2", "IMG_4.jpg")),       # junk
+        ("C", os.path.join(image_root, "part_1", "gone.jpg")),        # missing
+        ("D", None)], "image_id string, img_path string")
+    selected = jobs.decode_selected(rows, png_decoder)
+    done = jobs.preprocess_images(selected)
+    got = {r["image_id"]: r["status"] for r in
+           jobs.preprocess_dataset(rows, None, processed=done).collect()}
+    assert got == {"A": "SUCCESS", "B": "FAILED", "C": "SKIPPED", "D": "SKIPPED"}
