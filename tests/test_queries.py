@@ -250,3 +250,21 @@ def test_column_stats_approximate_distinct(spark):
         _, total, nulls, n = exact[c]
         assert approx[c]["total_rows"] == total and approx[c]["null_count"] == nulls
         assert abs(approx[c]["n_distinct"] - n) <= max(1, 0.05 * n)
+
+
+PIXEL_QUERIES = {k for k in E.queries() if k.startswith(("img_", "augment_", "preprocess_",
+                                                        "write_image", "scan_image_pixels",
+                                                        "largest_component", "status_counts",
+                                                        "success_rate", "run_summary", "int_trunc"))}
+
+
+def test_plans_have_no_cross_join_and_no_row_udf(spark):
+    """Every registered query: no cartesian product or nested-loop join, no
+    row-at-a-time Python UDF; Python only as Arrow-batched MapInArrow, and
+    only where pixels are processed."""
+    for name, fn in E.queries().items():
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+        if name not in PIXEL_QUERIES:
+            assert "MapInArrow" not in plan and "PythonMapInArrow" not in plan, name
