@@ -268,3 +268,13 @@ def test_plans_have_no_cross_join_and_no_row_udf(spark):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         if name not in PIXEL_QUERIES:
             assert "MapInArrow" not in plan and "PythonMapInArrow" not in plan, name
+
+
+def test_scans_prune_unused_columns(spark):
+    """No query reads the large ``documents.text`` column: projections reach
+    the parquet scans (ReadSchema)."""
+    for name in ["project_metadata", "clean_and_enrich", "frequency_report", "balance_plan",
+                 "scan_csv_metadata", "cleaning_delta", "preprocess_dataset"]:
+        plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        schemas = [line for line in plan.split("\n") if "ReadSchema" in line or "FileScan" in line]
+        assert schemas and not any("text:" in s for s in schemas), name
