@@ -95,6 +95,16 @@ def preprocess_dataset(rows: DataFrame, images: DataFrame,
         F.col("_error").alias("error"), "height", "width")
 
 
+def _check_adaptive(spark: SparkSession) -> None:
+    """Hot keys (a null or repeated image id, a path shared by many rows) are
+    split at runtime by AQE's skew join; warn when a session turned it off."""
+    import warnings
+    on = lambda k: str(spark.conf.get(k, "true")).lower() == "true"
+    if not (on("spark.sql.adaptive.enabled") and on("spark.sql.adaptive.skewJoin.enabled")):
+        warnings.warn("adaptive execution or its skew join is disabled: a hot image id or path "
+                      "would be joined in a single task", RuntimeWarning, stacklevel=3)
+
+
 def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_dir: str,
                     fraction: float = DEFAULT_SAMPLE_FRACTION, infer_schema: bool = False,
                     decoder="auto") -> dict:
@@ -112,6 +122,7 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
     when the path list is too large to broadcast).  ``'auto'`` (default)
     picks OpenCV, then Pillow, when installed, else Spark's source.
     """
+    _check_adaptive(spark)
     if decoder == "auto":
         decoder = src_images.auto_decoder()
     parts = cat.part_dirs_under(data_root)

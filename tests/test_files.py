@@ -208,3 +208,14 @@ def test_path_driven_statuses(spark, image_root):
     got = {r["image_id"]: r["status"] for r in
            jobs.preprocess_dataset(rows, None, processed=done).collect()}
     assert got == {"A": "SUCCESS", "B": "FAILED", "C": "SKIPPED", "D": "SKIPPED"}
+
+
+def test_warns_when_skew_join_is_off(spark, image_root):
+    import pytest
+    from specimen.plans.jobs import _check_adaptive
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        with pytest.warns(RuntimeWarning):
+            _check_adaptive(spark)
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
