@@ -125,7 +125,8 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
     _check_adaptive(spark)
     if decoder == "auto":
         decoder = src_images.auto_decoder()
-    parts = cat.part_dirs_under(data_root)
+    # compare folders the way the listing spells paths (file: URIs stripped)
+    parts = cat.part_dirs_under(src_images.local_path_str(data_root))
     raw = src_meta.read_metadata_csv(spark, metadata_csv, infer=infer_schema)
     raw = cleaning.sample_fraction(raw, fraction)
     listing = src_images.list_images(spark, [data_root])

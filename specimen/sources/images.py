@@ -21,6 +21,12 @@ def local_path(c) -> F.Column:
     return F.regexp_replace(c, r"^file:/+", "/")
 
 
+def local_path_str(path: str) -> str:
+    """Python twin of ``local_path`` for paths given by the caller."""
+    import re
+    return re.sub(r"^file:/+", "/", path)
+
+
 def list_files(spark: SparkSession, roots: list[str], glob: str | None = None) -> DataFrame:
     """(path, length) of every file under ``roots``, recursively.
 

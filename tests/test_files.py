@@ -219,3 +219,10 @@ def test_warns_when_skew_join_is_off(spark, image_root):
             _check_adaptive(spark)
     finally:
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+def test_prepare_accepts_file_uri_root(spark, image_root):
+    out = tempfile.mkdtemp(prefix="specimen-uri-")
+    rep = prepare_dataset(spark, "file:" + os.path.join(image_root, "metadata.csv"),
+                          "file://" + image_root, out, fraction=1.0)
+    assert {r["status"]: r["n"] for r in rep["status_counts"].collect()} == {"SUCCESS": 4, "FAILED": 1}
