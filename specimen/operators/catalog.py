@@ -157,6 +157,14 @@ def locate_file_ci(listing: DataFrame) -> DataFrame:
             .agg(F.min("path").alias("first_path"), F.count(F.lit(1)).alias("n_matches")))
 
 
+def locate_file(listing: DataFrame, name: str) -> DataFrame:
+    """The first file (smallest path) whose lower-cased name equals ``name``
+    lower-cased -- e.g. the metadata CSV under a data root (S5).  One row,
+    or none when no file matches."""
+    hits = listing.filter(P.lower_equals(P.basename("path"), F.lit(name)))
+    return hits.agg(F.min("path").alias("path")).filter(F.col("path").isNotNull())
+
+
 def dataset_ready(listing: DataFrame, meta: DataFrame, part_dirs: list[str]) -> DataFrame:
     """Metadata present and at least one image in part 1 or part 2.
 

@@ -278,3 +278,10 @@ def test_scans_prune_unused_columns(spark):
         plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         schemas = [line for line in plan.split("\n") if "ReadSchema" in line or "FileScan" in line]
         assert schemas and not any("text:" in s for s in schemas), name
+
+
+def test_locate_file_any_case(spark):
+    lst = spark.createDataFrame([("/d/x/Meta.CSV",), ("/d/a/meta.csv",), ("/d/b/other.csv",)],
+                                "path string")
+    assert [r[0] for r in cat.locate_file(lst, "META.csv").collect()] == ["/d/a/meta.csv"]
+    assert cat.locate_file(lst, "missing.csv").count() == 0
