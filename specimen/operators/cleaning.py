@@ -96,7 +96,11 @@ def _quarantined_ids(enriched: DataFrame) -> DataFrame:
 def clean_and_enrich(raw: DataFrame, resolved: DataFrame) -> DataFrame:
     """Rows kept by the reference's cleaning (F8):
     age present, image found, and the image not quarantined (M6)."""
-    enriched = enrich(raw, resolved)
+    return keep_clean(enrich(raw, resolved))
+
+
+def keep_clean(enriched: DataFrame) -> DataFrame:
+    """The cleaning rule applied to an already enriched table (F8)."""
     kept = enriched.filter(F.col("age").isNotNull() & F.col("img_path").isNotNull())
     return kept.join(_quarantined_ids(enriched), on="image_id", how="left_anti") \
         .select(*METADATA_COLUMNS, "img_path")

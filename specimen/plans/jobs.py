@@ -109,8 +109,8 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
                     fraction: float = DEFAULT_SAMPLE_FRACTION, infer_schema: bool = False,
                     decoder="auto") -> dict:
     """The reference's whole run as Spark jobs, writing new tables under
-    ``out_dir`` (never touching ``data_root``): ``clean``, ``quarantine`` and
-    ``derived`` (partitioned by ``kind``: the nine variant suffixes and
+    ``out_dir`` (never touching ``data_root``): ``enriched``, ``clean``,
+    ``quarantine`` and ``derived`` (partitioned by ``kind``: the nine variant suffixes and
     'preprocessed'; every image file is decoded once for both).  Returns
     report DataFrames, each small and bounded (per column / class / status /
     variant).
@@ -131,8 +131,10 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
     raw = cleaning.sample_fraction(raw, fraction)
     listing = src_images.list_images(spark, [data_root])
     resolved = cat.resolve_catalog(listing, parts)
-    enriched = cleaning.enrich(raw, resolved)
-    clean = src_images.materialize(cleaning.clean_and_enrich(raw, resolved), f"{out_dir}/clean")
+    # the enriched rows are written once; clean, quarantine and the cleaning
+    # report all read that table instead of re-running CSV parse and joins
+    enriched = src_images.materialize(cleaning.enrich(raw, resolved), f"{out_dir}/enriched")
+    clean = src_images.materialize(cleaning.keep_clean(enriched), f"{out_dir}/clean")
     quarantine = cleaning.quarantine_null_age(enriched)
     quarantine.write.mode("overwrite").parquet(f"{out_dir}/quarantine")
 
