@@ -107,7 +107,7 @@ def _check_adaptive(spark: SparkSession) -> None:
 
 def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_dir: str,
                     fraction: float = DEFAULT_SAMPLE_FRACTION, infer_schema: bool = False,
-                    decoder="auto") -> dict:
+                    decoder="auto", sample_mode: str = "hash") -> dict:
     """The reference's whole run as Spark jobs, writing new tables under
     ``out_dir`` (never touching ``data_root``): ``enriched``, ``clean``,
     ``quarantine`` and ``derived`` (partitioned by ``kind``: the nine variant suffixes and
@@ -121,6 +121,8 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
     source and keeps the selected ones by a semi join (pixels may be shuffled
     when the path list is too large to broadcast).  ``'auto'`` (default)
     picks OpenCV, then Pillow, when installed, else Spark's source.
+    ``sample_mode``: 'hash' (same rows at any partitioning) or 'bernoulli'
+    (Spark's ``sample(False, f, 42)``, the reference's sampler).
     """
     _check_adaptive(spark)
     if decoder == "auto":
@@ -128,7 +130,7 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
     # compare folders the way the listing spells paths (file: URIs stripped)
     parts = cat.part_dirs_under(src_images.local_path_str(data_root))
     raw = src_meta.read_metadata_csv(spark, metadata_csv, infer=infer_schema)
-    raw = cleaning.sample_fraction(raw, fraction)
+    raw = cleaning.sample_fraction(raw, fraction, mode=sample_mode)
     listing = src_images.list_images(spark, [data_root])
     resolved = cat.resolve_catalog(listing, parts)
     # the enriched rows are written once; clean, quarantine and the cleaning

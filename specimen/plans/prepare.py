@@ -31,6 +31,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", required=True, help="output folder for the new tables")
     ap.add_argument("--fraction", type=float, default=DEFAULT_SAMPLE_FRACTION,
                     help="sample fraction; outside (0, 1) keeps every row")
+    ap.add_argument("--sample-mode", choices=["hash", "bernoulli"], default="hash",
+                    help="hash: by a key hash, the same rows at any partitioning; "
+                         "bernoulli: Spark's sample(False, f, 42)")
     ap.add_argument("--infer-schema", action="store_true", help="infer CSV types (extra pass)")
     ap.add_argument("--decoder", choices=["auto", "spark", "opencv", "pillow"], default="auto",
                     help="spark: decode scan of the part folders (JVM); opencv / pillow: read "
@@ -44,7 +47,8 @@ def main(argv: list[str] | None = None) -> int:
     decoder = {"auto": "auto", "spark": None, "opencv": opencv_decoder,
                "pillow": pillow_decoder}[args.decoder]
     reports = prepare_dataset(spark, args.metadata, args.root, args.out, args.fraction,
-                              infer_schema=args.infer_schema, decoder=decoder)
+                              infer_schema=args.infer_schema, decoder=decoder,
+                              sample_mode=args.sample_mode)
     for name, df in reports.items():
         print(f"\n== {name}")
         df.show(200, truncate=False)

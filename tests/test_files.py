@@ -226,3 +226,12 @@ def test_prepare_accepts_file_uri_root(spark, image_root):
     rep = prepare_dataset(spark, "file:" + os.path.join(image_root, "metadata.csv"),
                           "file://" + image_root, out, fraction=1.0)
     assert {r["status"]: r["n"] for r in rep["status_counts"].collect()} == {"SUCCESS": 4, "FAILED": 1}
+
+
+def test_command_line_bernoulli_sample(image_root, capsys):
+    from specimen.plans import prepare
+    out = tempfile.mkdtemp(prefix="specimen-cli-b-")
+    assert prepare.main(["--metadata", os.path.join(image_root, "metadata.csv"),
+                         "--root", image_root, "--out", out, "--fraction", "0.5",
+                         "--sample-mode", "bernoulli"]) == 0
+    assert "== summary" in capsys.readouterr().out
