@@ -1,0 +1,43 @@
+"""Write PLANS.md: the physical operator trees (explain 'formatted', tree part
+only, before adaptive re-planning) of the headline queries at a given scale."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from specimen.plans import queries as Q  # noqa: E402
+from specimen.session import get_session  # noqa: E402
+
+NAMES = ["resolve_image_path", "clean_and_enrich", "frequency_report", "class_frequency",
+         "balance_plan", "preprocess_dataset"]
+
+
+def tree(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    text = buf.getvalue()
+    return text.split("\n\n\n")[0].replace("== Physical Plan ==\n", "").rstrip()
+
+
+def main():
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    spark = get_session("plans-doc")
+    parts = ["# Physical plans of the headline queries\n",
+             f"Generated by `scripts/plans_doc.py` at `{os.path.basename(sf)}` (initial plans; AQE "
+             "re-plans at runtime from measured sizes, e.g. sort-merge joins of small sides become "
+             "broadcasts). Full details: `python scripts/explain.py <sf_dir> <query>`.\n"]
+    for name in NAMES:
+        parts.append(f"## {name}\n\n```\n{tree(Q.QUERIES[name](spark, sf))}\n```\n")
+    with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                           "PLANS.md"), "w") as f:
+        f.write("\n".join(parts))
+
+
+if __name__ == "__main__":
+    main()
