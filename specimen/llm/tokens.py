@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 
-_CACHE_LIMIT = 500_000
+_CACHE_LIMIT, _LONGEST_CACHED = 500_000, 200
 _ODD = re.compile(r"\s | \s|<\|")
 _STATE: dict[str, object] = {}
 
@@ -39,18 +39,36 @@ def _json_encoder(path: str):
 class _Chunks(dict):
     """chunk -> its ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, ranks: str):
-        self.encode = _rank_encoder(ranks).encode_ordinary
+    def __init__(self, json_path: str, ranks_path: str):
+        self.json_path, self.plain = json_path, _rank_encoder(ranks_path).encode_ordinary
+
+    def whole(self, text: str) -> list[int]:
+        return _json_encoder(self.json_path).encode(text, add_special_tokens=False).ids
 
     def __missing__(self, chunk: str) -> bytes:
         import numpy as np
+        ids = np.array(self.whole(chunk) if _ODD.search(chunk) else self.plain(chunk), dtype="<u4").tobytes()
         if len(self) >= _CACHE_LIMIT:
             self.clear()
-        ids = np.array(self.encode(chunk), dtype="<u4").tobytes()
-        self[chunk] = ids
+        if len(chunk) <= _LONGEST_CACHED:
+            self[chunk] = ids
         return ids
 
 
+def _chunk_ids(json_path: str | None, ranks_path: str | None) -> _Chunks:
+    default_json, default_ranks = default_paths()
+    json_path, ranks_path = json_path or default_json, ranks_path or default_ranks
+    key = f"chunks:{json_path}:{ranks_path}"
+    if key not in _STATE:
+        _STATE[key] = _Chunks(json_path, ranks_path)
+    return _STATE[key]
+
+
+def chunk_encoder(json_path: str | None = None, ranks_path: str | None = None):
+    """A function chunk -> ids for chunks that end at safe cuts."""
+    return _chunk_ids(json_path, ranks_path).__getitem__
+
+
 def default_paths() -> tuple[str, str]:
     import public_tokenizers as p
     return p.path("byte_bpe_50k.json"), p.path("byte_bpe_50k.tiktoken")
@@ -59,22 +77,17 @@ def default_paths() -> tuple[str, str]:
 def encoder(json_path: str | None = None, ranks_path: str | None = None):
     """A function text -> ids as little-endian unsigned 32-bit bytes, equal to
     the JSON tokenizer's ``encode(text, add_special_tokens=False)``."""
-    default_json, default_ranks = default_paths()
-    json_path, ranks_path = json_path or default_json, ranks_path or default_ranks
-    key = f"chunks:{ranks_path}"
-    if key not in _STATE:
-        _STATE[key] = _Chunks(ranks_path)
-    get = _STATE[key].__getitem__
+    chunks = _chunk_ids(json_path, ranks_path)
+    get = chunks.__getitem__
 
     def encode(text: str) -> bytes:
         import numpy as np
         if not text:
             return b""
         if _ODD.search(text):
-            ids = _json_encoder(json_path).encode(text, add_special_tokens=False).ids
-            return np.array(ids, dtype="<u4").tobytes()
+            return np.array(chunks.whole(text), dtype="<u4").tobytes()
         head, *rest = text.split(" ")
-        return b"".join([get(head), *map(get, [" " + c for c in rest])] if head
-                        else map(get, [" " + c for c in rest]))
+        spaced = map(get, [" " + c for c in rest])
+        return b"".join([get(head), *spaced] if head else spaced)
 
     return encode
