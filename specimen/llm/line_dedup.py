@@ -61,12 +61,13 @@ def dedup_report(docs: DataFrame, min_chars: int = MIN_CHARS,
     drop = (line_keys(docs, min_chars).join(repeated, ["_h1", "_h2"])
             .filter(F.col("_ld_id") != F.col("keeper"))
             .groupBy("_ld_id", "_ld_row").agg(F.collect_set("_ld_pos").alias("_ld_drop")))
-    rows = _keyed(docs).join(drop, ["_ld_id", "_ld_row"], "left")
-    lines = F.split("_ld_text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_ld_drop"))
+    rows = _keyed(docs).join(drop, ["_ld_id", "_ld_row"], "left").withColumn(
+        "_ld_lines", F.split("_ld_text", "\n"))
+    # used twice, so the optimizer keeps it a column and the lambda does not split anew
+    left = F.array_except(F.sequence(F.lit(0), F.size("_ld_lines") - 1), F.col("_ld_drop"))
     kept = F.when(F.col("_ld_drop").isNull(), F.col("_ld_text")).otherwise(
         F.array_join(F.transform(left, lambda i: F.get(F.col("_ld_lines"), i)), "\n"))
-    return rows.withColumn("_ld_lines", lines).withColumn("_ld_kept", kept)
+    return rows.withColumn("_ld_kept", kept)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS,

@@ -106,6 +106,7 @@ def plan(docs: DataFrame, target_entropy: float | None = None, max_repeats: floa
          budget: int | None = None, seed: str = SEED) -> DataFrame:
     """One row per source: tokens, weight, quota, blocks (whole ones) and ``cut``,
     the largest hash of the started block (null: none of it)."""
+    docs = docs.select("doc_id", "source", "text")
     measured = _measured(docs)
     sizes = written(source_sizes(docs), "source-sizes")
     alpha = bisect_exponent(sizes, target_entropy, max_repeats, budget)
