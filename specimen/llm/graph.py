@@ -12,19 +12,19 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of ``edges`` (a, b: long); the label is the
     least node of its component.
 
-    Each round takes the least label among neighbours and then jumps to the
-    label's own label, so a path of length n needs about log n rounds.  The
-    least label per node is aggregated before the exchange, and every round is
-    written to the shared folder, so a lost executor repeats one round at most.
+    Each round takes the least label among a node and its neighbours and then
+    jumps to that label's own label, so a path of length n needs about log n
+    rounds of two joins.  The least label per node is aggregated before the
+    exchange, and every round is written to the shared folder, so a lost
+    executor repeats one round at most.
     """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(
-        F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    own = edges.select("a", F.col("a").alias("b")).union(edges.select(F.col("b").alias("a"), "b"))
+    both = written(edges.select("a", "b").union(edges.select("b", "a")).union(own).distinct(), "edges")
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "labels")
     while True:
-        near = (both.join(labels.withColumnRenamed("node", "b"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_near")))
-        step = labels.join(near, "node").select(
-            "node", F.least("label", "_near").alias("_low"), F.col("label").alias("_old"))
+        step = (both.join(labels.withColumnRenamed("node", "b"), "b")
+                .groupBy(F.col("a").alias("node")).agg(
+                    F.min("label").alias("_low"), F.max(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("_old")))
         up = labels.select(F.col("node").alias("_low"), F.col("label").alias("_up"))
         moved = written(step.join(up, "_low").select(
             "node", F.least("_low", "_up").alias("label"), "_old"), "labels")

@@ -16,13 +16,17 @@ look twice as far.  Signatures are banded (BANDS x ROWS); a pair at similarity
 0.8 misses every band with probability 2e-4, at 0.9 with 1e-9.
 
 Links without all pairs.  Equal texts are merged first (128-bit hash) and one
-row stands for them.  In each band bucket every member is paired with the
-bucket's least member only; the pairs are checked exactly on the shingle
-multisets; then, while a bucket still holds members outside its least member's
-class, those outsiders are paired with the members of other classes, 8, 16, 32,
-... outsiders a round, pairs already checked left out.  A pair within one class
-needs no check and every pair across classes is checked, so no link that shares
-a bucket is lost, and the number of rounds is logarithmic.
+row stands for them.  In each band bucket every member is paired with one lead
+only, the member with most bucket mates over all bands (a text that many others
+were copied from); the pairs are checked exactly on the shingle multisets.
+Then, while a bucket still holds members outside its lead's class, those
+outsiders are paired with the bucket's members, 8, 64, 512, ... outsiders a
+round.  Left out are pairs checked before, pairs within a class, and pairs that
+cannot reach the threshold: distance (1 - similarity) is a metric, so two
+members whose distances from the lead differ by more than 1 - threshold are not
+linked, nor are two whose weights differ by more than the threshold's factor.
+Every other pair across classes is checked, so no link that shares a bucket is
+lost, and the number of rounds is logarithmic.
 
 Hot groups: exact copies collapse in a partial aggregate; joins on a bucket or
 copy key have written tables on both sides, with unique keys on one, so adaptive
@@ -190,8 +194,10 @@ def _sign(batches):
             key = np.frombuffer(b"".join(raw), np.int64).reshape(-1, 2)
             bands = pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * BANDS,
                                              pa.array(_bands(sig).ravel()))
+            weight = pa.array([max(len(r) - WORDS + 1, min(len(r), 1)) for r in rows], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy()), bands], names=["id", "h1", "h2", "bands"])
+                [ids, pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy()), weight, bands],
+                names=["id", "h1", "h2", "weight", "bands"])
 
 
 def _expand(batches):
@@ -210,8 +216,8 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(id, h1, h2, bands): copy key and band keys of every row."""
-    return _rows(docs).mapInArrow(_sign, "id long, h1 long, h2 long, bands array<long>")
+    """(id, h1, h2, weight, bands): copy key, number of shingles and band keys."""
+    return _rows(docs).mapInArrow(_sign, "id long, h1 long, h2 long, weight int, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -230,51 +236,63 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", (common / total).alias("sim"))
 
 
+def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
+    return df.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, text_id) of every row: ``text_id`` is the least doc_id
     with an equal text, ``class_id`` the least doc_id of the class."""
     signed = written(sketch(docs), "signatures")
     copies = written(signed.groupBy("h1", "h2").agg(F.min("id").alias("text_id")), "copies")
     firsts = signed.join(copies.select(F.col("text_id").alias("id"), "h1", "h2"), ["id", "h1", "h2"], "left_semi")
-    rows = written(firsts.select("id", F.explode("bands").alias("key")).distinct(), "buckets")
-    leads = written(rows.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("n"))
-                    .filter(F.col("n") > 1), "leads")
-    members = rows.join(leads, "key")
-    pairs = members.filter(F.col("id") != F.col("lead")).select(
-        F.col("id").alias("a"), F.col("lead").alias("b")).distinct()
-    pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    rows = written(firsts.select("id", "weight", F.explode("bands").alias("key")).distinct(), "buckets")
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    members = written(rows.join(written(sizes, "bucket-sizes"), "key"), "members")
+    mates = written(members.groupBy("id").agg(F.sum("n").alias("mates")), "mates")
+    leads = written(members.join(mates, "id").groupBy("key").agg(
+        F.max(F.struct("mates", F.bitwise_not("id").alias("flip"))).alias("_top")).select(
+            "key", F.bitwise_not("_top.flip").alias("lead")), "leads")  # ties: the least id
+    stars = written(members.join(leads, "key"), "stars")
+    pairs = written(_ordered(stars.filter(F.col("id") != F.col("lead")), "id", "lead").distinct(), "pairs")
+    wanted = pairs.select(F.col("a").alias("_nd_id")).union(pairs.select(F.col("b").alias("_nd_id"))).distinct()
+    # merge: the wanted ids grow with the input, so the join has one form at every size
     sets = written(shingle_sets(docs.withColumn("_nd_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)))
-                                .join(wanted.withColumnRenamed("id", "_nd_id"), "_nd_id", "left_semi")), "sets")
+                                .join(wanted.hint("merge"), "_nd_id", "left_semi")), "sets")
     tested = written(_checked(pairs, sets), "tested")
-    crowded = written(rows.join(leads.filter(F.col("n") > 2), "key"), "crowded")
+    labels = components(tested.filter(F.col("sim") >= threshold).select("a", "b"))
+    # every member's similarity to its lead
+    rated = stars.withColumns({"a": F.greatest("id", "lead"), "b": F.least("id", "lead")}).join(
+        tested, ["a", "b"], "left").select("key", "n", "id", "weight", "lead", F.coalesce("sim", F.lit(1.0)).alias("sim"))
+    rated = written(rated, "rated").filter(F.col("n") > 2)
     leaders = 8
     while True:
-        labels = components(tested.filter(F.col("sim") >= threshold).select("a", "b"))
-        placed = (crowded.join(labels.select(F.col("node").alias("id"), F.col("label").alias("_own")), "id", "left")
-                  .join(labels.select(F.col("node").alias("lead"), F.col("label").alias("_of_lead")), "lead", "left")
-                  .select("key", "id", F.coalesce("_own", "id").alias("cls"),
-                          F.coalesce("_of_lead", "lead").alias("lead_cls")))
-        placed = written(placed, "placed")
-        outside = placed.filter(F.col("cls") != F.col("lead_cls"))
-        counts = written(outside.groupBy("key").agg(F.count("*").alias("n_out")), "outside")
-        if counts.isEmpty():
+        cls = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"_{name}"))
+        outside = (rated.filter(F.col("sim") < threshold).join(cls("id"), "id", "left").join(cls("lead"), "lead", "left")
+                   .filter(F.coalesce("_id", "id") != F.coalesce("_lead", "lead")))
+        outside = written(outside.select("key", "id", "weight", "sim"), "outside")
+        counts = written(outside.groupBy("key").agg(F.count("*").alias("n_out")), "outside-sizes")
+        last = counts.agg(F.max("n_out")).first()[0]
+        if not last:
             break
-        chosen = outside.join(counts, "key").filter(
+        chosen = written(outside.join(counts, "key").filter(
             F.pmod(F.xxhash64("id"), F.col("n_out")) < leaders).select(
-            "key", F.col("id").alias("b"), F.col("cls").alias("b_cls"))
-        chosen = written(chosen, "chosen")
-        fresh = (placed.join(chosen, "key").filter(F.col("cls") != F.col("b_cls"))
-                 .select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
-                 .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
+                "key", F.col("id").alias("_y"), F.col("weight").alias("_w"), F.col("sim").alias("_s")), "chosen")
+        can = ((F.col("id") != F.col("_y")) & (F.abs(F.col("sim") - F.col("_s")) <= 1 - threshold + 1e-9)
+               & (F.least("weight", "_w") >= threshold * F.greatest("weight", "_w")))
+        near = rated.alias("x").join(chosen.alias("y"), (F.col("x.key") == F.col("y.key")) & can)
+        fresh = _ordered(near, "id", "_y").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        fresh = (fresh.join(cls("a"), "a", "left").join(cls("b"), "b", "left")
+                 .filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b"))
         fresh = written(fresh, "pairs")
-        if not fresh.isEmpty():
-            tested = written(tested.union(_checked(fresh, sets).select("a", "b", "sim")), "tested")
-        last = counts.agg(F.max("n_out")).first()[0]
-        if leaders >= last:
+        new = written(_checked(fresh, sets), "tested")
+        tested = tested.unionByName(new)
+        linked = new.filter(F.col("sim") >= threshold)
+        if not linked.isEmpty():
             labels = components(tested.filter(F.col("sim") >= threshold).select("a", "b"))
+        if leaders >= last:
             break
-        leaders *= 2
+        leaders *= 8
     named = signed.select("id", "h1", "h2").join(copies, ["h1", "h2"]).select(F.col("id"), "text_id")
     return (named.join(labels.select(F.col("node").alias("text_id"), "label"), "text_id", "left")
             .select(F.when(F.col("id") != _NULL_ID, F.col("id")).alias("doc_id"),
