@@ -17,6 +17,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from specimen.operators import profile  # noqa: E402
 from specimen.plans import queries as Q  # noqa: E402
 from specimen.schema import REPORT_COLUMNS  # noqa: E402
@@ -29,15 +31,16 @@ HEADLINE = [
 ]
 
 
-def frequency_report_per_column(s, sf):
-    """The reference's shape: one job per metric and column (for comparison)."""
+def frequency_report_unfused(s, sf):
+    """The report's parts by separate operators, column by column (for comparison)."""
     clean = Q._clean(s, sf)
-    for c in REPORT_COLUMNS:
-        clean.count()
-        clean.filter(clean[c].isNull()).count()
-        clean.select(c).distinct().collect()
-        clean.groupBy(c).count().orderBy("count", ascending=False).collect()
-    return profile.frequency_report(clean.limit(0))
+    parts = [profile.class_frequency(clean, c).select("value", "n", "rank") for c in REPORT_COLUMNS]
+    parts += [profile.column_stats(clean, [c]).select(
+        F.col("column_name").alias("value"), F.col("total_rows").alias("n"), F.col("n_distinct").alias("rank"))
+        for c in REPORT_COLUMNS]
+    for part in parts:
+        part.write.format("noop").mode("overwrite").save()
+    return parts[0].limit(0)
 
 
 def run(fn, spark, sf):
@@ -53,7 +56,7 @@ def main():
     spark = get_session("specimen-bench", cores=cpus, shuffle_partitions=max(2 * cpus, 8))
     timings = {}
     fns = {name: Q.QUERIES[name] for name in HEADLINE}
-    fns["frequency_report_per_column"] = frequency_report_per_column
+    fns["frequency_report_unfused"] = frequency_report_unfused
     for name, fn in fns.items():
         run(fn, spark, sf)  # warm-up
         timings[name] = round(statistics.median(run(fn, spark, sf) for _ in range(repeat)), 3)

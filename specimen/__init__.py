@@ -12,7 +12,8 @@ file is ever modified.  Sub-packages:
                   image operators (``mapInArrow``) and run reports.
 * ``plans``     – end-to-end jobs (augment, preprocess, full preparation run)
                   and the registry of named queries with their SQL oracles.
-* ``streaming`` – intentionally empty: the reference has no streaming operator.
+* ``llm``       – operators of a training-data pipeline over documents; nothing else
+                  imports it.
 """
 
 __all__ = ["session"]

@@ -50,6 +50,17 @@ def encode(img: np.ndarray) -> dict:
             "n_channels": int(img.shape[2]), "data": img.tobytes()}
 
 
+def three_channels(img: np.ndarray | None) -> np.ndarray | None:
+    """(h, w, 3) BGR of a decoded image: grey is repeated, alpha is dropped."""
+    if img is None:
+        return None
+    if img.ndim == 2:
+        img = img[:, :, None]
+    if img.shape[2] in (1, 2):
+        return np.repeat(img[:, :, :1], 3, axis=2)
+    return img[:, :, :3]
+
+
 def rgb_planes(img: np.ndarray):
     """(r, g, b) int64 planes of a BGR (3 channels) or grey (1 channel) image."""
     a = img.astype(np.int64)
@@ -78,8 +89,9 @@ def digest(img: np.ndarray | None) -> dict:
 
 
 def png_encode(img: np.ndarray) -> bytes:
-    """Lossless PNG of a BGR (3 channels) or grey (1 channel) image."""
-    rgb = np.ascontiguousarray(img[:, :, ::-1] if img.shape[2] == 3 else img, dtype=np.uint8)
+    """Lossless PNG of a BGR (3 channels), BGR + alpha (4) or grey (1) image."""
+    order = {1: [0], 3: [2, 1, 0], 4: [2, 1, 0, 3]}[img.shape[2]]
+    rgb = np.ascontiguousarray(img[:, :, order], dtype=np.uint8)
     h, w, c = rgb.shape
     raw = b"".join(b"\x00" + rgb[y].tobytes() for y in range(h))
 
@@ -87,35 +99,20 @@ def png_encode(img: np.ndarray) -> bytes:
         return (struct.pack(">I", len(data)) + tag + data +
                 struct.pack(">I", zlib.crc32(tag + data) & 0xFFFFFFFF))
 
-    ihdr = struct.pack(">IIBBBBB", w, h, 8, 2 if c == 3 else 0, 0, 0, 0)
+    ihdr = struct.pack(">IIBBBBB", w, h, 8, {1: 0, 3: 2, 4: 6}[c], 0, 0, 0)
     return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", ihdr) +
             chunk(b"IDAT", zlib.compress(raw, 6)) + chunk(b"IEND", b""))
 
 
 RowFn = Callable[[dict], Iterable[dict]]
 
-ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
-IMAGE_BATCH_ROWS = 16
-
-
-def cap_arrow_batch(spark, rows: int = IMAGE_BATCH_ROWS) -> None:
-    """Keep Arrow input batches small when rows carry images.
-
-    Spark cuts Arrow batches by row count only (10,000 by default); with
-    decoded photos of ~1 MB that would be ~10 GB per batch.  The cap is
-    lowered (never raised) for the session.
-    """
-    current = int(spark.conf.get(ARROW_BATCH_CONF, "10000"))
-    if current <= 0 or current > rows:
-        spark.conf.set(ARROW_BATCH_CONF, str(rows))
-
-
 OUTPUT_BATCH_BYTES = 64 << 20
 
 
 def map_rows(df: DataFrame, row_fn: RowFn, out_schema: T.StructType,
              batch_rows: int = 32, batch_bytes: int = OUTPUT_BATCH_BYTES) -> DataFrame:
-    """Run ``row_fn`` over every row of ``df`` inside Arrow batches.
+    """Run ``row_fn`` over every row of ``df`` inside Arrow batches (Spark cuts
+    them by rows and by ``spark.sql.execution.arrow.maxBytesPerBatch``).
 
     ``row_fn`` receives a row as a dict and yields output dicts (zero, one or
     several: fan-out).  Output is flushed every ``batch_rows`` rows or once
@@ -131,10 +128,11 @@ def map_rows(df: DataFrame, row_fn: RowFn, out_schema: T.StructType,
         out = {n: [] for n in names}
         size = nbytes = 0
         for rb in batches:
-            cols = rb.to_pydict()
-            keys = list(cols)
+            cols = {k: rb.column(k) for k in rb.schema.names}
             for i in range(rb.num_rows):
-                row = {k: cols[k][i] for k in keys}
+                # one row at a time; binary values stay views of the batch
+                row = {k: c[i].as_buffer() if pa.types.is_binary(c.type) else c[i].as_py()
+                       for k, c in cols.items()}
                 for res in row_fn(row):
                     for n in names:
                         out[n].append(res.get(n))
@@ -149,6 +147,4 @@ def map_rows(df: DataFrame, row_fn: RowFn, out_schema: T.StructType,
 
     from specimen.session import ship_package
     ship_package(df.sparkSession)
-    if "data" in df.columns:
-        cap_arrow_batch(df.sparkSession)
     return df.mapInArrow(run, out_schema)

@@ -43,11 +43,14 @@ def balance_plan(df: DataFrame, column: str = "dx") -> DataFrame:
     variants 1..k with k = min(9, floor((deficit - r) / n_c) + 1), and
     plan_rank = (variant_rank - 1) * n_c + r.
     """
-    deficits = class_deficit(df, column).select("value", "deficit")
-    images = (df.select(null_label(column).alias("value"), "image_id")
-              .filter(F.col("image_id").isNotNull()).distinct()
-              .join(deficits.filter(F.col("deficit") > 0), on="value", how="inner"))
-    ranked = with_ordinal(images, ["image_id"], group_by=["value"], name="r", count_name="n_c")
+    per_image = df.groupBy(null_label(column).alias("value"), "image_id").agg(F.count(F.lit(1)).alias("n"))
+    ranked = with_ordinal(per_image.filter(F.col("image_id").isNotNull()), ["image_id"], group_by=["value"],
+                          name="r", count_name="n_c")
+    # class totals: one row per class, and the largest of them as one number
+    sizes = per_image.groupBy("value").agg(F.sum("n").alias("n_class"))
+    most = sizes.select(F.max("n_class")).scalar()
+    deficits = sizes.select("value", (most - F.col("n_class")).alias("deficit")).filter(F.col("deficit") > 0)
+    ranked = ranked.join(deficits, on="value")
     k = F.least(F.lit(N_VARIANTS),
                 F.floor((F.col("deficit") - F.col("r")) / F.col("n_c")).cast("int") + 1)
     suffixes = F.array(*[F.lit(v[1]) for v in VARIANTS])

@@ -76,11 +76,6 @@ def candidate_table(meta: DataFrame, part_dirs: list[str]) -> DataFrame:
                     .alias("pos", "candidate")))
 
 
-def images_with_metadata(enriched: DataFrame) -> DataFrame:
-    """Rows whose image exists."""
-    return enriched.filter(F.col("img_path").isNotNull())
-
-
 def metadata_with_image(meta: DataFrame, resolved: DataFrame) -> DataFrame:
     """Rows whose image exists, as a semi join."""
     return meta.join(resolved.select("image_id"), on="image_id", how="left_semi")
@@ -107,21 +102,16 @@ def images_without_label(listing: DataFrame, meta: DataFrame, part_dirs: list[st
 
 def union_listings(listing: DataFrame) -> DataFrame:
     """Union of the three case-sensitive patterns, each file once."""
-    parts = [listing.filter(F.col("path").endswith(e)).select("path") for e in EXTENSIONS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+    wanted = F.lit(False)
+    for e in EXTENSIONS:
+        wanted = wanted | F.col("path").endswith(e)
+    return listing.filter(wanted).select("path").distinct()
 
 
 def union_parts(listing: DataFrame, part_dirs: list[str]) -> DataFrame:
     """Images per part folder over both folders, zero rows kept."""
-    parsed = image_listing(listing)
-    per = [parsed.filter(F.col("parent") == d).select(F.lit(i + 1).alias("part"), "path")
-           for i, d in enumerate(part_dirs)]
-    both = per[0]
-    for p in per[1:]:
-        both = both.unionByName(p)
+    both = image_listing(listing).select(
+        F.array_position(F.array(*map(F.lit, part_dirs)), F.col("parent")).cast("int").alias("part")).filter("part > 0")
     dims = listing.sparkSession.createDataFrame(
         [(i + 1, d) for i, d in enumerate(part_dirs)], "part int, part_dir string")
     counts = both.groupBy("part").agg(F.count(F.lit(1)).alias("n_images"))
@@ -189,5 +179,3 @@ def split_two_nodes(rows: DataFrame, order_col: str = "img_path") -> DataFrame:
     return ranked.withColumn("node", F.when(F.col("ordinal") <= first, 1).otherwise(2).cast("int")) \
         .drop("_n")
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("DataFrame", "F", "P")]

@@ -38,13 +38,15 @@ def sample_fraction(df: DataFrame, fraction: float, key: str = "image_id",
         return df
     if mode == "bernoulli":
         return df.sample(False, fraction, seed=seed)
-    return df.filter(hash_bucket(F.col(key)) < fraction * 10000)
+    return df.filter(key_hash(df, key) < fraction * 2.0 ** 32)
 
 
-def hash_bucket(c) -> F.Column:
-    """0..9999 from the first 32 bits of md5(key); null keys hash as ''."""
-    h = F.md5(F.coalesce(c.cast("string"), F.lit("")))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % 10000
+def key_hash(df: DataFrame, key: str) -> F.Column:
+    """The first 32 bits of md5(key); rows without a key hash their other
+    columns instead, so they are sampled one by one and not all together."""
+    others = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns if c != key]
+    h = F.md5(F.coalesce(F.col(key).cast("string"), F.concat_ws("|", F.lit(""), *others)))
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
 
 
 def filter_age_present(df: DataFrame) -> DataFrame:
@@ -69,10 +71,28 @@ def filter_path_exists(rows: DataFrame, listing: DataFrame) -> DataFrame:
     return rows.join(files, on="img_path", how="left_semi")
 
 
-def enrich(raw: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Project, cast and attach the image path: the table before cleaning."""
-    return with_img_path(cast_metadata(project_metadata(raw)), resolved).select(
-        *METADATA_COLUMNS, "img_path")
+def spread(unique: DataFrame, key: str) -> DataFrame:
+    """``unique`` (one row per ``key``) with an exchange of its own in a join.
+
+    An aggregate leaves its rows partitioned by the key, the join then adds no
+    exchange on that side, and adaptive execution splits a skewed join only
+    between two exchanges.  Grouping by (key, a function of the key) deals the
+    few rows differently, so the join exchanges both sides.
+    """
+    deal = F.crc32(F.col(key).cast("string")).alias("_deal")
+    others = [c for c in unique.columns if c != key]
+    if not others:
+        return unique.select(key, deal).distinct().select(key)
+    return unique.groupBy(key, deal).agg(*[F.min(c).alias(c) for c in others]).select(*unique.columns)
+
+
+def enrich(raw: DataFrame, resolved: DataFrame, keep_age_text: bool = False) -> DataFrame:
+    """Project, cast and attach the image path: the table before cleaning.
+    ``keep_age_text`` adds the age as it was written."""
+    rows = project_metadata(raw).withColumn("age_text", F.col("age").cast("string"))
+    more = ["age_text"] if keep_age_text else []
+    return with_img_path(cast_metadata(rows), spread(resolved, "image_id")).select(
+        *METADATA_COLUMNS, "img_path", *more)
 
 
 def quarantine_null_age(enriched: DataFrame) -> DataFrame:
@@ -87,55 +107,70 @@ def quarantine_null_age(enriched: DataFrame) -> DataFrame:
 
 def _quarantined_ids(enriched: DataFrame) -> DataFrame:
     # the reference deletes only files it found; later rows with the same id
-    # then resolve to nothing (M6).  distinct() pre-aggregates map-side, so a
-    # hot id becomes one row before the shuffle.
-    return (enriched.filter(F.col("age").isNull() & F.col("img_path").isNotNull())
-            .select("image_id").distinct())
+    # then resolve to nothing (M6).  ``spread`` makes them distinct, map-side
+    # first, so a hot id becomes one row before the shuffle.
+    return enriched.filter(F.col("age").isNull() & F.col("img_path").isNotNull()).select("image_id")
 
 
 def clean_and_enrich(raw: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Rows kept by the reference's cleaning (F8):
-    age present, image found, and the image not quarantined (M6)."""
-    return keep_clean(enrich(raw, resolved))
+    """Rows kept by cleaning (F8): age present, image found, and the image not
+    quarantined (M6).
+
+    The quarantine is decided on one row per id before the rows see it: ids
+    with a missing age (a partial aggregate, so a hot id is one row per task)
+    leave the resolved catalog, and the rows meet what is left in one join.
+    ``spread`` gives that side an exchange of its own, so adaptive execution
+    can split a hot id of the rows.
+    """
+    rows = cast_metadata(project_metadata(raw))
+    no_age = rows.groupBy("image_id").agg(F.bool_or(F.col("age").isNull()).alias("_q"))
+    usable = (resolved.join(no_age.filter("_q").select("image_id"), "image_id", "left_anti"))
+    kept = rows.filter(F.col("age").isNotNull()).join(spread(usable, "image_id"), "image_id")
+    return kept.select(*METADATA_COLUMNS, "img_path")
 
 
 def keep_clean(enriched: DataFrame) -> DataFrame:
     """The cleaning rule applied to an already enriched table (F8)."""
     kept = enriched.filter(F.col("age").isNotNull() & F.col("img_path").isNotNull())
-    return kept.join(_quarantined_ids(enriched), on="image_id", how="left_anti") \
+    return kept.join(spread(_quarantined_ids(enriched), "image_id"), on="image_id", how="left_anti") \
         .select(*METADATA_COLUMNS, "img_path")
 
 
 def anti_quarantine(enriched: DataFrame) -> DataFrame:
     """Rows whose image id is not quarantined."""
-    return enriched.join(_quarantined_ids(enriched), on="image_id", how="left_anti")
+    return enriched.join(spread(_quarantined_ids(enriched), "image_id"), on="image_id", how="left_anti")
 
 
 def cleaning_delta(enriched: DataFrame) -> DataFrame:
     """Rows before and after cleaning, with the reason of each removal (A2, M7).
 
-    One pass: the quarantine flag comes from a left join on the (pre-aggregated)
-    quarantined ids, then all counts are one aggregate.
+    The rows are reduced to one row per id before the quarantine is known: it
+    holds for all rows of an id alike, so four counts per id are enough and no
+    join sees a hot id.  ``age_cast_failures`` counts ages that were given but
+    are no number, where ``enriched`` carries the raw text as ``age_text``;
+    they are part of ``removed_null_age``.
     """
-    q = _quarantined_ids(enriched).withColumn("_q", F.lit(True))
-    flagged = enriched.join(q, on="image_id", how="left")
     no_age = F.col("age").isNull()
     no_img = F.col("img_path").isNull()
-    dup = F.col("_q").isNotNull() & ~no_age & ~no_img
-    kept = ~no_age & ~no_img & F.col("_q").isNull()
-    return flagged.agg(
-        F.count(F.lit(1)).alias("rows_before"),
-        F.count_if(kept).alias("rows_after"),
-        F.count_if(~kept).alias("rows_removed"),
-        F.count_if(no_age).alias("removed_null_age"),
-        F.count_if(~no_age & no_img).alias("removed_no_image"),
-        F.count_if(dup).alias("removed_quarantined_id"),
-    )
+    bad = F.count_if(no_age & F.col("age_text").isNotNull()) if "age_text" in enriched.columns else F.lit(0)
+    per_id = enriched.groupBy("image_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(no_age).alias("n_age"),
+        F.count_if(~no_age & no_img).alias("n_img"), F.count_if(~no_age & ~no_img).alias("n_good"),
+        F.bool_or(no_age & ~no_img & F.col("image_id").isNotNull()).alias("_q"),
+        bad.cast("long").alias("n_bad"))
+    quarantined = F.when(F.col("_q"), F.col("n_good")).otherwise(0)
+    kept = F.when(F.col("_q"), 0).otherwise(F.col("n_good"))
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
+    return per_id.agg(
+        total(F.col("n"), "rows_before"), total(kept, "rows_after"),
+        total(F.col("n") - kept, "rows_removed"), total(F.col("n_age"), "removed_null_age"),
+        total(F.col("n_img"), "removed_no_image"), total(quarantined, "removed_quarantined_id"),
+        total(F.col("n_bad"), "age_cast_failures"))
 
 
 def skip_missing_image(enriched: DataFrame, listing: DataFrame) -> DataFrame:
     """Per row: would preprocessing skip it (null/empty path or file absent)?"""
-    files = listing.select(F.col("path").alias("img_path"), F.lit(True).alias("_exists"))
+    files = listing.select(F.col("path").alias("img_path"), F.lit(True).alias("_exists")).distinct()
     return (enriched.join(files, on="img_path", how="left")
             .select("image_id", "img_path",
                     (F.col("img_path").isNull() | (F.col("img_path") == "") |

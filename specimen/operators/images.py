@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from specimen.functions import kernels as K
 from specimen.functions.codec import decode, digest, encode, map_rows
 from specimen.schema import (DIGEST_FIELDS, IMAGE_FIELDS, STATUS_FAILED, STATUS_SKIPPED,
-                             STATUS_SUCCESS, VARIANTS)
+                             STATUS_SUCCESS, VARIANT_FAMILIES, VARIANTS)
 
 _IMG = {"height", "width", "n_channels", "data"}
 
@@ -67,6 +67,23 @@ def apply_kernel(images: DataFrame, kernel: Callable[[np.ndarray], np.ndarray],
     return map_rows(images, fn, schema)
 
 
+def recoloured(images: DataFrame, how: dict[int, str], modulus: int) -> DataFrame:
+    """Images whose id number modulo ``modulus`` is a key of ``how`` as one-channel
+    'grey' (their blue plane) or four-channel 'alpha' (constant opacity)."""
+    schema = images.schema
+
+    def fn(row):
+        kind = how.get(int(row["image_id"].rpartition("_")[2]) % modulus)
+        img = _image_of(row)
+        if kind == "grey":
+            row = dict(row, **encode(img[:, :, :1]))
+        elif kind == "alpha":
+            row = dict(row, **encode(np.dstack([img, np.full(img.shape[:2], 128, np.uint8)])))
+        yield row
+
+    return map_rows(images, fn, schema)
+
+
 def image_digest(images: DataFrame) -> DataFrame:
     """Replace the pixels by their exact digest (sizes, sums, weighted sums)."""
     keys = [f for f in _keys(images) if f.name not in ("ok", "error")]
@@ -98,20 +115,9 @@ def image_scalars(images: DataFrame, fn: Callable[[np.ndarray], dict],
     return map_rows(images, run, schema, batch_rows=1024)
 
 
-def _variant_kernel(name: str, param):
-    if name.startswith("rotation"):
-        return lambda img: K.rotate(img, int(param))
-    if name.startswith("brightness"):
-        return lambda img: K.brightness(img, float(param))
-    if name.endswith("flip"):
-        code = 1 if "horizontal" in name else 0
-        return lambda img: K.flip(img, code)
-    if name.startswith("zoom"):
-        return lambda img: K.zoom(img, float(param))
-    raise ValueError(name)
-
-
-VARIANT_KERNELS = {suffix: _variant_kernel(name, param) for name, suffix, param in VARIANTS}
+VARIANT_KERNELS = {
+    suffix: (lambda img, kernel=getattr(K, kernel), arg=arg: kernel(img, arg))
+    for suffix, (_, kernel, arg) in VARIANT_FAMILIES.items()}
 
 
 def _variant_outputs(img):

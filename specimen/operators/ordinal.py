@@ -48,7 +48,11 @@ def with_ordinal(df: DataFrame, order_by: Sequence, group_by: Sequence[str] = ()
     groups = list(group_by)
     keys = [F.col(g).asc_nulls_first() for g in groups] + [_as_col(c) for c in order_by]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # rows tied on every key are ordered by where they came from, so that a hot
+    # value can lie across several ranges
+    keys = [*keys, F.col("_from").asc()]
+    tagged = (df.withColumn("_from", F.monotonically_increasing_id())
+              .repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_from")
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
               .withColumn("_loc", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1))

@@ -68,9 +68,7 @@ def frequency_report(df: DataFrame, columns: list[str] | None = None) -> DataFra
     (column, value), one grouped aggregate, rank within each column.
     """
     cols = columns or REPORT_COLUMNS
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), null_label(c).alias("value")) for c in cols]))
-        .alias("p")).select("p.*")
+    pairs = df.select(*[null_label(c).alias(c) for c in cols]).unpivot([], cols, "column_name", "value")
     counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     # every column has one value per row (nulls are a class): the column's sum
     # of counts is the row count
@@ -92,9 +90,7 @@ def column_stats(df: DataFrame, columns: list[str] | None = None,
     fixed-size sketch instead of one row per distinct value.
     """
     cols = columns or REPORT_COLUMNS
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        for c in cols])).alias("p")).select("p.*")
+    pairs = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column_name", "value")
     if approx_distinct:
         return pairs.groupBy("column_name").agg(
             F.count(F.lit(1)).alias("total_rows"),

@@ -13,6 +13,7 @@ from specimen.schema import VARIANTS
 
 ORACLES: dict[str, str] = {}
 
+_SUFFIX_LIST = ", ".join(f"'{v[1]}'" for v in VARIANTS)
 _SUFFIX_ALT = "|".join(v[1] for v in VARIANTS)
 _STEM_RE = "^(.*?)([.][^./]*)?$"
 
@@ -26,9 +27,10 @@ def _d(x) -> str:
 
 BASE = rf"""
 v_meta AS (
-  SELECT concat('IMG_', CAST(d.doc_id AS VARCHAR)) AS image_id, d.lang AS dx,
+  SELECT concat('IMG_', CAST(d.doc_id AS VARCHAR)) AS image_id,
+         CASE WHEN d.doc_id % 23 = 5 THEN NULL WHEN d.doc_id % 29 = 4 THEN 'bcc' ELSE d.lang END AS dx,
          CASE l.quality WHEN 1 THEN 'histo' WHEN 0 THEN 'follow_up' END AS dx_type,
-         CASE l.toxic WHEN 1 THEN 'female' WHEN 0 THEN 'male' END AS sex,
+         CASE WHEN d.doc_id % 17 = 3 THEN NULL WHEN l.toxic = 1 THEN 'female' WHEN l.toxic = 0 THEN 'male' END AS sex,
          CASE WHEN l.quality IS NULL THEN NULL ELSE CAST(d.n_chars AS DOUBLE) END AS age,
          d.source AS localization
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
@@ -52,7 +54,7 @@ v_catalog AS (
   FROM embeddings WHERE vec_id % 5 = 0
   UNION ALL
   SELECT concat('/img/part_1/IMG_', CAST(vec_id AS VARCHAR),
-                CASE vec_id % 2 WHEN 0 THEN '_rot90' ELSE '_dark' END, '.jpg'), CAST(1 AS INTEGER)
+                list_extract([{_SUFFIX_LIST}], CAST((vec_id // 7) % 9 + 1 AS INTEGER)), '.jpg'), CAST(1 AS INTEGER)
   FROM embeddings WHERE vec_id % 7 = 0),
 v_listing AS (
   SELECT path FROM v_catalog
@@ -156,7 +158,7 @@ register("filter_age_missing", "SELECT * FROM v_enriched WHERE age IS NULL")
 register("filter_null_any", "SELECT * FROM v_enriched WHERE dx_type IS NULL")
 register("sample_fraction", """
 SELECT * FROM v_enriched
-WHERE CAST(('0x' || substr(md5(coalesce(image_id, '')), 1, 8)) AS BIGINT) % 10000 < 500.0""")
+WHERE CAST(('0x' || substr(md5(coalesce(image_id, '')), 1, 8)) AS BIGINT) < 4294967296.0 * 0.05""")
 register("filter_path_exists",
          "SELECT * FROM v_enriched e WHERE e.img_path IN (SELECT path FROM v_listing)")
 register("quarantine_null_age",
@@ -235,7 +237,9 @@ SELECT count(*) AS rows_before, count(*) FILTER (WHERE kept) AS rows_after,
        count(*) FILTER (WHERE NOT kept) AS rows_removed,
        count(*) FILTER (WHERE age IS NULL) AS removed_null_age,
        count(*) FILTER (WHERE age IS NOT NULL AND img_path IS NULL) AS removed_no_image,
-       count(*) FILTER (WHERE q AND age IS NOT NULL AND img_path IS NOT NULL) AS removed_quarantined_id
+       count(*) FILTER (WHERE q AND age IS NOT NULL AND img_path IS NOT NULL) AS removed_quarantined_id,
+       (SELECT count(*) FROM v_raw_meta WHERE age IS NOT NULL AND TRY_CAST(age AS DOUBLE) IS NULL)
+         AS age_cast_failures
 FROM (SELECT e.*, q.image_id IS NOT NULL AS q,
              e.age IS NOT NULL AND e.img_path IS NOT NULL AND q.image_id IS NULL AS kept
       FROM v_enriched e LEFT JOIN v_qids q ON e.image_id = q.image_id)""")
@@ -257,9 +261,9 @@ SELECT count(age) AS count, round(avg(age), 6) AS mean, round(stddev_samp(age),
 _JOB = """v_job AS (
   SELECT c.*, CAST(regexp_extract(c.image_id, '(\\d+)$', 1) AS BIGINT) AS k,
          CAST(regexp_extract(c.image_id, '(\\d+)$', 1) AS BIGINT) IN (SELECT vec_id FROM embeddings) AS has_px
-  FROM v_clean c),
+  FROM v_enriched c WHERE c.age IS NOT NULL),
 v_status AS (
-  SELECT *, CASE WHEN NOT has_px THEN 'SKIPPED' WHEN k % 50 = 13 THEN 'FAILED' ELSE 'SUCCESS' END AS status
+  SELECT *, CASE WHEN img_path IS NULL OR NOT has_px THEN 'SKIPPED' WHEN k % 50 = 13 THEN 'FAILED' ELSE 'SUCCESS' END AS status
   FROM v_job)"""
 register("status_counts", """
 SELECT status, CASE status WHEN 'SUCCESS' THEN 'success' WHEN 'SKIPPED' THEN 'skipped' ELSE 'failed' END
@@ -275,7 +279,7 @@ SELECT image_id, img_path, status,
 register("run_summary", f"""
 SELECT count(*) AS n_rows,
        'image_id, dx, dx_type, sex, age, localization, img_path, status, error' AS columns,
-       {_d(0.05)} AS sample_fraction FROM v_clean""")
+       {_d(0.05)} AS sample_fraction FROM v_enriched WHERE age IS NOT NULL""")
 register("variant_counts", """
 SELECT variant_rank, variant, n FROM (
   SELECT v.variant_rank, v.variant, count(p.path) AS n
@@ -359,11 +363,10 @@ register("lower_equals", """
 SELECT path FROM v_parsed WHERE lower(name) = lower(concat(image_id, '.jpg'))""")
 register("variant_family", """
 SELECT p.path, p.variant, v.transform,
-       CASE WHEN starts_with(v.transform, 'rotation') THEN 'rotation'
-            WHEN starts_with(v.transform, 'brightness') THEN 'brightness'
-            WHEN ends_with(v.transform, 'flip') THEN
-                 CASE WHEN contains(v.transform, 'horizontal') THEN 'flip_horizontal' ELSE 'flip_vertical' END
-            WHEN starts_with(v.transform, 'zoom') THEN 'zoom' END AS family
+       CASE WHEN v.variant IN ('_rot90', '_rot180', '_rot270') THEN 'rotation'
+            WHEN v.variant IN ('_bright', '_dark') THEN 'brightness'
+            WHEN v.variant = '_hflip' THEN 'flip_horizontal' WHEN v.variant = '_vflip' THEN 'flip_vertical'
+            ELSE 'zoom' END AS family
 FROM v_parsed p JOIN v_variants v ON p.variant = v.variant""")
 register("percent_of_total", "SELECT value, n, percent FROM (" + _freq("sex") + ")")
 register("format_percent", "SELECT value, percent_text FROM (" + _freq("dx_type") + ")")
@@ -564,8 +567,11 @@ SELECT image_id,
        CASE WHEN k % 50 = 13 THEN NULL ELSE chk_g END AS chk_g,
        CASE WHEN k % 50 = 13 THEN NULL ELSE chk_b END AS chk_b
 FROM (SELECT *, CAST(regexp_extract(image_id, '(\\d+)$', 1) AS BIGINT) AS k FROM (""" +
-         digest_sql("px_rect") + """))
-WHERE k % 50 <> 29""", PX_RECT)
+         digest_sql("px_grey") + """))
+WHERE k % 50 <> 29""", PX_RECT + """,
+px_grey AS (
+  SELECT image_id, h, w, y, x, CASE WHEN grey THEN b ELSE r END AS r, CASE WHEN grey THEN b ELSE g END AS g, b
+  FROM (SELECT *, CAST(regexp_extract(image_id, '(\\d+)$', 1) AS BIGINT) % 50 = 17 AS grey FROM px_rect))""")
 _px_query("img_rotate_90", [PX_RECT, rot_sql("o", "px_rect", 90)], "o")
 _px_query("img_rotate_180", [PX_RECT, rot_sql("o", "px_rect", 180)], "o")
 _px_query("img_rotate_270", [PX_RECT, rot_sql("o", "px_rect", 270)], "o")

@@ -1,11 +1,11 @@
 """Command line: the whole preparation run.
 
     spark-submit specimen/plans/prepare.py --metadata /data/metadata.csv \
-        --root /data --out /out [--fraction 0.05] [--infer-schema]
+        --root /data --out /out [--fraction 1.0] [--infer-schema]
 
-Writes ``clean``, ``quarantine`` and ``derived`` under ``--out`` and prints
-the reports.  Every report is bounded by the number of columns, classes,
-statuses or variants, so showing it on the driver is safe.
+Writes ``clean``, ``quarantine``, ``derived``, ``balanced`` and
+``reports/<name>`` under ``--out`` and prints the number of rows and the head
+of each report.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 from pyspark.sql import SparkSession  # noqa: E402
 
 from specimen.plans.jobs import prepare_dataset  # noqa: E402
-from specimen.schema import DEFAULT_SAMPLE_FRACTION  # noqa: E402
+from specimen.schema import DEFAULT_SAMPLE_FRACTION, SHOW_ROWS  # noqa: E402
 from specimen.session import ensure_checkpoint_dir, ship_package  # noqa: E402
 from specimen.sources.images import opencv_decoder, pillow_decoder  # noqa: E402
 
@@ -35,23 +35,22 @@ def main(argv: list[str] | None = None) -> int:
                     help="hash: by a key hash, the same rows at any partitioning; "
                          "bernoulli: Spark's sample(False, f, 42)")
     ap.add_argument("--infer-schema", action="store_true", help="infer CSV types (extra pass)")
-    ap.add_argument("--decoder", choices=["auto", "spark", "opencv", "pillow"], default="auto",
+    ap.add_argument("--decoder", choices=["spark", "opencv", "pillow"], default="spark",
                     help="spark: decode scan of the part folders (JVM); opencv / pillow: read "
-                         "and decode only the selected files on the executors; auto: opencv, "
-                         "then pillow, when installed, else spark")
+                         "and decode only the selected files on the executors")
+    ap.add_argument("--image-files", action="store_true", help="also write each made variant as a file")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("specimen-prepare").getOrCreate()
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    decoder = {"auto": "auto", "spark": None, "opencv": opencv_decoder,
-               "pillow": pillow_decoder}[args.decoder]
+    decoder = {"spark": None, "opencv": opencv_decoder, "pillow": pillow_decoder}[args.decoder]
     reports = prepare_dataset(spark, args.metadata, args.root, args.out, args.fraction,
                               infer_schema=args.infer_schema, decoder=decoder,
-                              sample_mode=args.sample_mode)
+                              sample_mode=args.sample_mode, image_files=args.image_files)
     for name, df in reports.items():
-        print(f"\n== {name}")
-        df.show(200, truncate=False)
+        print(f"\n== {name}: {df.count()} rows, all in {args.out}/reports/{name}")
+        df.show(SHOW_ROWS, truncate=False)
     return 0
 
 

@@ -19,7 +19,7 @@ from specimen.functions import scalar as S
 from specimen.operators import balance, catalog as cat, cleaning, profile, report
 from specimen.operators import images as ops
 from specimen.plans import jobs
-from specimen.schema import OUT_SIZE, REPORT_COLUMNS, VARIANT_SUFFIXES
+from specimen.schema import OUT_SIZE, REPORT_COLUMNS, VARIANT_FAMILIES, VARIANT_SUFFIXES, VARIANTS
 from specimen.session import shared_scratch
 from specimen.sources import carriers as C
 from specimen.sources import images as src_images
@@ -75,12 +75,11 @@ def _synth(s, sf, junk=False):
     return C.synth_images(s, sf, with_junk=junk, partitions=_parts(s))
 
 
-def _image_files(s, sf, pixels: DataFrame) -> DataFrame:
-    """The decoded-image table of the carrier listing: one row per resolved
-    file, (path, image_id, pixels)."""
-    res = _resolved(s, sf).withColumnRenamed("img_path", "path")
-    return res.join(pixels, "image_id").select("path", "image_id", "height", "width",
-                                                "n_channels", "data")
+def _decoded(s, sf, rows: DataFrame) -> DataFrame:
+    """The decoded images of the distinct files the rows point at, by path:
+    ids and paths meet first, pixels are made after it (as ``decode_paths``)."""
+    paths = rows.filter(F.col("img_path").isNotNull()).select("img_path", "image_id").distinct()
+    return C.synth_files(s, sf, paths, with_junk=True, partitions=_parts(s)).drop("image_id")
 
 
 def _digest_of(images: DataFrame) -> DataFrame:
@@ -98,7 +97,17 @@ def scan_csv_metadata(s, sf):
 
 @query
 def scan_image_catalog(s, sf):
-    return cat.image_listing(C.listing_view(s, sf))
+    """Every path of the listing written as a file (even ids empty, odd ids
+    one byte) under a scratch folder and listed back by the lister."""
+    folder = shared_scratch(s, "files")
+    wanted = C.listing_view(s, sf).select("path", F.substring("path", 2, 4096).alias("name"),
+                                          F.lit(0).alias("height"), F.lit(0).alias("width"),
+                                          F.lit(0).alias("n_channels"),
+                                          F.when(F.crc32("path") % 2 == 0, F.lit(b"")).otherwise(F.lit(b"x")).alias("data"))
+    src_images.write_image_files(wanted, folder, name_col="name", ext="").write.format("noop").mode("overwrite").save()
+    listed = src_images.list_images(s, [folder]).select(
+        F.regexp_extract("path", r"(/img/.*)$", 1).alias("path"))
+    return cat.image_listing(listed)
 
 
 @query
@@ -114,10 +123,10 @@ def write_image_table(s, sf):
 @query
 def scan_image_pixels(s, sf):
     """S3: the rect images written as PNG files (unreadable bytes for
-    vec_id % 50 = 13, zero bytes for vec_id % 50 = 29), decoded back by
-    Spark's image source, reduced to digests."""
+    vec_id % 50 = 13, zero bytes for vec_id % 50 = 29, grey for 17, an alpha
+    channel for 31), decoded back by Spark's image source, reduced to digests."""
     folder = shared_scratch(s, "png")
-    imgs = C.rect_images(s, sf, partitions=_parts(s))
+    imgs = ops.recoloured(C.rect_images(s, sf, partitions=_parts(s)), {17: "grey", 31: "alpha"}, 50)
     k = F.regexp_extract("image_id", r"(\d+)$", 1).cast("long")
     imgs = imgs.select(
         "image_id",
@@ -271,7 +280,7 @@ def row_count(s, sf):
 
 @query
 def cleaning_delta(s, sf):
-    return cleaning.cleaning_delta(_enriched(s, sf))
+    return cleaning.cleaning_delta(cleaning.enrich(_raw(s, sf), _resolved(s, sf), keep_age_text=True))
 
 
 @query
@@ -310,8 +319,9 @@ def describe_age(s, sf):
 
 
 def _preprocessed(s, sf):
-    pixels = _image_files(s, sf, _synth(s, sf, junk=True))
-    return jobs.preprocess_dataset(_clean(s, sf), pixels)
+    """Rows with an age, with or without an image (SKIPPED), written once."""
+    rows = src_images.materialize(cleaning.filter_age_present(_enriched(s, sf)), shared_scratch(s, "rows"))
+    return jobs.preprocess_dataset(rows, None, processed=ops.preprocess_images(_decoded(s, sf, rows)))
 
 
 @query
@@ -330,8 +340,10 @@ def variant_counts(s, sf):
 
 
 def _augmented(s, sf):
-    pixels = _image_files(s, sf, _synth(s, sf, junk=True))
-    return jobs.augment_dataset(_clean(s, sf), pixels)
+    rows = src_images.materialize(_clean(s, sf), shared_scratch(s, "rows"))
+    made = ops.augment_variants(_decoded(s, sf, rows)).withColumn(
+        "variant_path", P.variant_path("img_path", F.col("variant")))
+    return jobs.augment_dataset(rows, None, made=made)
 
 
 @query
@@ -341,7 +353,7 @@ def augment_totals(s, sf):
 
 @query
 def run_summary(s, sf):
-    final = _preprocessed(s, sf).drop("height", "width", "n_channels", "data")
+    final = _preprocessed(s, sf).drop("height", "width")
     return report.run_summary(final, FRACTION)
 
 
@@ -430,14 +442,9 @@ def lower_equals(s, sf):
 def variant_family(s, sf):
     files = C.listing_view(s, sf).select("path", P.variant_suffix("path").alias("variant")) \
         .filter(F.col("variant").isNotNull())
-    dims = report.variant_dimension(s)
-    t = F.col("transform")
-    fam = (F.when(t.startswith("rotation"), "rotation").when(t.startswith("brightness"), "brightness")
-           .when(t.endswith("flip"), F.when(t.contains("horizontal"), "flip_horizontal")
-                 .otherwise("flip_vertical"))
-           .when(t.startswith("zoom"), "zoom"))
-    return files.join(F.broadcast(dims), "variant").select("path", "variant", "transform",
-                                                           fam.alias("family"))
+    dims = s.createDataFrame([(suffix, name, VARIANT_FAMILIES[suffix][0]) for name, suffix, _ in VARIANTS],
+                             "variant string, transform string, family string")
+    return files.join(F.broadcast(dims), "variant").select("path", "variant", "transform", "family")
 
 
 @query
@@ -459,7 +466,7 @@ def half_split_sizes(s, sf):
 
 @query
 def int_trunc(s, sf):
-    sizes = C.rect_images(s, sf).select("image_id", "height", "width")
+    sizes = C.rect_sizes(s, sf)
     return sizes.select(
         "image_id", S.int_trunc("height", 0.03).alias("border_y"),
         S.int_trunc("width", 0.03).alias("border_x"),

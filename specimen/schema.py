@@ -13,6 +13,7 @@ REPORT_COLUMNS = ["dx", "dx_type", "sex", "localization"]
 PART_DIRS = ["part_1", "part_2"]
 EXTENSIONS = [".jpg", ".JPG", ".jpeg"]
 # Augmentation variants in the reference's order: (name, suffix, parameter).
+# Their families and kernels are looked up in VARIANT_FAMILIES below.
 VARIANTS = [
     ("rotation_90", "_rot90", 90.0),
     ("rotation_180", "_rot180", 180.0),
@@ -37,23 +38,29 @@ ATTENUATION = 0.6
 STATUS_SUCCESS, STATUS_SKIPPED, STATUS_FAILED = "SUCCESS", "SKIPPED", "FAILED"
 # Binary label: classes named malignant by the reference; all others benign.
 MALIGNANT_CLASSES = ["bcc"]
-# Sampling seed and default fraction.
+# Sampling seed.
 SAMPLE_SEED = 42
-DEFAULT_SAMPLE_FRACTION = 0.05
 # Rows shown by DataFrame.show() by default.
 SHOW_ROWS = 20
 # ---------------------------------------------------------------------------
 
 VARIANT_SUFFIXES = [v[1] for v in VARIANTS]
 
-METADATA_SCHEMA = T.StructType([
-    T.StructField("image_id", T.StringType(), True),
-    T.StructField("dx", T.StringType(), True),
-    T.StructField("dx_type", T.StringType(), True),
-    T.StructField("sex", T.StringType(), True),
-    T.StructField("age", T.DoubleType(), True),
-    T.StructField("localization", T.StringType(), True),
-])
+#: suffix -> (family, kernel name, kernel argument)
+VARIANT_FAMILIES = {
+    "_rot90": ("rotation", "rotate", 90),
+    "_rot180": ("rotation", "rotate", 180),
+    "_rot270": ("rotation", "rotate", 270),
+    "_bright": ("brightness", "brightness", 1.3),
+    "_dark": ("brightness", "brightness", 0.7),
+    "_hflip": ("flip_horizontal", "flip", 1),
+    "_vflip": ("flip_vertical", "flip", 0),
+    "_zoomin": ("zoom", "zoom", 1.2),
+    "_zoomout": ("zoom", "zoom", 0.8),
+}
+
+#: All rows are kept unless a fraction is asked for.
+DEFAULT_SAMPLE_FRACTION = 1.0
 
 # Image table: one row per image; pixels row-major, interleaved, BGR order
 # (the byte layout of Spark's ``image`` source and of OpenCV).

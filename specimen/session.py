@@ -29,8 +29,6 @@ def get_session(app: str = "specimen", cores: str | int = "*",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # images are large rows: keep Arrow batches small
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -44,7 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only when it is unset (local tests) do we set a fresh local one.
+    as is.  Only a local master (tests) may leave it unset: then a fresh local
+    folder is set.  Elsewhere executors would each write to their own disk, so
+    an unset folder is an error.
     """
     try:
         sc = spark.sparkContext
@@ -57,7 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     named = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
-    if not named:  # unset: local run or test only
+    if not named:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="specimen-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named

@@ -15,9 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from specimen.functions.codec import arrow_schema
-from specimen.schema import IMAGE_SCHEMA
+from specimen.schema import IMAGE_SCHEMA, VARIANT_SUFFIXES
 from specimen.session import ship_package
 
 
@@ -33,12 +34,14 @@ def meta_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``v_meta``: typed metadata (image_id, dx, dx_type, sex, age, localization)."""
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    q, t = F.col("quality"), F.col("toxic")
+    q, t, k = F.col("quality"), F.col("toxic"), F.col("doc_id")
+    dx = (F.when(k % 23 == 5, F.lit(None).cast("string")).when(k % 29 == 4, "bcc")
+          .otherwise(F.col("lang")))
     labelled = d.join(lab, "doc_id", "left").select(
         _img_id(F.col("doc_id")).alias("image_id"),
-        F.col("lang").alias("dx"),
+        dx.alias("dx"),
         F.when(q == 1, "histo").when(q == 0, "follow_up").alias("dx_type"),
-        F.when(t == 1, "female").when(t == 0, "male").alias("sex"),
+        F.when(k % 17 == 3, F.lit(None).cast("string")).when(t == 1, "female").when(t == 0, "male").alias("sex"),
         F.when(q.isNull(), F.lit(None).cast("double"))
         .otherwise(F.col("n_chars").cast("double")).alias("age"),
         F.col("source").alias("localization"),
@@ -90,7 +93,8 @@ def catalog_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         p_copy.alias("part"))
     variants = e.filter(k % 7 == 0).select(
         F.concat(F.lit("/img/part_1/IMG_"), k.cast("string"),
-                 F.when(k % 2 == 0, "_rot90").otherwise("_dark"), F.lit(".jpg")).alias("path"),
+                 F.element_at(F.array(*map(F.lit, VARIANT_SUFFIXES)), (F.floor(k / 7) % 9 + 1).cast("int")),
+                 F.lit(".jpg")).alias("path"),
         F.lit(1).cast("int").alias("part"))
     return main.unionByName(copies).unionByName(variants)
 
@@ -142,17 +146,11 @@ def _rect_pixels(k: int, emb) -> np.ndarray:
     return np.stack([r, g, b], axis=-1).astype(np.uint8)
 
 
-def _tile_pixels(emb) -> np.ndarray:
-    """8x8 grey tile: floor((e + 1) * 127.5)."""
-    e = np.asarray(emb, dtype=np.float64)
-    return np.floor((e + 1.0) * 127.5).astype(np.uint8).reshape(8, 8, 1)
-
-
-def _rows_to_images(batches, make, junk_rule=None):
-    schema = arrow_schema(IMAGE_SCHEMA)
+def _rows_to_images(batches, make, junk_rule=None, keep=()):
+    schema = arrow_schema(T.StructType([*keep, *IMAGE_SCHEMA.fields]))
     for rb in batches:
         d = rb.to_pydict()
-        out = {f.name: [] for f in IMAGE_SCHEMA.fields}
+        out = {f.name: [] for f in IMAGE_SCHEMA.fields} | {f.name: d[f.name] for f in keep}
         for i, k in enumerate(d["vec_id"]):
             out["image_id"].append(f"IMG_{k}")
             if junk_rule is not None and junk_rule(k):
@@ -163,11 +161,10 @@ def _rows_to_images(batches, make, junk_rule=None):
                 out["data"].append(b"")
                 continue
             rgb = make(k, d.get("embedding", [None] * len(d["vec_id"]))[i])
-            bgr = rgb[:, :, ::-1] if rgb.shape[2] == 3 else rgb
             out["height"].append(int(rgb.shape[0]))
             out["width"].append(int(rgb.shape[1]))
             out["n_channels"].append(int(rgb.shape[2]))
-            out["data"].append(np.ascontiguousarray(bgr).tobytes())
+            out["data"].append(np.ascontiguousarray(rgb[:, :, ::-1]).tobytes())
         yield pa.RecordBatch.from_pydict(out, schema=schema)
 
 
@@ -192,16 +189,31 @@ def synth_images(spark: SparkSession, sf_dir: str, with_junk: bool = False,
                         IMAGE_SCHEMA)
 
 
-def rect_images(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
-    """``v_rect`` as an image table (all embeddings rows)."""
+def synth_files(spark: SparkSession, sf_dir: str, paths: DataFrame, with_junk: bool = False,
+                partitions: int | None = None) -> DataFrame:
+    """(img_path, image): the ``v_synth`` image behind each path of ``paths``
+    (img_path, image_id), as a decoder by path would give it.  Ids meet paths
+    first and pixels are made after it, so no pixel crosses an exchange."""
     ship_package(spark)
-    e = _ids(spark, sf_dir, ["vec_id", "embedding"], partitions)
-    return e.mapInArrow(lambda it: _rows_to_images(it, _rect_pixels), IMAGE_SCHEMA)
+    e = _ids(spark, sf_dir, ["vec_id"], None).withColumn("image_id", _img_id(F.col("vec_id")))
+    wanted = e.join(paths, "image_id").select("img_path", "vec_id")
+    wanted = wanted.repartition(partitions, "img_path") if partitions else wanted
+    rule = synth_is_junk if with_junk else None
+    keep = [T.StructField("img_path", T.StringType())]
+    return wanted.mapInArrow(lambda it: _rows_to_images(it, lambda k, _: _synth_pixels(k), rule, keep),
+                             T.StructType([*keep, *IMAGE_SCHEMA.fields]))
+
+
+def rect_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(image_id, height, width) of ``v_rect`` without its pixels."""
+    k = F.col("vec_id")
+    return table(spark, sf_dir, "embeddings").select(
+        _img_id(k).alias("image_id"), (24 + k % 9).cast("int").alias("height"),
+        (32 + (k * 3) % 11).cast("int").alias("width"))
 
 
-def tile_images(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
-    """``v_tile`` as a one-channel image table (all embeddings rows)."""
+def rect_images(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """``v_rect`` as an image table (all embeddings rows)."""
     ship_package(spark)
     e = _ids(spark, sf_dir, ["vec_id", "embedding"], partitions)
-    return e.mapInArrow(lambda it: _rows_to_images(it, lambda k, emb: _tile_pixels(emb)),
-                        IMAGE_SCHEMA)
+    return e.mapInArrow(lambda it: _rows_to_images(it, _rect_pixels), IMAGE_SCHEMA)

@@ -6,13 +6,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from specimen.functions import paths as P
 from specimen.schema import IMAGE_FIELDS
 
-# Spark's glob filter: the three extensions the reference looks for, plus the
-# case-insensitive rule applied afterwards.
-IMAGE_GLOB = "*.{jpg,JPG,jpeg,JPEG,Jpg,Jpeg}"
+# A glob that no spelling of the extensions escapes; the exact case-insensitive
+# rule is applied afterwards.
+IMAGE_GLOB = "*.[jJ][pP]*[gG]"
 
 
 def local_path(c) -> F.Column:
@@ -27,38 +28,85 @@ def local_path_str(path: str) -> str:
     return re.sub(r"^file:/+", "/", path)
 
 
-def list_files(spark: SparkSession, roots: list[str], glob: str | None = None) -> DataFrame:
-    """(path, length) of every file under ``roots``, recursively.
+_ENTRY = "path string, length long, is_dir boolean"
+
+
+def _open(uri: str):
+    """(file system, path inside it, prefix that turns paths back into URIs)."""
+    from pyarrow import fs as pafs
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), uri, ""
+    filesystem, inner = pafs.FileSystem.from_uri(uri)
+    return filesystem, inner, uri[:len(uri) - len(inner)] if uri.endswith(inner) else ""
 
-    ``binaryFile`` is used as a distributed lister: only ``path`` and
-    ``length`` are selected, so file contents are never read (the ReadSchema
-    holds no ``content``).  Spark skips zero-byte files (SURVEY M23).
-    """
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    df = r.load(roots).select("path", "length")
-    return df.withColumn("path", local_path("path"))
 
+def _list_folders(batches):
+    """One level: the entries of every folder of a batch; a missing one has none."""
+    import pyarrow as pa
+    from pyarrow import fs as pafs
+    kinds = pa.schema([("path", pa.string()), ("length", pa.int64()), ("is_dir", pa.bool_())])
+    for rb in batches:
+        for folder in rb.column(0).to_pylist():
+            filesystem, inner, prefix = _open(folder)
+            found = filesystem.get_file_info(pafs.FileSelector(inner, allow_not_found=True))
+            for at in range(0, len(found), 10_000):
+                part = found[at:at + 10_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([prefix + f.path for f in part], pa.string()),
+                     pa.array([f.size for f in part], pa.int64()),
+                     pa.array([f.type == pafs.FileType.Directory for f in part], pa.bool_())], schema=kinds)
 
-def list_images(spark: SparkSession, roots: list[str]) -> DataFrame:
+
+def list_files(spark: SparkSession, roots: list[str], recursive: bool = True) -> DataFrame:
+    """(path, length) of every file under ``roots``; zero-byte files and names
+    starting with '_' or '.' are listed, a missing root is empty.
+
+    The folders of one level are spread over tasks, which list them with
+    ``pyarrow.fs`` (local, HDFS, S3); the driver only holds the given roots.
+    Every level is written to the shared folder, so the listing does not change
+    under later reads.
+    """
+    from specimen.session import shared_scratch, ship_package
+    ship_package(spark)
+    folders = spark.createDataFrame([(local_path_str(r).rstrip("/") or "/",) for r in roots], "path string")
+    files = spark.createDataFrame([], "path string, length long")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    while True:
+        level = materialize(folders.repartition(tasks, "path").mapInArrow(_list_folders, _ENTRY),
+                            shared_scratch(spark, "listing"))
+        files = files.unionByName(level.filter(~F.col("is_dir")).select("path", "length"))
+        folders = level.filter("is_dir").select("path")
+        if not recursive or folders.isEmpty():
+            return files
+
+
+def list_images(spark: SparkSession, roots: list[str], recursive: bool = True) -> DataFrame:
     """Image files under ``roots`` by the case-insensitive name rule."""
-    return list_files(spark, roots, IMAGE_GLOB).filter(P.is_image_name("path"))
+    return list_files(spark, roots, recursive).filter(P.is_image_name("path"))
+
+
+def _canonical(row: dict) -> dict:
+    """A decoded row with three BGR channels; unreadable rows stay as they are."""
+    from specimen.functions.codec import decode, encode, three_channels
+    img = decode(row["height"], row["width"], row["n_channels"], row["data"])
+    return dict(row, **encode(three_channels(img))) if img is not None else row
 
 
 def read_images(spark: SparkSession, roots: list[str], glob: str | None = IMAGE_GLOB) -> DataFrame:
     """Decode images with Spark's ``image`` source (S3).
 
-    Returns (path, image_id, height, width, n_channels, data) with BGR bytes;
-    a file that cannot be decoded has height -1 and empty data (it is not an
-    error), which later operators report as a failure.
+    Returns (path, image_id, height, width, n_channels, data) with BGR bytes of
+    three channels (grey repeated, alpha dropped); a file that cannot be decoded
+    has height -1 and empty data (it is not an error), which later operators
+    report as a failure.  Spark's source passes over zero-byte and hidden files.
     """
+    from specimen.functions.codec import map_rows
     r = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.load(roots)
     path = local_path("image.origin")
-    return df.select(
+    rows = df.select(
         path.alias("path"),
         P.name_stem(path).alias("image_id"),
         F.col("image.height").alias("height"),
@@ -66,6 +114,8 @@ def read_images(spark: SparkSession, roots: list[str], glob: str | None = IMAGE_
         F.col("image.nChannels").alias("n_channels"),
         F.col("image.data").alias("data"),
     )
+    schema = T.StructType([T.StructField("path", T.StringType()), *IMAGE_FIELDS])
+    return map_rows(rows, lambda row: [_canonical(row)], schema)
 
 
 def write_image_table(images: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -80,29 +130,40 @@ def write_image_table(images: DataFrame, path: str, partition_by: list[str] | No
     w.parquet(path)
 
 
-def write_image_files(images: DataFrame, folder: str, name_col: str = "image_id",
+def write_image_files(images: DataFrame, folder: str, name_col: str | None = None,
                       ext: str = ".png") -> DataFrame:
     """Write every image as a lossless PNG file ``<folder>/<name><ext>`` from the
-    executors (the reference writes one file per image).  Returns a lazy
-    (path, n_bytes) table; run an action on it to write.  Unreadable images
-    are written as they came (their original bytes), so a decode of the
-    folder reports them again.  ``folder`` may be any filesystem URI that
+    executors.  The name is ``name_col``, else the whole image path without its
+    extension where the rows carry one (``img_path`` or ``path``: files of one id
+    in several folders stay apart), else ``image_id``; it may hold folders.
+    Returns a lazy (path, n_bytes) table; run an action on it to write.
+    Unreadable images are written as they came (their original bytes), so a
+    decode of the folder reports them again.  ``folder`` may be any URI that
     ``pyarrow.fs`` resolves (local, HDFS, S3).
     """
-    from pyspark.sql import types as T
-
     from specimen.functions.codec import decode, map_rows, png_encode
 
     schema = T.StructType([T.StructField("path", T.StringType()),
                            T.StructField("n_bytes", T.LongType())])
+    if name_col is None:
+        own = [c for c in ("img_path", "path") if c in images.columns]
+        name = F.regexp_replace(P.stem(own[0]), r"^([a-z0-9]+:)?/+", "") if own else F.col("image_id")
+        if "variant" in images.columns and own:
+            name = F.concat(name, F.coalesce("variant", F.lit("")))
+        images, name_col = images.withColumn("_file_name", name), "_file_name"
+    opened: dict = {}
 
     def fn(row):
-        from pyarrow import fs as pafs
-        filesystem, base = pafs.FileSystem.from_uri(folder)
-        filesystem.create_dir(base, recursive=True)
+        if "fs" not in opened:  # once per task
+            opened["fs"], opened["base"], _ = _open(folder)
+        filesystem = opened["fs"]
         img = decode(row.get("height"), row.get("width"), row.get("n_channels"), row.get("data"))
         payload = png_encode(img) if img is not None else bytes(row.get("data") or b"")
-        target = f"{base.rstrip('/')}/{row[name_col]}{ext}"
+        target = f"{opened['base'].rstrip('/')}/{row[name_col]}{ext}"
+        parent = target.rpartition("/")[0]
+        if parent not in opened:
+            filesystem.create_dir(parent, recursive=True)
+            opened[parent] = True
         # a retried or speculative task writes a private file, then renames it
         # over the target: readers never see a half-written image
         tmp = f"{target}.tmp-{uuid.uuid4().hex}"
@@ -133,21 +194,8 @@ def opencv_decoder(data: bytes):
     import cv2
     import numpy as np
 
-    return cv2.imdecode(np.frombuffer(data, dtype=np.uint8), cv2.IMREAD_COLOR)
-
-
-def auto_decoder():
-    """The path-driven decoder to use, or None for Spark's ``image`` source:
-    OpenCV if importable, else Pillow, else None.  (Checked on the driver;
-    the executors are expected to share its environment, as in a cluster
-    image built from one requirements file.)"""
-    import importlib.util
-
-    if importlib.util.find_spec("cv2") is not None:
-        return opencv_decoder
-    if importlib.util.find_spec("PIL") is not None:
-        return pillow_decoder
-    return None
+    flags = cv2.IMREAD_COLOR | cv2.IMREAD_IGNORE_ORIENTATION
+    return cv2.imdecode(np.frombuffer(data, dtype=np.uint8), flags)
 
 
 def decode_paths(paths: DataFrame, decoder, path_col: str = "img_path",
@@ -163,22 +211,22 @@ def decode_paths(paths: DataFrame, decoder, path_col: str = "img_path",
     empty data, like Spark's image source; missing files give no row (the
     row that points at one is SKIPPED).
     """
-    from pyspark.sql import types as T
-
-    from specimen.functions.codec import encode, map_rows
+    from specimen.functions.codec import encode, map_rows, three_channels
 
     schema = T.StructType([T.StructField(path_col, T.StringType()),
                            *[f for f in IMAGE_FIELDS if f.name != "image_id"]])
     n = partitions or int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = paths.select(path_col).repartition(n, path_col)
 
+    opened: dict = {}  # scheme and host -> (file system, prefix), once per task
+
     def read_bytes(path: str) -> bytes:
-        from pyarrow import fs as pafs
-        if "://" in path:
-            filesystem, inner = pafs.FileSystem.from_uri(path)
-        else:
-            filesystem, inner = pafs.LocalFileSystem(), path
-        with filesystem.open_input_stream(inner) as f:
+        host = "/".join(path.split("/")[:3]) if "://" in path else ""
+        if host not in opened:
+            filesystem, _, prefix = _open(path)
+            opened[host] = filesystem, len(prefix)
+        filesystem, cut = opened[host]
+        with filesystem.open_input_stream(path[cut:]) as f:
             return f.read()
 
     def fn(row):
@@ -188,7 +236,7 @@ def decode_paths(paths: DataFrame, decoder, path_col: str = "img_path",
         except FileNotFoundError:
             return  # no row: a missing file is SKIPPED downstream, as in the decode scan
         try:
-            img = decoder(data) if data else None
+            img = three_channels(decoder(data)) if data else None
         except Exception:  # noqa: BLE001 -- an undecodable file is a row, not a job failure
             img = None
         if img is None:

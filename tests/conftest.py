@@ -24,12 +24,12 @@ def spark():
 
 
 def png_bytes(rgb: np.ndarray) -> bytes:
-    """Minimal PNG encoder (8-bit RGB or grey), no external library."""
+    """Minimal PNG encoder (8-bit RGB, RGB + alpha or grey), no external library."""
     rgb = np.ascontiguousarray(rgb, dtype=np.uint8)
     if rgb.ndim == 2:
         rgb = rgb[:, :, None]
     h, w, c = rgb.shape
-    colour = {1: 0, 3: 2}[c]
+    colour = {1: 0, 3: 2, 4: 6}[c]
     raw = b"".join(b"\x00" + rgb[y].tobytes() for y in range(h))
 
     def chunk(tag, data):
@@ -53,13 +53,14 @@ def png_decoder(data: bytes):
         tag, body = data[pos + 4:pos + 8], data[pos + 8:pos + 8 + n]
         if tag == b"IHDR":
             w, h, _, colour = struct.unpack(">IIBB", body[:10])
-            c = {0: 1, 2: 3}[colour]
+            c = {0: 1, 2: 3, 6: 4}[colour]
         elif tag == b"IDAT":
             idat += body
         pos += 12 + n
     raw = np.frombuffer(zlib.decompress(idat), np.uint8).reshape(h, 1 + w * c)
     img = raw[:, 1:].reshape(h, w, c)
-    return np.ascontiguousarray(img[:, :, ::-1] if c == 3 else np.repeat(img, 3, axis=2))
+    order = {1: [0], 3: [2, 1, 0], 4: [2, 1, 0, 3]}[c]
+    return np.ascontiguousarray(img[:, :, order])
 
 
 @pytest.fixture(scope="session")
@@ -81,6 +82,10 @@ def image_root():
         os.path.join(p2, "IMG_7.jpg"): png_bytes(np.full((40, 30, 3), 200, np.uint8)),
         os.path.join(p1, "IMG_8.jpg"): png_bytes(
             np.random.RandomState(8).randint(0, 256, (450, 600, 3)).astype(np.uint8)),
+        os.path.join(p1, "_IMG_10.jpg"): png_bytes(_synth_pixels(10)),    # hidden to Spark's sources
+        os.path.join(p2, "IMG_11.jPg"): png_bytes(_synth_pixels(11)),
+        os.path.join(p1, "IMG_12.jpg"): png_bytes(_synth_pixels(12)[:, :, 0]),        # grey
+        os.path.join(p2, "IMG_13.jpg"): png_bytes(np.dstack([_synth_pixels(13), np.full((64, 64), 90, np.uint8)])),
         os.path.join(p1, "notes.txt"): b"not an image",
     }
     for path, data in files.items():
@@ -93,11 +98,13 @@ def image_root():
         f.write("L2,IMG_2,mel,histo,female,50.0,face\n")
         f.write("L3,IMG_3,nv,consensus,male,,back\n")       # null age -> quarantined
         f.write("L4,IMG_4,bkl,histo,male,60.0,trunk\n")      # junk image
-        f.write("L5,IMG_5,nv,histo,female,30.0,back\n")      # zero-byte file = missing
+        f.write("L5,IMG_5,nv,histo,female,30.0,back\n")      # zero-byte file: FAILED
         f.write("L6,IMG_6,nv,histo,male,35.0,back\n")        # 1x1
         f.write("L7,IMG_7,bcc,histo,male,70.0,face\n")       # one colour
         f.write("L8,IMG_8,nv,histo,female,40.0,scalp\n")     # 600x450 noise
         f.write("L9,IMG_9,nv,histo,female,41.0,scalp\n")     # no file
         f.write("L10,,nv,histo,female,42.0,scalp\n")         # null id
         f.write("L11,IMG_1,nv,histo,male,,back\n")           # repeated id, null age
+        f.write("L12,IMG_12,mel,histo,male,52.0,back\n")     # grey file
+        f.write("L13,IMG_13,mel,histo,male,53.0,back\n")     # file with alpha
     return root

@@ -26,16 +26,20 @@ def _tree_digest(root):
     return out
 
 
-def test_listing_skips_zero_byte_and_non_images(spark, image_root):
+def test_listing_has_zero_byte_and_hidden_files(spark, image_root):
     names = {os.path.basename(r["path"]) for r in src.list_images(spark, [image_root]).collect()}
     assert "notes.txt" not in names and "metadata.csv" not in names
-    assert "IMG_5.jpg" not in names          # zero bytes: Spark skips it (SURVEY M23)
+    assert {"IMG_5.jpg", "_IMG_10.jpg", "IMG_11.jPg"} <= names      # zero bytes, hidden, any case
     assert {"IMG_1.jpg", "IMG_2.JPG", "IMG_2.jpg", "IMG_3.jpeg", "IMG_4.jpg"} <= names
 
 
-def test_listing_does_not_read_contents(spark, image_root):
-    plan = src.list_images(spark, [image_root])._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
+def test_listing_of_a_missing_folder_is_empty(spark, image_root):
+    assert src.list_files(spark, [os.path.join(image_root, "nope")]).count() == 0
+    nested = src.list_files(spark, [image_root])
+    flat = src.list_files(spark, [image_root], recursive=False)
+    assert nested.count() > flat.count() >= 1
+    sizes = {os.path.basename(r["path"]): r["length"] for r in nested.collect()}
+    assert sizes["IMG_5.jpg"] == 0 and sizes["notes.txt"] == 12
 
 
 def test_decode_scan(spark, image_root):
@@ -50,6 +54,9 @@ def test_decode_scan(spark, image_root):
     assert junk["height"] == -1
     grey = next(r for k, r in rows.items() if k.startswith("IMG_7"))
     assert (grey["height"], grey["width"]) == (40, 30)
+    for name in ("IMG_12", "IMG_13"):       # grey and alpha files come as three channels
+        r = next(r for k, r in rows.items() if k.startswith(name))
+        assert r["n_channels"] == 3 and len(r["data"]) == 3 * r["height"] * r["width"]
 
 
 def test_prepare_dataset_end_to_end(spark, image_root):
@@ -61,44 +68,73 @@ def test_prepare_dataset_end_to_end(spark, image_root):
 
     clean = spark.read.parquet(f"{out}/clean")
     kept = sorted(r["image_id"] for r in clean.collect())
-    # IMG_1 quarantined via its repeated null-age row, IMG_3 null age, IMG_5 zero bytes
-    # (= missing), IMG_9 no file, null id dropped
-    assert kept == ["IMG_2", "IMG_4", "IMG_6", "IMG_7", "IMG_8"]
+    # IMG_1 quarantined via its repeated null-age row, IMG_3 null age, IMG_9 no file, null id dropped
+    assert kept == ["IMG_12", "IMG_13", "IMG_2", "IMG_4", "IMG_5", "IMG_6", "IMG_7", "IMG_8"]
     paths = {r["image_id"]: r["img_path"] for r in clean.collect()}
     assert paths["IMG_2"].endswith("part_1/IMG_2.JPG")        # part 1 wins over part 2
 
     status = {r["status"]: r["n"] for r in rep["status_counts"].collect()}
-    assert status == {"SUCCESS": 4, "FAILED": 1}               # IMG_4 is junk
+    assert status == {"SUCCESS": 6, "FAILED": 2}               # IMG_4 is junk, IMG_5 empty
     rate = rep["success_rate"].first()
-    assert rate["n_rows"] == 5 and abs(rate["success_rate"] - 80.0) < 1e-9
+    assert rate["n_rows"] == 8 and abs(rate["success_rate"] - 75.0) < 1e-9
 
     derived = spark.read.parquet(f"{out}/derived")
     pre = derived.filter(F.col("kind") == "preprocessed")
     for r in pre.filter(F.col("status") == "SUCCESS").collect():
         assert (r["height"], r["width"], r["n_channels"]) == (128, 128, 3)
-    assert pre.count() == 5                               # one row per distinct file
+    assert pre.count() == 8                               # one row per distinct file
     img2 = pre.filter(F.col("img_path").endswith("/IMG_2.JPG")).first()
     exp = K.preprocess(_synth_pixels(2)[:, :, ::-1])
     assert bytes(img2["data"]) == exp.tobytes()
 
     counts = {r["variant"]: r["n"] for r in rep["variant_counts"].collect()}
-    # 4 readable images; the 1x1 image cannot be zoomed
-    assert counts["_rot90"] == 4 and counts["_zoomin"] == 3 and counts["_zoomout"] == 3
-    assert counts["TOTAL"] == 4 * 9 - 2
+    # 6 readable images; the 1x1 image cannot be zoomed
+    assert counts["_rot90"] == 6 and counts["_zoomin"] == 5 and counts["_zoomout"] == 5
+    assert counts["TOTAL"] == 6 * 9 - 2
     totals = {r["node"]: r for r in rep["augment_totals"].collect()}
-    assert totals[0]["originals"] == 5 and totals[0]["variants_ok"] == 34
-    assert totals[0]["variants_failed"] == 9 + 2
-    assert totals[1]["originals"] == 2 and totals[2]["originals"] == 3
+    assert totals[0]["originals"] == 8 and totals[0]["variants_ok"] == 52
+    assert totals[0]["variants_failed"] == 2 * 9 + 2
+    assert totals[1]["originals"] == 4 and totals[2]["originals"] == 4
+    deficit = {r["value"]: r["deficit"] for r in rep["class_deficit"].collect()}
+    result = {r["value"]: r for r in rep["balance_result"].collect()}
+    for value, need in deficit.items():
+        assert result[value]["planned"] == need and result[value]["made"] + result[value]["still_missing"] == need
+    assert rep["dataset_overview"].first()["n_images"] >= 8 and rep["column_profile"].count() == 7
+    assert rep["dataset_ready"].first()["ready"]
+    assert spark.read.parquet(f"{out}/reports/frequency_report").count() == rep["frequency_report"].count()
 
     v = derived.filter(F.col("img_path").endswith("/IMG_2.JPG") &
                        (F.col("kind") == "_rot90")).first()
     rot = np.frombuffer(v["data"], np.uint8).reshape(v["height"], v["width"], 3)
     assert (rot == K.rotate(_synth_pixels(2)[:, :, ::-1], 90)).all()
-    assert derived.filter(F.col("kind") != "preprocessed").count() == 5 * 9
+    assert derived.filter(F.col("kind") != "preprocessed").count() == 8 * 9
 
     schema = {r["column_name"]: r["data_type"] for r in rep["schema"].collect()}
     assert schema["age"] == "double" and schema["img_path"] == "string"
-    assert rep["summary"].first()["n_rows"] == 5
+    assert rep["summary"].first()["n_rows"] == 8
+
+
+def test_prepare_with_one_part_and_image_files(spark, image_root):
+    import shutil
+    root, out = tempfile.mkdtemp(prefix="specimen-one-"), tempfile.mkdtemp(prefix="specimen-one-out-")
+    shutil.copytree(os.path.join(image_root, "part_1"), os.path.join(root, "part_1"))
+    meta = os.path.join(image_root, "metadata.csv")
+    rep = prepare_dataset(spark, meta, root, out, image_files=True)
+    assert {r["image_id"] for r in spark.read.parquet(f"{out}/clean").collect()} >= {"IMG_2", "IMG_8"}
+    written = sum(len(f) for _, _, f in os.walk(f"{out}/files"))
+    assert written == {r["variant"]: r["n"] for r in rep["variant_counts"].collect()}["TOTAL"] > 0
+    import pytest
+    with pytest.raises(ValueError):
+        prepare_dataset(spark, meta, tempfile.mkdtemp(prefix="specimen-none-"), out)
+
+
+def test_image_files_of_one_id_stay_apart(spark):
+    folder = tempfile.mkdtemp(prefix="specimen-files-")
+    img = np.zeros((2, 2, 3), np.uint8)
+    rows = spark.createDataFrame([(f"/d/part_{p}/A.jpg", "A", 2, 2, 3, bytearray(img.tobytes())) for p in (1, 2)],
+                                 "path string, image_id string, height int, width int, n_channels int, data binary")
+    assert len({r["path"] for r in src.write_image_files(rows, folder).collect()}) == 2
+    assert sum(len(f) for _, _, f in os.walk(folder)) == 2
 
 
 def test_catalog_from_real_listing(spark, image_root):
@@ -149,7 +185,7 @@ def test_path_driven_decode_matches_decode_scan(spark, image_root):
     cols = ["img_path", "kind", "ok", "status", "height", "width", "data"]
     a = {tuple(r) for r in spark.read.parquet(f"{out_a}/derived").select(*cols).collect()}
     b = {tuple(r) for r in spark.read.parquet(f"{out_b}/derived").select(*cols).collect()}
-    assert a == b and len(a) == 5 * 10
+    assert a == b and len(a) == 8 * 10
     for name in ("status_counts", "augment_totals", "variant_counts"):
         assert {tuple(r) for r in rep_a[name].collect()} == {tuple(r) for r in rep_b[name].collect()}
 
@@ -165,17 +201,6 @@ def test_decode_paths_opens_only_listed_files(spark, image_root):
     assert got[wanted[0]]["height"] == 64 and got[wanted[1]]["height"] == -1
 
 
-def test_auto_decoder_prefers_opencv_then_pillow(monkeypatch):
-    import importlib.util
-    real = importlib.util.find_spec
-    for present, expected in ((set(), None), ({"PIL"}, src.pillow_decoder),
-                              ({"PIL", "cv2"}, src.opencv_decoder)):
-        monkeypatch.setattr(importlib.util, "find_spec",
-                            lambda name, *a, _p=present: object() if name in _p else
-                            (None if name in ("PIL", "cv2") else real(name, *a)))
-        assert src.auto_decoder() is expected
-
-
 def test_metadata_csv_by_header_name_any_order(spark):
     from specimen.operators import cleaning
     from specimen.sources import metadata as sm
@@ -225,7 +250,7 @@ def test_prepare_accepts_file_uri_root(spark, image_root):
     out = tempfile.mkdtemp(prefix="specimen-uri-")
     rep = prepare_dataset(spark, "file:" + os.path.join(image_root, "metadata.csv"),
                           "file://" + image_root, out, fraction=1.0)
-    assert {r["status"]: r["n"] for r in rep["status_counts"].collect()} == {"SUCCESS": 4, "FAILED": 1}
+    assert {r["status"]: r["n"] for r in rep["status_counts"].collect()} == {"SUCCESS": 6, "FAILED": 2}
 
 
 def test_command_line_bernoulli_sample(image_root, capsys):
