@@ -135,7 +135,8 @@ def map_rows(df: DataFrame, row_fn: RowFn, out_schema: T.StructType,
                        for k, c in cols.items()}
                 for res in row_fn(row):
                     for n in names:
-                        out[n].append(res.get(n))
+                        v = res.get(n)
+                        out[n].append(v.to_pybytes() if isinstance(v, pa.Buffer) else v)
                     size += 1
                     nbytes += sum(len(res.get(b) or b"") for b in binary)
                     if size >= batch_rows or nbytes >= batch_bytes:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specimen.operators.catalog import with_img_path
 from specimen.schema import METADATA_COLUMNS, SAMPLE_SEED
 
 
@@ -71,19 +70,16 @@ def filter_path_exists(rows: DataFrame, listing: DataFrame) -> DataFrame:
     return rows.join(files, on="img_path", how="left_semi")
 
 
-def spread(unique: DataFrame, key: str) -> DataFrame:
-    """``unique`` (one row per ``key``) with an exchange of its own in a join.
+def spread_join(rows: DataFrame, unique: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join ``rows`` to ``unique`` (one row per ``key``) so that a hot key can be split.
 
-    An aggregate leaves its rows partitioned by the key, the join then adds no
-    exchange on that side, and adaptive execution splits a skewed join only
-    between two exchanges.  Grouping by (key, a function of the key) deals the
-    few rows differently, so the join exchanges both sides.
+    Adaptive execution splits a skewed join only between two exchanges, but an
+    aggregate already partitioned by the key would be joined where it lies.
+    Joining on the key and a function of it asks both sides for an exchange;
+    for ``unique`` that is one of small rows, for ``rows`` the one it needs anyway.
     """
-    deal = F.crc32(F.col(key).cast("string")).alias("_deal")
-    others = [c for c in unique.columns if c != key]
-    if not others:
-        return unique.select(key, deal).distinct().select(key)
-    return unique.groupBy(key, deal).agg(*[F.min(c).alias(c) for c in others]).select(*unique.columns)
+    deal = F.crc32(F.col(key).cast("string"))
+    return rows.withColumn("_deal", deal).join(unique.withColumn("_deal", deal), [key, "_deal"], how).drop("_deal")
 
 
 def enrich(raw: DataFrame, resolved: DataFrame, keep_age_text: bool = False) -> DataFrame:
@@ -91,7 +87,7 @@ def enrich(raw: DataFrame, resolved: DataFrame, keep_age_text: bool = False) ->
     ``keep_age_text`` adds the age as it was written."""
     rows = project_metadata(raw).withColumn("age_text", F.col("age").cast("string"))
     more = ["age_text"] if keep_age_text else []
-    return with_img_path(cast_metadata(rows), spread(resolved, "image_id")).select(
+    return spread_join(cast_metadata(rows), resolved, "image_id", "left").select(
         *METADATA_COLUMNS, "img_path", *more)
 
 
@@ -107,9 +103,9 @@ def quarantine_null_age(enriched: DataFrame) -> DataFrame:
 
 def _quarantined_ids(enriched: DataFrame) -> DataFrame:
     # the reference deletes only files it found; later rows with the same id
-    # then resolve to nothing (M6).  ``spread`` makes them distinct, map-side
-    # first, so a hot id becomes one row before the shuffle.
-    return enriched.filter(F.col("age").isNull() & F.col("img_path").isNotNull()).select("image_id")
+    # then resolve to nothing (M6).  distinct() pre-aggregates map-side, so a
+    # hot id becomes one row before the shuffle.
+    return enriched.filter(F.col("age").isNull() & F.col("img_path").isNotNull()).select("image_id").distinct()
 
 
 def clean_and_enrich(raw: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -118,27 +114,26 @@ def clean_and_enrich(raw: DataFrame, resolved: DataFrame) -> DataFrame:
 
     The quarantine is decided on one row per id before the rows see it: ids
     with a missing age (a partial aggregate, so a hot id is one row per task)
-    leave the resolved catalog, and the rows meet what is left in one join.
-    ``spread`` gives that side an exchange of its own, so adaptive execution
-    can split a hot id of the rows.
+    leave the resolved catalog, and the rows meet what is left in one join
+    that adaptive execution can split.
     """
     rows = cast_metadata(project_metadata(raw))
     no_age = rows.groupBy("image_id").agg(F.bool_or(F.col("age").isNull()).alias("_q"))
     usable = (resolved.join(no_age.filter("_q").select("image_id"), "image_id", "left_anti"))
-    kept = rows.filter(F.col("age").isNotNull()).join(spread(usable, "image_id"), "image_id")
+    kept = spread_join(rows.filter(F.col("age").isNotNull()), usable, "image_id")
     return kept.select(*METADATA_COLUMNS, "img_path")
 
 
 def keep_clean(enriched: DataFrame) -> DataFrame:
     """The cleaning rule applied to an already enriched table (F8)."""
     kept = enriched.filter(F.col("age").isNotNull() & F.col("img_path").isNotNull())
-    return kept.join(spread(_quarantined_ids(enriched), "image_id"), on="image_id", how="left_anti") \
+    return spread_join(kept, _quarantined_ids(enriched), "image_id", "left_anti") \
         .select(*METADATA_COLUMNS, "img_path")
 
 
 def anti_quarantine(enriched: DataFrame) -> DataFrame:
     """Rows whose image id is not quarantined."""
-    return enriched.join(spread(_quarantined_ids(enriched), "image_id"), on="image_id", how="left_anti")
+    return spread_join(enriched, _quarantined_ids(enriched), "image_id", "left_anti").select(*enriched.columns)
 
 
 def cleaning_delta(enriched: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def augment_dataset(clean: DataFrame, images: DataFrame | None,
     made = made if made is not None else augmented_images(clean, images)
     per_path = made.groupBy("img_path").agg(F.collect_list(F.struct(
         "variant", "variant_rank", "variant_path", "ok", "error")).alias("_made"))
-    joined = rows.join(cleaning.spread(per_path, "img_path"), on="img_path", how="inner")
+    joined = cleaning.spread_join(rows, per_path, "img_path")
     return joined.select(*rows.columns, F.explode("_made").alias("_one")).select(*rows.columns, "_one.*")
 
 

@@ -34,6 +34,7 @@ _ENTRY = "path string, length long, is_dir boolean"
 def _open(uri: str):
     """(file system, path inside it, prefix that turns paths back into URIs)."""
     from pyarrow import fs as pafs
+    uri = local_path_str(uri)
     if "://" not in uri:
         return pafs.LocalFileSystem(), uri, ""
     filesystem, inner = pafs.FileSystem.from_uri(uri)
@@ -221,6 +222,7 @@ def decode_paths(paths: DataFrame, decoder, path_col: str = "img_path",
     opened: dict = {}  # scheme and host -> (file system, prefix), once per task
 
     def read_bytes(path: str) -> bytes:
+        path = local_path_str(path)
         host = "/".join(path.split("/")[:3]) if "://" in path else ""
         if host not in opened:
             filesystem, _, prefix = _open(path)

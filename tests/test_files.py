@@ -43,19 +43,19 @@ def test_listing_of_a_missing_folder_is_empty(spark, image_root):
 
 
 def test_decode_scan(spark, image_root):
-    rows = {r["image_id"] + r["path"][-5:]: r for r in
+    rows = {os.path.basename(r["path"]): r for r in
             src.read_images(spark, [os.path.join(image_root, "part_1"),
                                     os.path.join(image_root, "part_2")]).collect()}
-    one = next(r for k, r in rows.items() if k.startswith("IMG_1"))
+    one = next(r for k, r in rows.items() if k.startswith("IMG_1."))
     assert (one["height"], one["width"], one["n_channels"]) == (64, 64, 3)
     bgr = np.frombuffer(one["data"], np.uint8).reshape(64, 64, 3)
     assert (bgr[:, :, ::-1] == _synth_pixels(1)).all()          # BGR byte order
-    junk = next(r for k, r in rows.items() if k.startswith("IMG_4"))
+    junk = next(r for k, r in rows.items() if k.startswith("IMG_4."))
     assert junk["height"] == -1
-    grey = next(r for k, r in rows.items() if k.startswith("IMG_7"))
+    grey = next(r for k, r in rows.items() if k.startswith("IMG_7."))
     assert (grey["height"], grey["width"]) == (40, 30)
     for name in ("IMG_12", "IMG_13"):       # grey and alpha files come as three channels
-        r = next(r for k, r in rows.items() if k.startswith(name))
+        r = next(r for k, r in rows.items() if k.startswith(name + "."))
         assert r["n_channels"] == 3 and len(r["data"]) == 3 * r["height"] * r["width"]
 
 

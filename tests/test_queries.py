@@ -320,7 +320,8 @@ def test_hot_id_is_split_with_a_quarantine(spark):
             F.lit("L").alias("lesion_id"), F.when(i % 3 == 0, F.lit("IMG_7")).otherwise(
                 F.concat(F.lit("IMG_"), i.cast("string"))).alias("image_id"),
             F.lit("nv").alias("dx"), F.lit("histo").alias("dx_type"), F.lit("male").alias("sex"),
-            F.when(i % 100 == 1, F.lit(None)).otherwise((i % 90).cast("string")).alias("age"), F.lit("back").alias("localization"))
+            F.when(i % 100 == 1, F.lit(None)).otherwise((i % 90).cast("string")).alias("age"),
+            F.md5(i.cast("string")).alias("localization"))
         lst = spark.range(200_000).select(F.concat(F.lit("/d/part_1/IMG_"), i.cast("string"), F.lit(".jpg")).alias("path"))
         res = cat.resolve_catalog(lst, ["/d/part_1", "/d/part_2"])
         counts = set()
