@@ -16,10 +16,10 @@ look twice as far.  Signatures are banded (BANDS x ROWS); a pair at similarity
 0.8 misses every band with probability 2e-4, at 0.9 with 1e-9.
 
 Links without all pairs.  Equal texts are merged first (128-bit hash) and one
-row stands for them.  In each band bucket every member is paired with one lead
-only, the member with most bucket mates over all bands (a text that many others
-were copied from); the pairs are checked exactly on the shingle multisets.
-Then, while a bucket still holds members outside its lead's class, those
+row stands for them.  Each band bucket has one lead, the member with most bucket
+mates over all bands (a text that many others were copied from).  Every text is
+checked, exactly on the shingle multisets, against its best lead, then against
+the leads of its other buckets that are not in its class by then.  Then, while a bucket still holds members outside its lead's class, those
 outsiders are paired with the bucket's members, 8, 64, 512, ... outsiders a
 round.  Left out are pairs checked before, pairs within a class, and pairs that
 cannot reach the threshold: distance (1 - similarity) is a metric, so two
@@ -252,22 +252,43 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     mates = written(members.groupBy("id").agg(F.sum("n").alias("mates")), "mates")
     leads = written(members.join(mates, "id").groupBy("key").agg(
         F.max(F.struct("mates", F.bitwise_not("id").alias("flip"))).alias("_top")).select(
-            "key", F.bitwise_not("_top.flip").alias("lead")), "leads")  # ties: the least id
+            "key", F.bitwise_not("_top.flip").alias("lead"), F.col("_top.mates").alias("mates")), "leads")  # ties: the least id
     stars = written(members.join(leads, "key"), "stars")
-    pairs = written(_ordered(stars.filter(F.col("id") != F.col("lead")), "id", "lead").distinct(), "pairs")
+    apart = stars.filter(F.col("id") != F.col("lead"))
+    pairs = written(_ordered(apart, "id", "lead").distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("_nd_id")).union(pairs.select(F.col("b").alias("_nd_id"))).distinct()
     # merge: the wanted ids grow with the input, so the join has one form at every size
     sets = written(shingle_sets(docs.withColumn("_nd_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)))
                                 .join(wanted.hint("merge"), "_nd_id", "left_semi")), "sets")
-    tested = written(_checked(pairs, sets), "tested")
+    # one lead each first, the one with most mates; then the others across classes
+    best = _ordered(apart.groupBy("id").agg(F.max(F.struct("mates", F.bitwise_not("lead").alias("flip"))).alias("_top"))
+                    .select("id", F.bitwise_not("_top.flip").alias("lead")), "id", "lead").distinct()
+    tested = written(_checked(written(best, "pairs"), sets), "tested")
     labels = components(tested.filter(F.col("sim") >= threshold).select("a", "b"))
-    # every member's similarity to its lead
+
+    def cls(name: str) -> DataFrame:
+        return labels.select(F.col("node").alias(name), F.col("label").alias(f"_{name}"))
+
+    def across(found: DataFrame) -> DataFrame:
+        """Pairs not checked yet whose texts are in different classes."""
+        return (found.join(tested.select("a", "b"), ["a", "b"], "left_anti").join(cls("a"), "a", "left")
+                .join(cls("b"), "b", "left").filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b"))
+
+    def merged(new: DataFrame) -> DataFrame:
+        """Labels with the links of ``new``: each text's label stands for its old links."""
+        links = new.filter(F.col("sim") >= threshold).select("a", "b")
+        if links.isEmpty():
+            return labels
+        return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links))
+
+    new = written(_checked(written(across(pairs), "pairs"), sets), "tested")
+    tested, labels = tested.unionByName(new), merged(new)
+    # members' similarity to their lead: null where they share its class unchecked
     rated = stars.withColumns({"a": F.greatest("id", "lead"), "b": F.least("id", "lead")}).join(
-        tested, ["a", "b"], "left").select("key", "n", "id", "weight", "lead", F.coalesce("sim", F.lit(1.0)).alias("sim"))
+        tested, ["a", "b"], "left").select("key", "n", "id", "weight", "lead", "sim")
     rated = written(rated, "rated").filter(F.col("n") > 2)
     leaders = 8
     while True:
-        cls = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"_{name}"))
         outside = (rated.filter(F.col("sim") < threshold).join(cls("id"), "id", "left").join(cls("lead"), "lead", "left")
                    .filter(F.coalesce("_id", "id") != F.coalesce("_lead", "lead")))
         outside = written(outside.select("key", "id", "weight", "sim"), "outside")
@@ -278,18 +299,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         chosen = written(outside.join(counts, "key").filter(
             F.pmod(F.xxhash64("id"), F.col("n_out")) < leaders).select(
                 "key", F.col("id").alias("_y"), F.col("weight").alias("_w"), F.col("sim").alias("_s")), "chosen")
-        can = ((F.col("id") != F.col("_y")) & (F.abs(F.col("sim") - F.col("_s")) <= 1 - threshold + 1e-9)
+        far = F.when(F.col("id") == F.col("lead"), 1.0).otherwise(F.col("sim")) - F.col("_s")
+        can = ((F.col("id") != F.col("_y")) & (far.isNull() | (F.abs(far) <= 1 - threshold + 1e-9))
                & (F.least("weight", "_w") >= threshold * F.greatest("weight", "_w")))
         near = rated.alias("x").join(chosen.alias("y"), (F.col("x.key") == F.col("y.key")) & can)
-        fresh = _ordered(near, "id", "_y").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = (fresh.join(cls("a"), "a", "left").join(cls("b"), "b", "left")
-                 .filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b"))
-        fresh = written(fresh, "pairs")
-        new = written(_checked(fresh, sets), "tested")
-        tested = tested.unionByName(new)
-        linked = new.filter(F.col("sim") >= threshold)
-        if not linked.isEmpty():
-            labels = components(tested.filter(F.col("sim") >= threshold).select("a", "b"))
+        new = written(_checked(written(across(_ordered(near, "id", "_y").distinct()), "pairs"), sets), "tested")
+        tested, labels = tested.unionByName(new), merged(new)
         if leaders >= last:
             break
         leaders *= 8
