@@ -10,8 +10,10 @@ with other white space, or with a special token's marker, are encoded whole.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 
-_CACHE_LIMIT, _LONGEST_CACHED = 500_000, 200
+_CACHE_LIMIT, _LONGEST_CACHED = 300_000, 200
 _ODD = re.compile(r"\s | \s|<\|")
 _STATE: dict[str, object] = {}
 
@@ -36,19 +38,39 @@ def _json_encoder(path: str):
     return _STATE[path]
 
 
+_STOPS = frozenset(".,;:")
+
+
+def _packed(ids: list[int]) -> bytes:
+    a = array("I", ids)  # four bytes an item here
+    if sys.byteorder == "big":
+        a.byteswap()
+    return a.tobytes()
+
+
 class _Chunks(dict):
-    """chunk -> its ids as little-endian unsigned 32-bit bytes."""
+    """chunk -> its ids as little-endian unsigned 32-bit bytes.
+
+    Two generations: a full cache becomes the old one, whose entries come back
+    when they are met again, so common chunks survive."""
 
     def __init__(self, json_path: str, ranks_path: str):
         self.json_path, self.plain = json_path, _rank_encoder(ranks_path).encode_ordinary
+        self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> list[int]:
         return _json_encoder(self.json_path).encode(text, add_special_tokens=False).ids
 
     def __missing__(self, chunk: str) -> bytes:
-        import numpy as np
-        ids = np.array(self.whole(chunk) if _ODD.search(chunk) else self.plain(chunk), dtype="<u4").tobytes()
+        ids = self.old.get(chunk)
+        if ids is None:
+            if chunk[-1:] in _STOPS and chunk[-2:-1].isalpha():
+                # a letter run ends before punctuation: both parts are pre-tokens
+                ids = self[chunk[:-1]] + self[chunk[-1]]
+            else:
+                ids = _packed(self.whole(chunk) if _ODD.search(chunk) else self.plain(chunk))
         if len(self) >= _CACHE_LIMIT:
+            self.old = dict(self)
             self.clear()
         if len(chunk) <= _LONGEST_CACHED:
             self[chunk] = ids
@@ -81,11 +103,10 @@ def encoder(json_path: str | None = None, ranks_path: str | None = None):
     get = chunks.__getitem__
 
     def encode(text: str) -> bytes:
-        import numpy as np
         if not text:
             return b""
         if _ODD.search(text):
-            return np.array(chunks.whole(text), dtype="<u4").tobytes()
+            return _packed(chunks.whole(text))
         head, *rest = text.split(" ")
         spaced = map(get, [" " + c for c in rest])
         return b"".join([get(head), *spaced] if head else spaced)
