@@ -11,8 +11,8 @@ documents' scores, decides every document that the base rules do not fail.
 Everything is DataFrame functions.  The counts reach the exchange as at most
 ``BUCKETS`` rows a task; the weight table has exactly ``BUCKETS`` entries and is
 a constant of the scoring pass, so scoring is a projection without a shuffle.
-The trusted ids are joined by id: broadcast when small, else one exchange of the
-labelled texts' columns.
+The trusted ids are joined by id: one exchange of (id, text), a little more than
+the input.
 
 Defined results: null text = empty, no words, base_failed; a null doc_id is
 joined to no label; several label rows of an id count as trusted if any is 1;
@@ -90,7 +90,8 @@ def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) ->
         grams = _with_hashes(rows.select("doc_id", "text")).select(F.explode(_grams(buckets)).alias("bucket"))
         return grams.groupBy("bucket").agg(F.count("*").alias(name))
 
-    target = docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi")
+    # merge: the trusted ids grow with the input, so the join has one form at every size
+    target = docs.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left_semi")
     return counted(docs, "raw").join(counted(target, "target"), "bucket", "left").select(
         "bucket", "raw", F.coalesce("target", F.lit(0)).alias("target"))
 
