@@ -321,7 +321,7 @@ def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     keep = ids.groupBy("_nd_id").agg(F.min("class_id").alias("_c"), F.count("*").alias("_n"))
     keep = written(keep.filter(F.col("_nd_id") == F.col("_c")), "kept")
     out = docs.withColumn("_nd_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID))).join(
-        keep.select("_nd_id"), "_nd_id", "left_semi")
+        keep.select("_nd_id").hint("merge"), "_nd_id", "left_semi")  # ids grow with the input: one form
     if not keep.filter(F.col("_n") > 1).isEmpty():  # rows that repeat an id
         out = out.dropDuplicates(["_nd_id"])
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
