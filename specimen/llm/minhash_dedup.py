@@ -89,7 +89,7 @@ def shingles(word_ids: np.ndarray, lengths: np.ndarray, n: int = WORDS):
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
     h = np.zeros(len(word_ids), np.uint64)
     for j in range(n):
-        h[:len(h) - j or None] += _mix(word_ids[j:] + _U(j + 1)) * _U(2 * j + 1)
+        h[:max(len(h) - j, 0)] += _mix(word_ids[j:] + _U(j + 1)) * _U(2 * j + 1)
     text = np.repeat(np.arange(len(lengths)), lengths)
     inside = np.arange(len(word_ids)) - starts[text] <= (lengths[text] - n)
     short = np.flatnonzero((lengths > 0) & (lengths < n))

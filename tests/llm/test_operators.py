@@ -371,6 +371,22 @@ def test_near_duplicate_edges(edge_docs):
     assert kept.columns == edge_docs.columns and len(ids) == len(set(ids))
 
 
+@pytest.mark.parametrize("n", range(6))
+def test_blocks_of_few_words(n):
+    import pyarrow as pa
+    few, long = " ".join("abcde"[:n]), "x y z " * 70_000
+    for texts in ([few], [few, long], [long, few], [None] * 255 + [long, few]):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "text"])
+        signed = pa.Table.from_batches(minhash_dedup._sign([batch])).to_pydict()
+        sets = pa.Table.from_batches(minhash_dedup._expand([batch])).to_pydict()
+        assert signed["id"] == sets["id"] == list(range(len(texts)))
+        at = texts.index(few)
+        alone, = minhash_dedup._expand([pa.RecordBatch.from_arrays(
+            [pa.array([0, 1]), pa.array([few, "p q r s t u"])], names=["id", "text"])])
+        assert signed["weight"][at] == len(sets["items"][at]) == min(n, 1)
+        assert sets["items"][at] == alone.column(1)[0].as_py()
+
+
 # ---------------------------------------------------------------- 9 fingerprints
 
 def test_winnowing(spark, edge_docs, small_docs):
