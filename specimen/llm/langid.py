@@ -7,9 +7,13 @@ For each language up to ``CENTROIDS`` spherical k-means centroids are fitted on
 a bounded sample of labelled rows (about ``FIT_DOCS`` in all, equal shares per
 language, chosen by a hash of the id).  A text gets the language of the centroid
 with the largest cosine; ``score`` is that cosine.  A text is rejected when it
-is null, has no letter, or its cosine is under ``SLACK`` times the 1 % quantile
-of the fitted texts of its length class (classes with under 20 texts reject
-nothing), so ordinary short or noisy texts are never rejected.
+is null, has no letter, or its cosine is under the floor of its length class:
+``SLACK`` times the 1 % quantile of the cosines of texts of that length, so
+short or noisy texts like the corpus's own are not rejected.  Cosines are counted by Spark
+over all training rows, and for short lengths over the first ``PIECES``
+characters of the fitted texts too; a class with under ``CLASS_ROWS`` texts is
+pooled with its neighbours, and a length never seen has the floor of the nearest
+class that was.
 
 Whole texts are vectorised batch by batch in numpy inside ``mapInArrow``; the
 model (a few hundred kB, fixed by the parameters and the number of languages)
@@ -34,7 +38,9 @@ from specimen.llm.common import documents, id_crc
 
 BITS, FIT_DOCS, CENTROIDS, SLACK = 13, 2000, 4, 0.5
 DIM = 1 << BITS
+PIECES, CLASS_ROWS, _STEPS = (4, 8, 16, 32, 64), 20, 1000
 _BLOCK_BYTES = 1 << 20
+_LETTER = r"\p{L}"
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[128:] = np.arange(128, 256)
@@ -93,6 +99,12 @@ class Model:
     idf: np.ndarray             # (DIM,)
     floors: dict[int, float]    # length class -> least cosine accepted
 
+    def floor(self, cls: int) -> float:
+        """The floor of a length class, or of the nearest one (ties: the shorter)."""
+        if not self.floors:
+            return 0.0
+        return self.floors[min(self.floors, key=lambda c: (abs(c - cls), c))]
+
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         x = np.log1p(counts) * self.idf
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
@@ -173,13 +185,50 @@ def fit(train: DataFrame, fit_docs: int = FIT_DOCS, k: int = CENTROIDS) -> Model
     if not parts:
         return model
     model.centroids = np.concatenate(parts).astype(np.float32)
-    best, cls = (x @ model.centroids.T).max(axis=1), _length_class(counts)
-    for c in np.unique(cls):
-        if (cls == c).sum() >= 20:
-            model.floors[int(c)] = SLACK * float(np.quantile(best[cls == c], 0.01))
+    pieces = sample.select(F.explode(F.array(*[F.left("text", F.lit(n)) for n in PIECES])).alias("text"))
+    model.floors = _floors(_cosine_counts(train.select("text").unionByName(pieces), model))
     return model
 
 
+def _cosine_counts(rows: DataFrame, model: Model) -> dict[int, np.ndarray]:
+    """Per length class, how many texts with a letter have their best cosine in each of ``_STEPS`` steps."""
+    def count(batches):
+        seen: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for _, x in features(batch.column(0)):
+                best = (model.vectors(x) @ model.centroids.T).max(axis=1)
+                step = np.clip(best * _STEPS, 0, _STEPS - 1).astype(int)
+                for c, k in zip(_length_class(x).tolist(), step):
+                    seen.setdefault(c, np.zeros(_STEPS, np.int64))[k] += 1
+        for c, n in seen.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(at), c), pa.int32()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())],
+                names=["cls", "step", "n"])
+
+    # at most _STEPS rows a length class, whatever the input
+    got = rows.filter(F.col("text").rlike(_LETTER)).mapInArrow(count, "cls int, step int, n long").groupBy(
+        "cls", "step").agg(F.sum("n").alias("n")).collect()
+    out: dict[int, np.ndarray] = {}
+    for r in got:
+        out.setdefault(r.cls, np.zeros(_STEPS, np.int64))[r.step] = r.n
+    return out
+
+
+def _floors(counts: dict[int, np.ndarray]) -> dict[int, float]:
+    """``SLACK`` times the 1 % quantile of each class, pooled with as many neighbours as it needs."""
+    out, total = {}, sum(int(n.sum()) for n in counts.values())
+    for c in counts:
+        reach = 0
+        while True:
+            pool = sum(n for k, n in counts.items() if abs(k - c) <= reach)
+            if pool.sum() >= min(CLASS_ROWS, total):
+                break
+            reach += 1
+        out[c] = SLACK * int(np.searchsorted(np.cumsum(pool), 0.01 * pool.sum())) / _STEPS
+    return out
+
+
 def _predict_batch(model: Model, text: pa.Array, letter: pa.Array):
     n = len(text)
     best, who, cls = np.zeros(n), np.zeros(n, int), np.zeros(n, int)
@@ -190,15 +239,13 @@ def _predict_batch(model: Model, text: pa.Array, letter: pa.Array):
             best[row:row + len(counts)] = sims.max(axis=1)
             who[row:row + len(counts)] = sims.argmax(axis=1)
     ok = np.array(pc.fill_null(letter, False)) & bool(model.langs)
-    floor = np.array([model.floors.get(int(c), 0.0) for c in cls])
+    floors = {c: model.floor(c) for c in np.unique(cls).tolist()}
+    floor = np.array([floors[c] for c in cls.tolist()])
     pred = [model.langs[w] if k else "und" for w, k in zip(who, ok)]
     score = np.where(ok, np.clip(best, 0, 1), 0.0)
     return pred, score, ~ok | (score < floor)
 
 
-_LETTER = r"\p{L}"
-
-
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score, rejected) of every row."""
     rows = docs.select("doc_id", "text", F.col("text").rlike(_LETTER).alias("_letter"))

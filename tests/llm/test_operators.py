@@ -440,6 +440,21 @@ def test_language_id(small_docs, edge_docs, empty_docs):
     assert langid.predict(empty_docs, langid.fit(empty_docs)).count() == 0
 
 
+def test_every_length_has_a_floor(spark, small_docs):
+    model = langid.fit(langid.training_rows(small_docs))
+    rng = np.random.default_rng(3)
+    scripts = {"cyrillic": "абвгдежзиклмнопрстуфхцчшщыэюя   ", "cjk": "".join(map(chr, range(0x4e00, 0x9000)))}
+    rows = [(f"{k} {n}", "".join(rng.choice(list(letters), n))) for k, letters in scripts.items()
+            for n in (8, 12, 40, 1_000, 60_000, 1_000_000)]
+    texts = [t for t, in rows_of(small_docs, "text") if t and len(t) > 300]
+    own = [(f"own {n}", t[:n]) for t in texts for n in (8, 16, 200)] + [("own 1000000", (" ".join(texts) * 50)[:1_000_000])]
+    got = rows_of(langid.predict(spark.createDataFrame(rows + own, "doc_id string, text string"), model), "doc_id", "rejected")
+    assert all(rejected for d, rejected in got if not d.startswith("own"))
+    assert np.mean([rejected for d, rejected in got if d.startswith("own")]) <= 0.01
+    sparse = langid._floors({3: np.eye(1000, dtype=np.int64)[100], 9: 50 * np.eye(1000, dtype=np.int64)[400]})
+    assert sparse == {3: 0.05, 9: 0.2} and langid.Model([], None, None, sparse).floor(20) == 0.2
+
+
 def test_very_long_text_features():
     import pyarrow as pa
     word = "abcdefg hij "
