@@ -4,15 +4,17 @@ Base kinds (email, ip, card, phone) are found by patterns in every whole text;
 positions come from the lengths of the pieces between matches.  Identifier-like
 tokens (at least ``MIN_CHARS`` characters and three digits) that no base span
 overlaps are candidates.  Every base span and candidate is an instance with
-lexical patterns: the word before (``L``), the word after (``R``), and its own
-lead-in up to '=' or ':' (``P``, as in ``key=...``).
+lexical patterns: the word before its token (``L``), the word after (``R``), and
+the lead-in of its token up to '=' or ':' (``P``, as in ``key=...``; also an ``L``,
+so that ``key=...`` and ``key= ...`` meet).
 
 Bootstrapping: the base spans are the seed entities, with confidence 1.  In each
 of ``ROUNDS`` rounds Spark scores the pattern-instance graph: a pattern's score is
 the confidence of its distinct instances over their number plus one (at least
-``MIN_SEEDS`` distinct seeds required), and a candidate instance's confidence is
-the mean score of its patterns, counted from ``FLOOR`` up, so confident patterns
-raise instances that then support further patterns.  A candidate with a pattern
+``MIN_SEEDS`` distinct instances believed by then required), and a candidate
+instance's confidence is the mean of its scored patterns, counted from ``FLOOR``
+up: from there it is believed, so instances that confident patterns raise support
+further patterns, one hop a round.  A candidate with a pattern
 scoring ``TRUSTED`` or more is added as a span of kind ``context``.  Scores are
 whole thousandths, so sums do not depend on task order.
 
@@ -47,10 +49,12 @@ PATTERNS = {
 MIN_CHARS, MIN_SEEDS, ROUNDS, FLOOR, TRUSTED = 8, 3, 3, 500, 700
 _CANDIDATE = (r"(?<![^\x20\x09-\x0D])(?=(?:[^0-9\x20\x09-\x0D]*+[0-9]){3})[^\x20\x09-\x0D]{%d,}+" % MIN_CHARS)
 _EDGE = ".,;:!?\"'()[]{}<>|"
+_LEAD_IN = r"(?<![^\x20\x09-\x0D])([^0-9\x20\x09-\x0D]*[=:])[.,;!?\"'()\[\]{}<>|]*+$"
+_GLUED = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]++$"
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 _CONTEXT, _BLOCK = 80, 256
 _NULL_ID = -(1 << 63)
-_FOUND = "array<struct<kind:int,start:int,end:int,prev:string,next:string,value:string>>"
+_FOUND = "array<struct<kind:int,start:int,end:int,prev:string,next:string,lead:string,value:string>>"
 
 
 def _total(a: Column) -> Column:
@@ -90,10 +94,16 @@ def _spans(matched: Column) -> Column:
         F.flatten(F.transform(m["blocks"], lambda b, j: F.transform(b, lambda x, i: _total(
             F.slice(m["totals"], F.lit(1), j)) + _total(F.slice(b, F.lit(1), i + 1))))).alias("starts")))
     before, after = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)"
+    # what stands before a match in its token counts as a lead-in where it ends in '=' or ':', quotes and brackets aside
+    lead = lambda gap: F.regexp_extract(F.right(gap, F.lit(_CONTEXT)), _LEAD_IN, 1)
+    word = lambda gap: F.lower(F.regexp_extract(F.when(
+        lead(gap) != "", F.regexp_replace(F.right(gap, F.lit(_CONTEXT)), _GLUED, "")).otherwise(
+            F.right(gap, F.lit(_CONTEXT))), before, 1))
     return F.flatten(F.transform(started, lambda m: F.coalesce(F.transform(m["starts"], lambda s, i: F.struct(
         m["kind"].alias("kind"), s.alias("start"), (s + F.length(F.get(m["hits"], i))).alias("end"),
-        F.lower(F.regexp_extract(F.right(F.get(m["gaps"], i), F.lit(_CONTEXT)), before, 1)).alias("prev"),
+        word(F.get(m["gaps"], i)).alias("prev"),
         F.lower(F.regexp_extract(F.left(F.get(m["gaps"], i + 1), F.lit(_CONTEXT)), after, 1)).alias("next"),
+        lead(F.get(m["gaps"], i)).alias("lead"),
         F.get(m["hits"], i).alias("value"))), F.array().cast(_FOUND))))
 
 
@@ -136,7 +146,7 @@ def _occurrences(found: DataFrame) -> DataFrame:
     free = base | ((F.coalesce("_past", F.lit(0)) <= F.col("start")) & (
         F.coalesce("_ahead", F.col("end")) >= F.col("end")))
     rows = rows.filter(free)
-    lead_in = F.when(~base, F.regexp_extract("value", r"^([^0-9]*[=:])", 1)).otherwise(F.lit(""))
+    lead_in = F.when(~base, F.regexp_extract("value", r"^([^0-9]*[=:])", 1)).otherwise(F.col("lead"))
     bare = F.ltrim(F.substr("value", F.length("_in") + 1), F.lit(_EDGE))
     rows = rows.withColumn("_in", lead_in).withColumn(
         "_core", F.when(base, F.col("value")).otherwise(F.rtrim(bare, F.lit(_EDGE))))
@@ -145,6 +155,7 @@ def _occurrences(found: DataFrame) -> DataFrame:
     patterns = F.filter(F.array(
         F.when(F.col("prev") != "", F.concat(F.lit("L "), "prev")),
         F.when(F.col("next") != "", F.concat(F.lit("R "), "next")),
+        F.when((F.col("_in") != "") & (F.lower("_in") != F.col("prev")), F.concat(F.lit("L "), F.lower("_in"))),
         F.when(F.col("_in") != "", F.concat(F.lit("P "), F.lower("_in")))), lambda p: p.isNotNull())
     return rows.filter(F.length("_core") > 0).select(
         "id", "row", "kind", first.alias("start"), (first + F.length("_core")).cast("int").alias("end"),
@@ -162,12 +173,12 @@ def score_patterns(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         believed = written(believed, "instances")
         scores = written(
             edges.join(believed, "instance").groupBy("pattern").agg(
-                F.sum("conf").alias("_s"), F.count("*").alias("_n"), F.sum("seed").alias("_seeds"))
+                F.sum("conf").alias("_s"), F.count("*").alias("_n"), F.sum((F.col("conf") >= FLOOR).cast("int")).alias("_seeds"))
             .filter(F.col("_seeds") >= MIN_SEEDS)
             .select("pattern", F.floor(F.col("_s") / (F.col("_n") + 1)).cast("long").alias("score")), "patterns")
         mean = edges.join(scores, "pattern", "left").groupBy("instance").agg(
             F.max("seed").alias("seed"),
-            F.floor(F.sum(F.coalesce("score", F.lit(0))) / F.count("*")).cast("long").alias("_m"))
+            F.floor(F.sum("score") / F.count("score")).cast("long").alias("_m"))  # of scored patterns; null without any
         believed = mean.select("instance", F.when(F.col("seed") == 1, 1000).when(
             F.col("_m") >= FLOOR, F.col("_m")).otherwise(0).cast("long").alias("conf"))
     return scores

@@ -309,6 +309,24 @@ def test_patterns_discover(spark):
     assert all(len(out[i].base) == 1 for i in range(40))
 
 
+def test_patterns_of_discovered_instances(spark):
+    rows = [(i, f"some text contact u{i}@mail.example.org thanks") for i in range(60)]
+    rows += [(100 + i, f"words contact ID{i:07d}XK closing") for i in range(20)]
+    rows += [(200 + i, f"elsewhere QZ{i:07d}AB closing") for i in range(2)]  # two hops from an e-mail
+    rows += [(300 + i, f"account{'abc'[i % 3]} mail=v{i}@mail.example.org end") for i in range(40)]
+    rows += [(400 + i, f"a new mail=USR{i:07d} came") for i in range(5)]
+    rows += [(500 + i, f'{{"mail":"w{i}@mail.example.org"}}') for i in range(20)]
+    rows += [(600 + i, f'so {{"mail":"KEY{i:07d}"}}') for i in range(4)]
+    rows += [(700 + i, f"lot number batch{i:09d} was sold") for i in range(5)]
+    text = dict(rows)
+    got = {r.doc_id: [text[r.doc_id][s.start:s.end] for s in r.added or []]
+           for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[200 + i] == [f"QZ{i:07d}AB"] for i in range(2))
+    assert all(got[400 + i] == [f"USR{i:07d}"] for i in range(5))
+    assert all(got[600 + i] == [f"KEY{i:07d}"] for i in range(4))
+    assert all(got[100 + i] == [f"ID{i:07d}XK"] for i in range(20)) and not any(got[700 + i] for i in range(5))
+
+
 # ---------------------------------------------------------------- 8 near duplicates
 
 def plain_classes(rows, threshold=0.8):
