@@ -32,11 +32,16 @@ Hot groups: exact copies collapse in a partial aggregate; joins on a bucket or
 copy key have written tables on both sides, with unique keys on one, so adaptive
 execution splits a hot key.  Nothing is collected to the driver.
 
+Rows get a number when they are first written; a distinct text is the node of
+buckets, checks and components, named by its least row number, and rows are
+mapped to it at the end.  So null or repeated ids link nothing.
+
 Defined results: null texts count as empty; texts without words are copies of
-each other; doc_id identifies a document (rows repeating an id are one node, a
-null id counts as the least id); the least doc_id of a class is its class_id;
-an empty table gives an empty table; extra columns are passed by
-``keep_first`` and not read otherwise.
+each other; the least doc_id of a class is its class_id (a null id is the least),
+which classes share where their rows share an id: ``class_key``, the hash of the
+kept row's text, tells them apart; one row of each class is kept, the least by
+(doc_id, hash of the text); an empty table gives an empty table; extra columns
+are passed by ``keep_first`` and not read otherwise.
 """
 
 from __future__ import annotations
@@ -211,19 +216,21 @@ def _expand(batches):
             yield pa.RecordBatch.from_arrays([ids, sets], names=["id", "items"])
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"), "text")
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` written once with a number of each row, ``_nd_row``."""
+    return written(docs.withColumn("_nd_row", F.monotonically_increasing_id()), "numbered")
 
 
-def sketch(docs: DataFrame) -> DataFrame:
-    """(id, h1, h2, weight, bands): copy key, number of shingles and band keys."""
-    return _rows(docs).mapInArrow(_sign, "id long, h1 long, h2 long, weight int, bands array<long>")
+def sketch(rows: DataFrame) -> DataFrame:
+    """(id, h1, h2, weight, bands) of numbered rows, ``id`` the row's number: copy
+    key, number of shingles and band keys."""
+    return rows.select("_nd_row", "text").mapInArrow(_sign, "id long, h1 long, h2 long, weight int, bands array<long>")
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(id, items): 32-bit hashes of (shingle, n-th occurrence) of every row, so
-    that set similarity of the items is weighted similarity of the shingles."""
-    return _rows(docs).mapInArrow(_expand, "id long, items array<int>")
+def shingle_sets(rows: DataFrame) -> DataFrame:
+    """(id, items): 32-bit hashes of (shingle, n-th occurrence) of every numbered row,
+    so that set similarity of the items is weighted similarity of the shingles."""
+    return rows.select("_nd_row", "text").mapInArrow(_expand, "id long, items array<int>")
 
 
 def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -241,12 +248,18 @@ def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, class_id, text_id) of every row: ``text_id`` is the least doc_id
-    with an equal text, ``class_id`` the least doc_id of the class."""
+    """(doc_id, class_id, text_id, class_key, kept) of every row: ``text_id`` is the
+    least doc_id with an equal text, ``class_id`` the least doc_id of the class,
+    ``class_key`` the class's own, and ``kept`` holds for one row of each class."""
+    return _classified(numbered(docs.select("doc_id", "text")), threshold).drop("_nd_row")
+
+
+def _classified(docs: DataFrame, threshold: float) -> DataFrame:
+    """The columns of ``near_duplicates`` and ``_nd_row`` for numbered ``docs``."""
     signed = written(sketch(docs), "signatures")
-    copies = written(signed.groupBy("h1", "h2").agg(F.min("id").alias("text_id")), "copies")
-    firsts = signed.join(copies.select(F.col("text_id").alias("id"), "h1", "h2"), ["id", "h1", "h2"], "left_semi")
-    rows = written(firsts.select("id", "weight", F.explode("bands").alias("key")).distinct(), "buckets")
+    copies = written(signed.groupBy("h1", "h2").agg(F.min("id").alias("node")), "copies")
+    firsts = signed.join(copies.select(F.col("node").alias("id"), "h1", "h2"), ["id", "h1", "h2"], "left_semi")
+    rows = written(firsts.select("id", "weight", F.explode("bands").alias("key")), "buckets")
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     members = written(rows.join(written(sizes, "bucket-sizes"), "key"), "members")
     mates = written(members.groupBy("id").agg(F.sum("n").alias("mates")), "mates")
@@ -256,10 +269,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     stars = written(members.join(leads, "key"), "stars")
     apart = stars.filter(F.col("id") != F.col("lead"))
     pairs = written(_ordered(apart, "id", "lead").distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("_nd_id")).union(pairs.select(F.col("b").alias("_nd_id"))).distinct()
-    # merge: the wanted ids grow with the input, so the join has one form at every size
-    sets = written(shingle_sets(docs.withColumn("_nd_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)))
-                                .join(wanted.hint("merge"), "_nd_id", "left_semi")), "sets")
+    wanted = pairs.select(F.col("a").alias("_nd_row")).union(pairs.select(F.col("b").alias("_nd_row"))).distinct()
+    # merge: the wanted rows grow with the input, so the join has one form at every size
+    sets = written(shingle_sets(docs.join(wanted.hint("merge"), "_nd_row", "left_semi")), "sets")
     # one lead each first, the one with most mates; then the others across classes
     best = _ordered(apart.groupBy("id").agg(F.max(F.struct("mates", F.bitwise_not("lead").alias("flip"))).alias("_top"))
                     .select("id", F.bitwise_not("_top.flip").alias("lead")), "id", "lead").distinct()
@@ -308,25 +320,28 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         if leaders >= last:
             break
         leaders *= 8
-    named = signed.select("id", "h1", "h2").join(copies, ["h1", "h2"]).select(F.col("id"), "text_id")
-    return (named.join(labels.select(F.col("node").alias("text_id"), "label"), "text_id", "left")
-            .select(F.when(F.col("id") != _NULL_ID, F.col("id")).alias("doc_id"),
-                    F.coalesce("label", "text_id").alias("class_id"), "text_id"))
+    named = written(docs.select(
+        F.col("_nd_row").alias("id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("raw")).join(signed.select("id", "h1", "h2"), "id"), "named")
+    # one row a text, then one a class: the least row stands first
+    texts = written(named.groupBy("h1", "h2").agg(F.min(F.struct("doc", "raw", "id")).alias("_first"))
+                    .join(copies, ["h1", "h2"]).join(labels, "node", "left")
+                    .select("h1", "h2", F.coalesce("label", "node").alias("label"), "_first"), "texts")
+    heads = written(texts.groupBy("label").agg(F.min("_first").alias("_head")), "heads")
+    texts = written(texts.join(heads, "label").select("h1", "h2", F.col("_first.doc").alias("text_id"), "_head"), "texts")
+    return named.join(texts, ["h1", "h2"]).select(
+        F.when(F.col("doc") != _NULL_ID, F.col("doc")).alias("doc_id"), F.col("_head.doc").alias("class_id"), "text_id",
+        F.col("_head.raw").alias("class_key"), (F.col("id") == F.col("_head.id")).alias("kept"), F.col("id").alias("_nd_row"))
 
 
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the least of its class, one row each."""
-    found = written(near_duplicates(docs, threshold), "classes")
-    ids = found.select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("_nd_id"), "class_id")
-    keep = ids.groupBy("_nd_id").agg(F.min("class_id").alias("_c"), F.count("*").alias("_n"))
-    keep = written(keep.filter(F.col("_nd_id") == F.col("_c")), "kept")
-    out = docs.withColumn("_nd_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID))).join(
-        keep.select("_nd_id").hint("merge"), "_nd_id", "left_semi")  # ids grow with the input: one form
-    if not keep.filter(F.col("_n") > 1).isEmpty():  # rows that repeat an id
-        out = out.dropDuplicates(["_nd_id"])
+    """One row of ``docs`` of each class, the least by doc_id and text hash."""
+    rows = numbered(docs)
+    kept = written(_classified(rows, threshold).filter("kept").select("_nd_row"), "kept")
+    out = rows.join(kept.hint("merge"), "_nd_row", "left_semi")  # kept rows grow with the input: one form
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir))
-    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    return found.select("doc_id", "class_id", "kept", "class_key")

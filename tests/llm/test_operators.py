@@ -405,6 +405,23 @@ def test_blocks_of_few_words(n):
         assert sets["items"][at] == alone.column(1)[0].as_py()
 
 
+def test_null_and_repeated_ids_keep_their_texts(spark):
+    rng = np.random.default_rng(8)
+    words = lambda: [str(w) for w in rng.integers(0, 10_000, 60)]
+    five, nine, own = words(), words(), [words() for _ in range(12)]
+    rows = [(5, " ".join(five)), (9, " ".join(nine)), (None, " ".join(five + ["x"])), (None, " ".join(nine + ["x"]))]
+    rows += [(None, " ".join(w)) for w in own[:6]] * 2 + [(7, " ".join(w)) for w in own[6:]] + [(7, " ".join(own[11]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = rows_of(minhash_dedup.keep_first(docs), "doc_id", "text")
+    # one row of every text: no class joins 5 and 9, none of the null or repeated rows is lost
+    assert Counter(kept) == Counter({(None, " ".join(five + ["x"])): 1, (None, " ".join(nine + ["x"])): 1,
+                                     **{(None, " ".join(w)): 1 for w in own[:6]}, **{(7, " ".join(w)): 1 for w in own[6:]}})
+    found = minhash_dedup.near_duplicates(docs).collect()
+    assert len(found) == len(rows) and sum(r.kept for r in found) == len({r.class_key for r in found}) == 14
+    key = {r.doc_id: r.class_key for r in found}
+    assert key[5] != key[9]
+
+
 # ---------------------------------------------------------------- 9 fingerprints
 
 def test_winnowing(spark, edge_docs, small_docs):
