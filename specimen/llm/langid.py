@@ -4,8 +4,8 @@ Features are hashed byte 2- and 3-grams of the letters of a text (ASCII and
 Latin-1 capitals lowered, other ASCII to spaces), weighted log(1 + tf) * idf and
 normalised.  Document frequencies are counted over all training rows by Spark.
 For each language up to ``CENTROIDS`` spherical k-means centroids are fitted on
-a bounded sample of labelled rows (about ``FIT_DOCS`` in all, equal shares per
-language, chosen by a hash of the id).  A text gets the language of the centroid
+a bounded sample of labelled texts (at most about ``FIT_DOCS`` in all, equal shares
+per language: the distinct texts of least hash, whatever their ids and copies).  A text gets the language of the centroid
 with the largest cosine; ``score`` is that cosine.  A text is rejected when it
 is null, has no letter, or its cosine is under the floor of its length class:
 ``SLACK`` times the 1 % quantile of the cosines of texts of that length, so
@@ -31,10 +31,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from specimen.llm.common import documents, id_crc
+from specimen.llm.common import documents, id_crc, written
 
 BITS, FIT_DOCS, CENTROIDS, SLACK = 13, 2000, 4, 0.5
 DIM = 1 << BITS
@@ -150,18 +150,28 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     return c
 
 
+def _sample(train: DataFrame, share: int) -> DataFrame:
+    """(text, lang) of at most ``share`` distinct texts a language, those of least hash."""
+    rows = train.select("text", "lang", F.xxhash64("text").alias("_h"))
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.approx_count_distinct("_h", 0.03).alias("n")).collect()}
+    # a draw with half as many again as wanted: about 1.5 * share texts a language, so copies fold and are ordered cheaply
+    most = F.create_map(*[F.lit(v) for lang, n in sizes.items()
+                          for v in (lang, min(1.0, 1.5 * share / max(n, 1)) * 2.0 ** 64 - 2.0 ** 63)])
+    drawn = rows.filter(F.col("_h").cast("double") <= most[F.col("lang")])
+    texts = drawn.groupBy("lang", "_h").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy("_h")  # a limit a task goes before the exchange
+    return texts.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= share).select("text", "lang")
+
+
 def fit(train: DataFrame, fit_docs: int = FIT_DOCS, k: int = CENTROIDS) -> Model:
-    """Learn from the columns doc_id, text, lang of ``train``."""
+    """Learn from the columns text and lang of ``train``."""
     train = train.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r.lang: r.n for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model([], np.zeros((0, DIM), np.float32), np.zeros(DIM, np.float32), {})
     df, n = _document_frequencies(train)
     idf = np.log((1 + n) / (1 + df)).astype(np.float32) + 1
-    share = fit_docs / len(sizes)
-    odds = F.create_map(*[F.lit(v) for lang, m in sizes.items() for v in (lang, min(1.0, share / m))])
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(1 << 20)
-    sample = train.filter(draw < odds[F.col("lang")])
+    sample = written(_sample(train, -(-fit_docs // len(sizes))), "fit-sample")
 
     def vectorise(batches):
         for batch in batches:

@@ -1,7 +1,7 @@
 """Toxicity (operator 2): a linear-chain conditional random field over words.
 
 Fitting uses a bounded sample of labelled rows (about ``FIT_DOCS`` per class,
-chosen by a hash of the id, texts of at most ``FIT_CHARS`` characters, one of
+chosen by a hash of the id, one text an id, of at most ``FIT_CHARS`` characters, one of
 each set of near-equal texts).  Words of toxic documents are labelled where the
 word, or its first 4 or 5 letters, occurs in toxic documents far more often than
 in clean ones (log odds of document counts); all other words are labelled clean.
@@ -232,6 +232,12 @@ def _fit_link(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return beta
 
 
+def _labelled(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, text, toxic): the least text of each chosen id, however many rows repeat it."""
+    rows = docs.select("doc_id", "text").filter(F.length("text").between(1, FIT_CHARS)).join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Model | None:
     known = (labels.select("doc_id", "toxic").filter(F.col("toxic").isNotNull() & (id_crc(F.col("doc_id")) % 5 != 0))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
@@ -243,8 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Model |
         min(1.0, fit_docs / sizes.get(0, 1)))
     # about 2 * fit_docs ids: small, so the texts are picked without a shuffle of documents
     chosen = known.filter(draw < share)
-    got = (docs.select("doc_id", "text").filter(F.length("text").between(1, FIT_CHARS))
-           .join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")).toArrow().sort_by("doc_id")
+    got = _labelled(docs, chosen).toArrow().sort_by("doc_id")
     texts = [[_bare(t) for t in s.split()] for s in got.column("text").to_pylist()]
     toxic = np.array(got.column("toxic").to_pylist()) == 1
     keep = [i for i in _distinct_texts(texts) if texts[i]]

@@ -490,6 +490,19 @@ def test_every_length_has_a_floor(spark, small_docs):
     assert sparse == {3: 0.05, 9: 0.2} and langid.Model([], None, None, sparse).floor(20) == 0.2
 
 
+def test_fit_samples_are_bounded_under_hot_ids(spark):
+    rows = [(None, f"text number {i} of rows without an id", "en") for i in range(3_000)]
+    rows += [(i, "the same copied text", "en") for i in range(3_000)] + [(i, f"texte {i}", "fr") for i in range(20)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = Counter(rows_of(langid._sample(train, 100), "lang", "text"))
+    assert max(got.values()) == 1  # distinct texts
+    assert Counter(lang for lang, _ in got) == {"en": 100, "fr": 20}
+    assert Counter(rows_of(langid._sample(train.repartition(7), 100), "lang", "text")) == got
+    docs = spark.createDataFrame([(1, f"hot {i}") for i in range(500)] + [(2, "two"), (3, "three")], "doc_id long, text string")
+    chosen = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    assert sorted(rows_of(toxicity._labelled(docs, chosen), "doc_id", "text", "toxic")) == [(1, "hot 0", 1), (2, "two", 0)]
+
+
 def test_very_long_text_features():
     import pyarrow as pa
     word = "abcdefg hij "
