@@ -32,7 +32,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Delete the folders of tables from ``written`` that nothing reads any more:
+    all that was made of them has been written in turn.  Other tables are left."""
+    for table in tables:
+        path = table.__dict__.pop("_scratch_path", None) if table is not None else None
+        if path:
+            sc = table.sparkSession.sparkContext
+            folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def trimmed(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specimen.llm.common import written
+from specimen.llm.common import drop_written, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,12 +22,16 @@ def components(edges: DataFrame) -> DataFrame:
     both = written(edges.select("a", "b").union(edges.select("b", "a")).union(own).distinct(), "edges")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "labels")
     while True:
-        step = (both.join(labels.withColumnRenamed("node", "b"), "b")
+        step = (both.join(labels.select(F.col("node").alias("b"), "label"), "b")
                 .groupBy(F.col("a").alias("node")).agg(
                     F.min("label").alias("_low"), F.max(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("_old")))
         up = labels.select(F.col("node").alias("_low"), F.col("label").alias("_up"))
         moved = written(step.join(up, "_low").select(
             "node", F.least("_low", "_up").alias("label"), "_old"), "labels")
-        labels = moved.select("node", "label")
+        drop_written(labels)
+        labels = moved
         if moved.filter(F.col("label") != F.col("_old")).isEmpty():
-            return labels
+            drop_written(both)
+            out = moved.select("node", "label")
+            out._scratch_path = moved._scratch_path
+            return out

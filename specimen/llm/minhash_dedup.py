@@ -16,21 +16,18 @@ look twice as far.  Signatures are banded (BANDS x ROWS); a pair at similarity
 0.8 misses every band with probability 2e-4, at 0.9 with 1e-9.
 
 Links without all pairs.  Equal texts are merged first (128-bit hash) and one
-row stands for them.  Each band bucket has one lead, the member with most bucket
-mates over all bands (a text that many others were copied from).  Every text is
-checked, exactly on the shingle multisets, against its best lead, then against
-the leads of its other buckets that are not in its class by then.  Then, while a bucket still holds members outside its lead's class, those
-outsiders are paired with the bucket's members, 8, 64, 512, ... outsiders a
-round.  Left out are pairs checked before, pairs within a class, and pairs that
-cannot reach the threshold: distance (1 - similarity) is a metric, so two
-members whose distances from the lead differ by more than 1 - threshold are not
-linked, nor are two whose weights differ by more than the threshold's factor.
-Every other pair across classes is checked, so no link that shares a bucket is
-lost, and the number of rounds is logarithmic.
+row stands for them.  Texts in one band bucket form a group; ``groups.link_groups``
+checks them exactly on the shingle multisets against a lead of their group, and
+splits what is left by the rarest elements of the differences to that lead, so
+that no link that shares a bucket is lost and no group's pairs are formed.
 
 Hot groups: exact copies collapse in a partial aggregate; joins on a bucket or
-copy key have written tables on both sides, with unique keys on one, so adaptive
-execution splits a hot key.  Nothing is collected to the driver.
+copy key have written tables on both sides, so adaptive execution splits a hot
+key.  Nothing is collected to the driver.  Tables of earlier steps are deleted
+when the next is written.
+
+Memory of a task: one block of ``_BLOCK_WORDS`` words or one longer text, cut
+before any further text is split into words, and the bounded word cache.
 
 Rows get a number when they are first written; a distinct text is the node of
 buckets, checks and components, named by its least row number, and rows are
@@ -46,19 +43,21 @@ are passed by ``keep_first`` and not read otherwise.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specimen.llm.common import documents, written
-from specimen.llm.graph import components
+from specimen.llm.common import documents, drop_written, written
+from specimen.llm.groups import link_groups
 
 WORDS, THRESHOLD, BANDS, ROWS = 5, 0.8, 36, 7
 K = BANDS * ROWS
 _DARTS = K * (np.log(K) + 3)
-_CACHE_LIMIT = 500_000
-_BLOCK_WORDS = 200_000
+_CACHE_LIMIT = 100_000
+_BLOCK_WORDS = 50_000
 _NULL_ID = -(1 << 63)
 _U = np.uint64
 
@@ -171,17 +170,17 @@ def _bands(sig: np.ndarray) -> np.ndarray:
 
 
 def _blocks(batch: pa.RecordBatch):
-    """(ids, word lists) of a batch in blocks of bounded word count."""
-    for at in range(0, batch.num_rows, 256):
-        part = batch.slice(at, 256)
-        rows = [(t or "").lower().split() for t in part.column(1).to_pylist()]
-        first, size = 0, 0
-        for i, r in enumerate(rows):
-            if size and size + len(r) > _BLOCK_WORDS:
-                yield part.column(0).slice(first, i - first), rows[first:i]
-                first, size = i, 0
-            size += len(r)
-        yield part.column(0).slice(first), rows[first:]
+    """(ids, word lists) of a batch, some ``_BLOCK_WORDS`` words at a time."""
+    held, size, first = [], 0, 0
+    for i, text in enumerate(batch.column(1)):
+        row = (text.as_py() or "").lower().split()
+        if held and size + len(row) > _BLOCK_WORDS:
+            yield batch.column(0).slice(first, len(held)), held
+            held, size, first = [], 0, i
+        held.append(row)
+        size += len(row)
+    if held:
+        yield batch.column(0).slice(first, len(held)), held
 
 
 def _ids(rows: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +210,13 @@ def _expand(batches):
             t, s, c = shingles(*_ids(rows))
             nth = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
             each = (_mix(np.repeat(s, c) + nth.astype(np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(32)).astype(np.uint32)
-            sizes = np.bincount(np.repeat(t, c), minlength=len(rows))
+            t = np.repeat(t, c)
+            order = np.lexsort((each, t))
+            t, each = t[order], each[order]
+            # two 32-bit hashes may meet within one text: distinct items only
+            new = np.append(True, (t[1:] != t[:-1]) | (each[1:] != each[:-1]))[:len(t)]
+            t, each = t[new], each[new]
+            sizes = np.bincount(t, minlength=len(rows))
             sets = pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), pa.array(each.view(np.int32)))
             yield pa.RecordBatch.from_arrays([ids, sets], names=["id", "items"])
 
@@ -233,20 +238,6 @@ def shingle_sets(rows: DataFrame) -> DataFrame:
     return rows.select("_nd_row", "text").mapInArrow(_expand, "id long, items array<int>")
 
 
-def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with their similarity ``sim``."""
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("_x")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("items").alias("_y")), "b")
-    common = F.size(F.array_intersect("_x", "_y"))
-    # two 32-bit hashes may meet within one text: sizes of the distinct items
-    total = F.size(F.array_distinct("_x")) + F.size(F.array_distinct("_y")) - common
-    return both.select("a", "b", (common / total).alias("sim"))
-
-
-def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
-
-
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, text_id, class_key, kept) of every row: ``text_id`` is the
     least doc_id with an equal text, ``class_id`` the least doc_id of the class,
@@ -259,67 +250,18 @@ def _classified(docs: DataFrame, threshold: float) -> DataFrame:
     signed = written(sketch(docs), "signatures")
     copies = written(signed.groupBy("h1", "h2").agg(F.min("id").alias("node")), "copies")
     firsts = signed.join(copies.select(F.col("node").alias("id"), "h1", "h2"), ["id", "h1", "h2"], "left_semi")
-    rows = written(firsts.select("id", "weight", F.explode("bands").alias("key")), "buckets")
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    members = written(rows.join(written(sizes, "bucket-sizes"), "key"), "members")
-    mates = written(members.groupBy("id").agg(F.sum("n").alias("mates")), "mates")
-    leads = written(members.join(mates, "id").groupBy("key").agg(
-        F.max(F.struct("mates", F.bitwise_not("id").alias("flip"))).alias("_top")).select(
-            "key", F.bitwise_not("_top.flip").alias("lead"), F.col("_top.mates").alias("mates")), "leads")  # ties: the least id
-    stars = written(members.join(leads, "key"), "stars")
-    apart = stars.filter(F.col("id") != F.col("lead"))
-    pairs = written(_ordered(apart, "id", "lead").distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("_nd_row")).union(pairs.select(F.col("b").alias("_nd_row"))).distinct()
+    rows = written(firsts.select("id", F.explode("bands").alias("key")), "buckets")
+    shared = written(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "shared-buckets")
+    members = written(rows.join(shared, "key"), "members")
+    wanted = members.select(F.col("id").alias("_nd_row")).distinct()
     # merge: the wanted rows grow with the input, so the join has one form at every size
     sets = written(shingle_sets(docs.join(wanted.hint("merge"), "_nd_row", "left_semi")), "sets")
-    # one lead each first, the one with most mates; then the others across classes
-    best = _ordered(apart.groupBy("id").agg(F.max(F.struct("mates", F.bitwise_not("lead").alias("flip"))).alias("_top"))
-                    .select("id", F.bitwise_not("_top.flip").alias("lead")), "id", "lead").distinct()
-    tested = written(_checked(written(best, "pairs"), sets), "tested")
-    labels = components(tested.filter(F.col("sim") >= threshold).select("a", "b"))
-
-    def cls(name: str) -> DataFrame:
-        return labels.select(F.col("node").alias(name), F.col("label").alias(f"_{name}"))
-
-    def across(found: DataFrame) -> DataFrame:
-        """Pairs not checked yet whose texts are in different classes."""
-        return (found.join(tested.select("a", "b"), ["a", "b"], "left_anti").join(cls("a"), "a", "left")
-                .join(cls("b"), "b", "left").filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b"))
-
-    def merged(new: DataFrame) -> DataFrame:
-        """Labels with the links of ``new``: each text's label stands for its old links."""
-        links = new.filter(F.col("sim") >= threshold).select("a", "b")
-        if links.isEmpty():
-            return labels
-        return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links))
-
-    new = written(_checked(written(across(pairs), "pairs"), sets), "tested")
-    tested, labels = tested.unionByName(new), merged(new)
-    # members' similarity to their lead: null where they share its class unchecked
-    rated = stars.withColumns({"a": F.greatest("id", "lead"), "b": F.least("id", "lead")}).join(
-        tested, ["a", "b"], "left").select("key", "n", "id", "weight", "lead", "sim")
-    rated = written(rated, "rated").filter(F.col("n") > 2)
-    leaders = 8
-    while True:
-        outside = (rated.filter(F.col("sim") < threshold).join(cls("id"), "id", "left").join(cls("lead"), "lead", "left")
-                   .filter(F.coalesce("_id", "id") != F.coalesce("_lead", "lead")))
-        outside = written(outside.select("key", "id", "weight", "sim"), "outside")
-        counts = written(outside.groupBy("key").agg(F.count("*").alias("n_out")), "outside-sizes")
-        last = counts.agg(F.max("n_out")).first()[0]
-        if not last:
-            break
-        chosen = written(outside.join(counts, "key").filter(
-            F.pmod(F.xxhash64("id"), F.col("n_out")) < leaders).select(
-                "key", F.col("id").alias("_y"), F.col("weight").alias("_w"), F.col("sim").alias("_s")), "chosen")
-        far = F.when(F.col("id") == F.col("lead"), 1.0).otherwise(F.col("sim")) - F.col("_s")
-        can = ((F.col("id") != F.col("_y")) & (far.isNull() | (F.abs(far) <= 1 - threshold + 1e-9))
-               & (F.least("weight", "_w") >= threshold * F.greatest("weight", "_w")))
-        near = rated.alias("x").join(chosen.alias("y"), (F.col("x.key") == F.col("y.key")) & can)
-        new = written(_checked(written(across(_ordered(near, "id", "_y").distinct()), "pairs"), sets), "tested")
-        tested, labels = tested.unionByName(new), merged(new)
-        if leaders >= last:
-            break
-        leaders *= 8
+    drop_written(rows, shared)
+    share = Fraction(str(threshold))
+    labels = link_groups(members, sets, share.numerator, share.denominator)
+    drop_written(members, sets)
+    if labels is None:
+        labels = copies.select("node", F.col("node").alias("label")).limit(0)
     named = written(docs.select(
         F.col("_nd_row").alias("id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("raw")).join(signed.select("id", "h1", "h2"), "id"), "named")
@@ -328,6 +270,7 @@ def _classified(docs: DataFrame, threshold: float) -> DataFrame:
                     .join(copies, ["h1", "h2"]).join(labels, "node", "left")
                     .select("h1", "h2", F.coalesce("label", "node").alias("label"), "_first"), "texts")
     heads = written(texts.groupBy("label").agg(F.min("_first").alias("_head")), "heads")
+    drop_written(signed, copies)
     texts = written(texts.join(heads, "label").select("h1", "h2", F.col("_first.doc").alias("text_id"), "_head"), "texts")
     return named.join(texts, ["h1", "h2"]).select(
         F.when(F.col("doc") != _NULL_ID, F.col("doc")).alias("doc_id"), F.col("_head.doc").alias("class_id"), "text_id",
