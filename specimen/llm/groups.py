@@ -18,16 +18,17 @@ exactly.
    principle the first h + 1 elements of the longer difference and the first
    h / 2 + 1 of the shorter one meet, in any order common to the group: here the
    elements of fewest members first.  Members that meet in an element so are the
-   next, smaller groups.  Those of at most ``SMALL`` members are compared pair by
-   pair, larger ones elect leads in turn.
+   next, smaller groups, and elect leads in turn.
+3. A group with at most ``SMALL`` members outside its largest class is not split:
+   these are compared with all members, as many pairs as members times a constant.
+   So is, for an end, what is left after ``SPLITS`` splits.
 
 Near copies of one text differ from it in words of their own, which stand first
 in their differences: groups of thousands fall apart in one step, though every
 pair that could link is kept.  A step costs as many rows as members times the
-size of their differences.  Every step takes at least the lead out of a group, so
-the steps end; their number is not limited.  Groups are tables throughout: hot
-groups are aggregated partially, and joins have written tables on both sides,
-which adaptive execution can split.
+size of their differences.  Groups are tables throughout: hot groups are
+aggregated partially, and joins have written tables on both sides, which adaptive
+execution can split.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from specimen.llm.common import drop_written, written
 from specimen.llm.graph import components
 
-SMALL = 8
+SMALL, SPLITS = 16, 3
 
 
 def checked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -103,25 +104,24 @@ def _prefixes(parts: DataFrame) -> DataFrame:
     return rows.select("key", "g", "id", "must", (F.col("_at") <= F.floor(F.col("most") / 2) + 1).alias("idx"))
 
 
-def _state() -> list[Column]:
-    """Aggregates of a group that ``_OPEN`` reads: it may hold a link across classes."""
-    return [F.min("_c").alias("_low"), F.max("_c").alias("_high"), F.max("idx").alias("_idx"), F.max("must").alias("_must"),
-            F.count("*").alias("_n")]
+def _open(rows: DataFrame, by: str, more: list[Column]) -> DataFrame:
+    """Groups of ``rows`` (``by``, id, _c, idx, must) that may hold a link across
+    classes: ``_top``, the largest class, ``_out``, how many members are outside it."""
+    classes = rows.groupBy(by, "_c").agg(F.count("*").alias("_n"), F.max("idx").alias("idx"), F.max("must").alias("must"), *more)
+    return classes.groupBy(by).agg(
+        F.max_by("_c", F.struct("_n", "_c")).alias("_top"), (F.sum("_n") - F.max("_n")).alias("_out"),
+        F.max("idx").alias("idx"), F.max("must").alias("must"),
+        *[F.max(c).alias(c) for c in classes.columns if c == "_lead"]).filter("_out > 0 and idx and must").drop("idx", "must")
 
 
-_OPEN = "_low <> _high and _idx and _must"
-
-
-def _small_pairs(rows: DataFrame, small: DataFrame, by: str) -> DataFrame:
-    """(lead, id): the pairs of groups of at most ``SMALL`` members (``small``: their
-    keys) that roles and classes allow."""
-    own = F.struct("id", "_c", "idx", "must")
-    held = rows.join(small, by).groupBy(by).agg(F.collect_list(own).alias("_all"))
-    one = held.select("_all", F.explode("_all").alias("_x"))
-    two = one.select("_x", F.explode(F.filter("_all", lambda y: (
-        (y["id"] > F.col("_x.id")) & (y["_c"] != F.col("_x._c")) & (y["idx"] | F.col("_x.idx"))
-        & (y["must"] | F.col("_x.must"))))).alias("_y"))
-    return two.select(F.col("_x.id").alias("lead"), F.col("_y.id").alias("id")).distinct()
+def _outside(rows: DataFrame, found: DataFrame, by: str) -> DataFrame:
+    """(lead, id): members outside the largest class of their group with all members
+    of other classes, as roles allow."""
+    rows = rows.select(by, "id", "_c", "idx", "must")
+    one = rows.join(found.select(by, "_top"), by).filter(F.col("_c") != F.col("_top")).select(
+        by, F.col("id").alias("lead"), F.col("_c").alias("_d"), F.col("idx").alias("_idx"), F.col("must").alias("_must"))
+    two = one.join(rows, by).filter((F.col("_c") != F.col("_d")) & (F.col("idx") | F.col("_idx")) & (F.col("must") | F.col("_must")))
+    return two.select("lead", "id").distinct()
 
 
 def link_groups(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame | None:
@@ -158,25 +158,30 @@ def link_groups(members: DataFrame, sets: DataFrame, num: int, den: int) -> Data
     new = check(across(stars))
     labels, tested = _merged(labels, new), tested.unionByName(new)
     groups = stars.select(F.col("lead").alias("g"), "lead", "id", F.lit(True).alias("idx"), F.lit(True).alias("must"))
+    # a lead that both roles allow decides most pairs; of those the least id
+    first = F.max(F.struct((F.col("idx") & F.col("must")).alias("both"), "idx", F.bitwise_not("id").alias("flip"))).alias("_lead")
+    step = 0
     while True:
         rows = written(_class(groups, labels, "id", "_c"), "rows")
-        found = written(rows.groupBy("g").agg(*_state()).filter(_OPEN).select("g", "_n"), "open-groups")
+        found = written(_open(rows, "g", []), "open-groups")
         if found.isEmpty():
             return labels
-        pairs = _small_pairs(rows, found.filter(F.col("_n") <= SMALL).select("g"), "g")
-        parts = written(_differences(rows.join(found.filter(F.col("_n") > SMALL), "g"), sets, num, den), "parts")
+        small = F.lit(True) if step == SPLITS else F.col("_out") <= SMALL
+        pairs = _outside(rows, found.filter(small), "g")
+        if step == SPLITS:
+            return _merged(labels, check(across(pairs)))
+        parts = written(_differences(rows.join(found.filter(~small), "g"), sets, num, den), "parts")
         meeting = written(_class(_prefixes(parts), labels, "id", "_c"), "meeting")
-        # a lead that both roles allow decides most pairs; of those the least id
-        first = F.struct((F.col("idx") & F.col("must")).alias("both"), "idx", F.bitwise_not("id").alias("flip"))
-        heads = written(meeting.groupBy("key").agg(*_state(), F.max(first).alias("_top")).filter(_OPEN).select(
-            "key", "_n", F.bitwise_not("_top.flip").alias("lead")), "heads")
-        pairs = pairs.union(_small_pairs(meeting, heads.filter(F.col("_n") <= SMALL).select("key"), "key"))
-        parted = meeting.join(heads.filter(F.col("_n") > SMALL), "key").filter(F.col("id") != F.col("lead")).groupBy(
+        heads = written(_open(meeting, "key", [first]), "heads")
+        pairs = pairs.union(_outside(meeting, heads.filter(small), "key"))
+        parted = meeting.join(heads.filter(~small).select("key", F.bitwise_not("_lead.flip").alias("lead")), "key").filter(
+            F.col("id") != F.col("lead")).groupBy(
             F.xxhash64("g", "lead").alias("g"), "lead", "id").agg(F.max("idx").alias("idx"), F.max("must").alias("must"))
         parted = written(parted, "groups")
         new = check(across(pairs.union(parted.select("lead", "id"))))
         drop_written(rows, found, parts, meeting, heads, groups)
         labels, tested, groups = _merged(labels, new), tested.unionByName(new), parted
+        step += 1
 
 
 def _merged(labels: DataFrame | None, tested: DataFrame) -> DataFrame | None:

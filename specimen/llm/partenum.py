@@ -30,11 +30,11 @@ links in them exactly, without the pairs of a group.
 
 Where the work is: three passes over the texts (names and sizes; signatures;
 shingles of the sets that share a signature), one exchange of (signature, name)
-rows.  A set's name is a 64-bit hash of its sorted shingle hashes, so copies are
+rows, sent as arrays by bucket of signatures.  A set's name is a 64-bit hash of its sorted shingle hashes, so copies are
 one node, whatever their ids.  Each task drops copies within its own batches and
-keeps one row of every signature that repeats there for the common group; the
-others, known to be shared, are dealt over ``DEALS`` more keys, so that a hot group
-reaches the exchange as a row per batch.  The third pass skips texts by a bit
+keeps one row of every signature that repeats there for the common group; its
+sets, known to be shared, are dealt over ``DEALS`` more keys, so that a hot group
+meets in the exchange as a row per batch.  The third pass skips texts by a bit
 table of fixed size (2 ** ``BITS`` bits) over the names wanted; what it lets through
 in excess is more work only.
 
@@ -59,7 +59,7 @@ from specimen.llm.groups import link_groups
 from specimen.llm.minhash_dedup import _mix
 
 SHINGLE, NUM, DEN = 5, 80, 100
-RICH, SALTS, DEALS, BITS = 32, 64, 63, 24
+RICH, SALTS, DEALS, BITS = 8, 64, 63, 24
 BLOCK_WORDS, _ROWS_OUT, _CACHE_LIMIT = 60_000, 400_000, 100_000
 _U = np.uint64
 
@@ -221,7 +221,8 @@ def _distinct(rows: list[list[bytes]]):
     return number[doc[use]], shingle[use], sizes[keep], node[keep]
 
 
-def _signed(num: int, den: int):
+def _signed(num: int, den: int, buckets: int):
+    """Signatures of all distinct sets, some ``_ROWS_OUT`` at a time, by bucket."""
     def run(batches):
         held_sig, held_node, size = [], [], 0
         for batch in batches:
@@ -232,16 +233,17 @@ def _signed(num: int, den: int):
                 held_node.append(node[own])
                 size += len(sig)
                 if size >= _ROWS_OUT:
-                    yield _dealt(np.concatenate(held_sig), np.concatenate(held_node))
+                    yield _dealt(np.concatenate(held_sig), np.concatenate(held_node), buckets)
                     held_sig, held_node, size = [], [], 0
         if size:
-            yield _dealt(np.concatenate(held_sig), np.concatenate(held_node))
+            yield _dealt(np.concatenate(held_sig), np.concatenate(held_node), buckets)
     return run
 
 
-def _dealt(sig: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
-    """(sig, deal, node) rows: deal 0 for the first set of every signature here;
-    signatures of several sets have all of them under further deals as well."""
+def _dealt(sig: np.ndarray, node: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """(bucket, shared, sigs, nodes) rows.  The first set of every signature here goes
+    to the signature's bucket; signatures of several sets go, with all of them, to
+    buckets of ``shared`` ones as well, dealt by signature and set."""
     order = np.lexsort((node, sig))
     sig, node = sig[order], node[order]
     new = np.append(True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1]))
@@ -249,19 +251,30 @@ def _dealt(sig: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
     first = np.append(True, sig[1:] != sig[:-1])
     more = ~first | np.append(~first[1:], False)
     deal = 1 + (node[more].view(np.uint64) >> _U(7)) % _U(DEALS)
+    key = np.concatenate([sig[first].view(np.uint64), _mix(sig[more].view(np.uint64) + deal)])
+    shared = np.repeat([False, True], [int(first.sum()), int(more.sum())])
+    sig, node = np.concatenate([sig[first], sig[more]]), np.concatenate([node[first], node[more]])
+    bucket = (_mix(key) % _U(buckets)).astype(np.int64)
+    order = np.lexsort((node, shared, bucket))  # equal names side by side
+    sig, node, shared, bucket = sig[order], node[order], shared[order], bucket[order]
+    head = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (shared[1:] != shared[:-1])))
+    upto = pa.array(np.append(head, len(sig)).astype(np.int32))
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([sig[first], sig[more]])),
-         pa.array(np.concatenate([np.zeros(int(first.sum()), np.int64), deal.astype(np.int64)])),
-         pa.array(np.concatenate([node[first], node[more]]))], names=["sig", "deal", "node"])
+        [pa.array(bucket[head].astype(np.int32)), pa.array(shared[head]), pa.ListArray.from_arrays(upto, pa.array(sig)),
+         pa.ListArray.from_arrays(upto, pa.array(node))], names=["bucket", "shared", "sigs", "nodes"])
 
 
 def candidate_groups(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """Distinct (key, id): sets (by name) that share a signature with another set."""
-    rows = docs.select("text").mapInArrow(_signed(num, den), "sig long, deal long, node long")
-    w = Window.partitionBy("sig", "deal").orderBy("node")
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = docs.select("text").mapInArrow(
+        _signed(num, den, buckets), "bucket int, shared boolean, sigs array<long>, nodes array<long>").repartition("bucket")
+    rows = packed.select("bucket", "shared", F.explode(F.arrays_zip("sigs", "nodes")).alias("x")).select(
+        "bucket", "shared", F.col("x.sigs").alias("sig"), F.col("x.nodes").alias("node"))
+    w = Window.partitionBy("bucket", "sig").orderBy("node")  # clustered by bucket already
     near = rows.withColumns({"_before": F.lag("node").over(w), "_after": F.lead("node").over(w)})
     # equal names side by side are copies from other tasks
-    near = near.filter((F.col("deal") > 0) | (F.col("_before") != F.col("node")) | (F.col("_after") != F.col("node")))
+    near = near.filter(F.col("shared") | (F.col("_before") != F.col("node")) | (F.col("_after") != F.col("node")))
     return near.select(F.col("sig").alias("key"), F.col("node").alias("id")).distinct()
 
 
