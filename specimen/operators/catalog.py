@@ -6,16 +6,20 @@ names on disk.  Here the listing is a DataFrame: each file is parsed once into
 best file per image id is found with ``min_by`` (a partial aggregate, at most
 six files per id).  Rows then get their path with one equi-join (J1); existence
 tests are semi/anti joins (J2-J5).  Catalyst/AQE picks broadcast or
-sort-merge from runtime sizes; AQE's skew-join splits a hot image id.
+sort-merge from runtime sizes.  A join to the resolved catalog, an aggregate by id,
+goes through ``cleaning.spread_join``, so that AQE's skew-join can split a hot id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from specimen.functions import paths as P
 from specimen.functions.scalar import half_sizes
+from specimen.operators.cleaning import spread_join
 from specimen.operators.ordinal import with_ordinal
 from specimen.schema import EXTENSIONS, PART_DIRS
 
@@ -66,7 +70,7 @@ def resolve_catalog(listing: DataFrame, part_dirs: list[str]) -> DataFrame:
 
 def with_img_path(meta: DataFrame, resolved: DataFrame) -> DataFrame:
     """Attach ``img_path`` (null when no file exists or the id is null)."""
-    return meta.join(resolved, on="image_id", how="left")
+    return spread_join(meta, resolved, "image_id", "left")
 
 
 def candidate_table(meta: DataFrame, part_dirs: list[str]) -> DataFrame:
@@ -78,12 +82,12 @@ def candidate_table(meta: DataFrame, part_dirs: list[str]) -> DataFrame:
 
 def metadata_with_image(meta: DataFrame, resolved: DataFrame) -> DataFrame:
     """Rows whose image exists, as a semi join."""
-    return meta.join(resolved.select("image_id"), on="image_id", how="left_semi")
+    return spread_join(meta, resolved.select("image_id"), "image_id", "left_semi").select(*meta.columns)
 
 
 def metadata_without_image(meta: DataFrame, resolved: DataFrame) -> DataFrame:
     """Rows with no image file."""
-    return meta.join(resolved.select("image_id"), on="image_id", how="left_anti")
+    return spread_join(meta, resolved.select("image_id"), "image_id", "left_anti").select(*meta.columns)
 
 
 def original_images(listing: DataFrame, part_dirs: list[str]) -> DataFrame:
@@ -125,17 +129,47 @@ def images_to_organize(listing: DataFrame, part_dirs: list[str]) -> DataFrame:
     return union_listings(listing).filter(~P.parent_dir("path").isin(*part_dirs))
 
 
+def kth_path(paths: DataFrame, k: int, small: int = 10_000, step: int = 2) -> str | None:
+    """The ``k``-th smallest (from 1) of the distinct ``paths``, without sorting them.
+
+    From the prefix that all share on, paths are counted by a prefix ``step``
+    characters longer each round; running
+    counts name the prefix that holds the k-th, and only its paths are counted
+    further, until at most ``small`` are left to be ordered.  A round is one partial
+    aggregate; its table has one row per prefix of ``step`` more characters."""
+    rows = paths.select("path")
+    ends = rows.agg(F.min("path").alias("low"), F.max("path").alias("high")).first()
+    prefix = os.path.commonprefix([ends.low or "", ends.high or ""])
+    while True:
+        # a path that ends within the prefix is a group of its own: nothing longer equals it
+        groups = rows.groupBy(F.left("path", F.lit(len(prefix) + step)).alias("p")).agg(
+            F.count(F.lit(1)).alias("n"), F.max(F.length("path")).alias("long"))
+        hit = (groups.withColumn("upto", F.sum("n").over(Window.orderBy("p")))
+               .filter(F.col("upto") >= k).orderBy("p").limit(1).first())
+        if hit is None:
+            return None
+        k -= hit.upto - hit.n
+        if hit.n == 1 and hit.long <= len(prefix) + step:
+            return hit.p
+        prefix = hit.p
+        rows = rows.filter(F.startswith("path", F.lit(prefix)))
+        if hit.n <= small:
+            return rows.orderBy("path").offset(k - 1).limit(1).first()[0]
+
+
 def organize_parts(listing: DataFrame, part_dirs: list[str]) -> DataFrame:
     """First ceil(n/2) files in path order to part 1, the rest to part 2.
 
-    Files are not moved: the result is the target folder per file.
+    Files are not moved: the result is the target folder per file.  The one path
+    that ends the first half is selected (``kth_path``) and every file compared with
+    it, so no row is sorted or ranked.
     """
     todo = images_to_organize(listing, part_dirs)
-    ranked = with_ordinal(todo, ["path"], count_name="_n")
-    first, _ = half_sizes(F.col("_n"))
-    part = F.when(F.col("ordinal") <= first, 1).otherwise(2)
+    n = todo.count()
+    last = kth_path(todo, -(-n // 2)) if n else None
+    part = F.when(F.col("path") <= F.lit(last), 1).otherwise(2)
     target = F.when(part == 1, F.lit(part_dirs[0])).otherwise(F.lit(part_dirs[1]))
-    return ranked.select(
+    return todo.select(
         "path", part.cast("int").alias("part"),
         F.concat(target, F.lit("/"), P.basename("path")).alias("target_path"))
 

@@ -171,10 +171,11 @@ def head_rows(df: DataFrame, order: list, n: int = SHOW_ROWS) -> DataFrame:
 
 def dataset_overview(originals: DataFrame, unlabelled: DataFrame, meta: DataFrame,
                      target: str = "dx") -> DataFrame:
-    """Number of images, images without label, target labels."""
-    n_images = originals.select(F.countDistinct("image_id")).scalar()
-    n_unlabelled = unlabelled.select(F.countDistinct("image_id")).scalar()
-    labels = (meta.filter(F.col(target).isNotNull())
-              .select(F.array_join(F.array_sort(F.collect_set(F.col(target).cast("string"))), ",")))
-    return labels.select(n_images.alias("n_images"), n_unlabelled.alias("n_without_label"),
-                         F.col(labels.columns[0]).alias("labels"))
+    """(metric, value, n): number of images, images without label, and one row per
+    target label with its rows (A14).  The labels are a table, never one row."""
+    def ids(rows: DataFrame, name: str) -> DataFrame:
+        return rows.agg(F.countDistinct("image_id").alias("n")).select(
+            F.lit(name).alias("metric"), F.lit(None).cast("string").alias("value"), "n")
+    labels = (meta.filter(F.col(target).isNotNull()).groupBy(F.col(target).cast("string").alias("value"))
+              .agg(F.count(F.lit(1)).alias("n")).select(F.lit("label").alias("metric"), "value", "n"))
+    return ids(originals, "images").unionByName(ids(unlabelled, "without_label")).unionByName(labels)

@@ -41,11 +41,14 @@ def select_images(rows: DataFrame, images: DataFrame) -> DataFrame:
     return pix.join(paths, on="img_path", how="left_semi")
 
 
-def decode_selected(rows: DataFrame, decoder) -> DataFrame:
+def decode_selected(rows: DataFrame, decoder, listing: DataFrame | None = None) -> DataFrame:
     """Decoded images of the distinct files the rows point at, read by path on
     the executors with ``decoder`` (see ``sources.images.decode_paths``):
-    (img_path, pixels).  Files no row selects are never opened."""
+    (img_path, pixels).  Files no row selects are never opened.  ``listing`` (path,
+    length) adds the files' sizes, by which they are dealt to tasks."""
     paths = rows.select("img_path").filter(F.col("img_path").isNotNull()).distinct()
+    if listing is not None:
+        paths = paths.join(listing.select(F.col("path").alias("img_path"), "length"), "img_path", "left")
     return src_images.decode_paths(paths, decoder)
 
 
@@ -113,7 +116,7 @@ def _scan_selected(spark: SparkSession, clean: DataFrame, listing: DataFrame,
                    parts: list[str]) -> DataFrame:
     """The selected files decoded by Spark's ``image`` source.  Listed files that
     the source passes over (zero bytes, hidden names) come as unreadable rows."""
-    pixels = select_images(clean, src_images.read_images(spark, parts))
+    pixels = select_images(clean, src_images.read_images(spark, parts, recursive=False))
     hidden = P.basename("path").rlike(r"^[_.]")
     passed = listing.filter((F.col("length") == 0) | hidden).select(F.col("path").alias("img_path")).join(
         clean.select("img_path").distinct(), "img_path", "left_semi")
@@ -123,7 +126,8 @@ def _scan_selected(spark: SparkSession, clean: DataFrame, listing: DataFrame,
 
 def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_dir: str,
                     fraction: float = DEFAULT_SAMPLE_FRACTION, infer_schema: bool = False,
-                    decoder=None, sample_mode: str = "hash", image_files: bool = False) -> dict:
+                    decoder="auto", sample_mode: str = "hash", image_files: bool = False,
+                    inventory: DataFrame | None = None) -> dict:
     """The whole run as Spark jobs, writing new tables under ``out_dir`` (never
     touching ``data_root``): ``enriched``, ``clean``, ``quarantine``, ``derived``
     (partitioned by ``kind``: the nine variant suffixes and 'preprocessed'; every
@@ -132,10 +136,13 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
 
     All rows are kept unless ``fraction`` lies inside (0, 1).  A part folder may
     be missing; metadata or images missing altogether is an error.
-    ``decoder``: None decodes the files under the part folders with Spark's
-    ``image`` source and keeps the selected ones by a semi join; a function
-    bytes -> BGR array reads and decodes only the selected files, by path on the
-    executors, so only paths are shuffled.  Both give three-channel images.
+    ``decoder``: a function bytes -> BGR array reads and decodes only the selected
+    files, by path on the executors, dealt by their bytes, so only paths are
+    shuffled; 'auto' takes an installed one (OpenCV, Pillow).  Without any, or with
+    None, Spark's ``image`` source decodes the files under the part folders, and a
+    semi join keeps the selected ones.  Both give three-channel images; the source
+    passes over hidden names, which come as FAILED rows then.
+    ``inventory`` (path, length) replaces the walk of the part folders.
     ``sample_mode``: 'hash' (same rows at any partitioning) or 'bernoulli'
     (Spark's ``sample(False, f, 42)``).  ``image_files`` also writes every made
     variant as a file under ``out_dir/files``.
@@ -145,7 +152,10 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
     parts = cat.part_dirs_under(src_images.local_path_str(data_root))
     raw_all = src_meta.read_metadata_csv(spark, metadata_csv, infer=infer_schema)
     raw = cleaning.sample_fraction(raw_all, fraction, mode=sample_mode)
-    listing = src_images.list_images(spark, parts, recursive=False)
+    if decoder == "auto":
+        decoder = src_images.installed_decoder()
+    listing = (src_images.list_images(spark, parts, recursive=False) if inventory is None else
+               src_images.inventory_files(inventory, parts, recursive=False).filter(P.is_image_name("path")))
     ready = cat.dataset_ready(listing, raw_all, parts)
     state = ready.first()
     if not state.ready:
@@ -161,7 +171,7 @@ def prepare_dataset(spark: SparkSession, metadata_csv: str, data_root: str, out_
 
     # one pass over the selected image files makes both derived products
     selected = (_scan_selected(spark, clean, listing, present) if decoder is None
-                else decode_selected(clean, decoder))
+                else decode_selected(clean, decoder, listing))
     src_images.write_image_table(derive_images(selected), f"{out_dir}/derived",
                                  partition_by=["kind"])
     derived = spark.read.parquet(f"{out_dir}/derived")

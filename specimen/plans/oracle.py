@@ -305,9 +305,9 @@ register("augment_dataset", """
 SELECT node, variant, count(*) FILTER (WHERE ok) AS n_ok, count(*) FILTER (WHERE NOT ok) AS n_failed
 FROM v_aug GROUP BY node, variant""", _NODES)
 register("dataset_overview", """
-SELECT (SELECT count(DISTINCT image_id) FROM v_originals) AS n_images,
-       (SELECT count(DISTINCT image_id) FROM v_unlabelled) AS n_without_label,
-       (SELECT string_agg(DISTINCT dx, ',' ORDER BY dx) FROM v_meta WHERE dx IS NOT NULL) AS labels""")
+SELECT 'images' AS metric, CAST(NULL AS VARCHAR) AS value, count(DISTINCT image_id) AS n FROM v_originals
+UNION ALL SELECT 'without_label', NULL, count(DISTINCT image_id) FROM v_unlabelled
+UNION ALL SELECT 'label', dx, count(*) FROM v_meta WHERE dx IS NOT NULL GROUP BY dx""")
 _PROFILE_ROWS = []
 for _i, (_c, _t) in enumerate(_CLEAN_TYPES):
     if _t == "double":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,9 @@ from specimen.schema import IMAGE_FIELDS
 # rule is applied afterwards.
 IMAGE_GLOB = "*.[jJ][pP]*[gG]"
 
+# hash buckets a task when files are dealt by bytes; what opening a file costs, in bytes
+_FINE, _OPEN_COST = 64, 4096
+
 
 def local_path(c) -> F.Column:
     """``file:/x``, ``file:///x`` -> ``/x`` so listings, image origins and
@@ -41,31 +44,70 @@ def _open(uri: str):
     return filesystem, inner, uri[:len(uri) - len(inner)] if uri.endswith(inner) else ""
 
 
+_PAGE = 10_000
+
+
 def _list_folders(batches):
-    """One level: the entries of every folder of a batch; a missing one has none."""
+    """One level: the entries of every folder of a batch, a page at a time; a missing
+    one has none.  A local folder is read as a stream of names, whose sizes
+    ``_sizes`` adds; other stores give sizes with the names."""
+    import os
+
     import pyarrow as pa
     from pyarrow import fs as pafs
     kinds = pa.schema([("path", pa.string()), ("length", pa.int64()), ("is_dir", pa.bool_())])
+
+    def entries(folder):
+        filesystem, inner, prefix = _open(folder)
+        if isinstance(filesystem, pafs.LocalFileSystem):
+            try:
+                with os.scandir(inner) as found:
+                    for e in found:
+                        yield prefix + os.path.join(inner, e.name), None, e.is_dir()
+            except (FileNotFoundError, NotADirectoryError):
+                return
+        else:
+            for f in filesystem.get_file_info(pafs.FileSelector(inner, allow_not_found=True)):
+                yield prefix + f.path, f.size, f.type == pafs.FileType.Directory
+
     for rb in batches:
+        page = []
         for folder in rb.column(0).to_pylist():
-            filesystem, inner, prefix = _open(folder)
-            found = filesystem.get_file_info(pafs.FileSelector(inner, allow_not_found=True))
-            for at in range(0, len(found), 10_000):
-                part = found[at:at + 10_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([prefix + f.path for f in part], pa.string()),
-                     pa.array([f.size for f in part], pa.int64()),
-                     pa.array([f.type == pafs.FileType.Directory for f in part], pa.bool_())], schema=kinds)
+            for e in entries(folder):
+                page.append(e)
+                if len(page) == _PAGE:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*page), kinds)], schema=kinds)
+                    page = []
+        if page:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*page), kinds)], schema=kinds)
+
+
+def _sizes(batches):
+    """(path, length) of local files; one that is gone by now has no row."""
+    import os
+
+    import pyarrow as pa
+    for rb in batches:
+        paths, sizes = [], []
+        for path in rb.column(0).to_pylist():
+            try:
+                sizes.append(os.stat(path).st_size)
+                paths.append(path)
+            except FileNotFoundError:
+                continue
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], names=["path", "length"])
 
 
 def list_files(spark: SparkSession, roots: list[str], recursive: bool = True) -> DataFrame:
     """(path, length) of every file under ``roots``; zero-byte files and names
     starting with '_' or '.' are listed, a missing root is empty.
 
-    The folders of one level are spread over tasks, which list them with
-    ``pyarrow.fs`` (local, HDFS, S3); the driver only holds the given roots.
-    Every level is written to the shared folder, so the listing does not change
-    under later reads.
+    The folders of one level are spread over tasks, which list them (local, HDFS,
+    S3) in pages; the driver only holds the given roots.  The names of one flat
+    folder come from one task, as a stream that is never held whole; their sizes,
+    a request per file, are read by all tasks.  Every level is written to the
+    shared folder, so the listing does not change under later reads.  A store's
+    own inventory spares the walk: see ``inventory_files``.
     """
     from specimen.session import shared_scratch, ship_package
     ship_package(spark)
@@ -78,7 +120,28 @@ def list_files(spark: SparkSession, roots: list[str], recursive: bool = True) ->
         files = files.unionByName(level.filter(~F.col("is_dir")).select("path", "length"))
         folders = level.filter("is_dir").select("path")
         if not recursive or folders.isEmpty():
-            return files
+            break
+    # an explicit count: adaptive execution would gather the short names in one task
+    unsized = files.filter("length is null").select("path").repartition(tasks, "path")
+    sized = materialize(unsized.mapInArrow(_sizes, "path string, length long"), shared_scratch(spark, "sizes"))
+    return files.filter("length is not null").unionByName(sized)
+
+
+def inventory_files(inventory: DataFrame, roots: list[str], recursive: bool = True,
+                    path_col: str = "path", length_col: str = "length") -> DataFrame:
+    """The listing of ``roots`` from an inventory table (a store's own report, or a
+    listing written before) instead of a walk: the rows that ``list_files`` gives.
+
+    A path of several rows (versions, repeated reports) is listed once with its
+    largest length; null paths and folder markers (names ending in '/') are left
+    out, a null length counts as 0."""
+    rows = inventory.select(local_path(F.col(path_col)).alias("path"), F.coalesce(
+        F.col(length_col).cast("long"), F.lit(0)).alias("length")).filter("path is not null and not endswith(path, '/')")
+    inside = F.lit(False)
+    for root in roots:
+        base = local_path_str(root).rstrip("/")
+        inside = inside | (F.startswith(F.col("path"), F.lit(base + "/")) if recursive else P.parent_dir("path") == base)
+    return rows.filter(inside).groupBy("path").agg(F.max("length").alias("length"))
 
 
 def list_images(spark: SparkSession, roots: list[str], recursive: bool = True) -> DataFrame:
@@ -93,7 +156,8 @@ def _canonical(row: dict) -> dict:
     return dict(row, **encode(three_channels(img))) if img is not None else row
 
 
-def read_images(spark: SparkSession, roots: list[str], glob: str | None = IMAGE_GLOB) -> DataFrame:
+def read_images(spark: SparkSession, roots: list[str], glob: str | None = IMAGE_GLOB,
+                recursive: bool = True) -> DataFrame:
     """Decode images with Spark's ``image`` source (S3).
 
     Returns (path, image_id, height, width, n_channels, data) with BGR bytes of
@@ -102,7 +166,7 @@ def read_images(spark: SparkSession, roots: list[str], glob: str | None = IMAGE_
     report as a failure.  Spark's source passes over zero-byte and hidden files.
     """
     from specimen.functions.codec import map_rows
-    r = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True)
+    r = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", recursive)
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.load(roots)
@@ -199,25 +263,53 @@ def opencv_decoder(data: bytes):
     return cv2.imdecode(np.frombuffer(data, dtype=np.uint8), flags)
 
 
+def installed_decoder():
+    """``opencv_decoder`` or ``pillow_decoder``, whichever is installed; else None."""
+    import importlib.util
+    if importlib.util.find_spec("cv2"):
+        return opencv_decoder
+    return pillow_decoder if importlib.util.find_spec("PIL") else None
+
+
+def deal_by_bytes(files: DataFrame, tasks: int, path_col: str = "path", length_col: str = "length") -> DataFrame:
+    """The rows of ``files`` (distinct paths) in ``tasks`` partitions of about equal bytes.
+
+    Paths fall into ``_FINE`` hash buckets a task; running sums of the buckets'
+    bytes, a table of tasks x ``_FINE`` rows whatever the input, name each bucket's
+    task.  A null length counts as 0, and every file as ``_OPEN_COST`` bytes more."""
+    n = tasks * _FINE
+    rows = files.withColumn("_bucket", F.pmod(F.xxhash64(path_col), F.lit(n)).cast("int"))
+    sums = rows.groupBy("_bucket").agg(F.sum(F.coalesce(length_col, F.lit(0)) + _OPEN_COST).alias("_bytes"))
+    upto = F.sum("_bytes").over(Window.orderBy("_bucket")) - F.col("_bytes") / 2
+    total = F.sum("_bytes").over(Window.partitionBy(F.lit(0)))
+    dealt = sums.select("_bucket", F.least(F.floor(upto * tasks / total), F.lit(tasks - 1)).cast("int").alias("_task"))
+    out = rows.join(F.broadcast(dealt), "_bucket")  # at most tasks x _FINE rows
+    return out.repartitionById(tasks, "_task").select(*files.columns)
+
+
 def decode_paths(paths: DataFrame, decoder, path_col: str = "img_path",
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, length_col: str = "length") -> DataFrame:
     """Read and decode only the listed files, on the executors.
 
-    ``paths`` holds one row per wanted file (deduplicate first).  The rows are
-    hash-spread over ``partitions`` tasks (default: shuffle partitions); each
-    task reads its files' bytes (``pyarrow.fs``: local, HDFS, S3) and calls
-    ``decoder(bytes) -> BGR array``.  Nothing but paths is shuffled, and
-    files outside ``paths`` are never opened -- unlike a decode scan of the
-    whole folder followed by a join.  Undecodable files get height -1 and
-    empty data, like Spark's image source; missing files give no row (the
-    row that points at one is SKIPPED).
+    ``paths`` holds one row per wanted file (deduplicate first).  With a column of
+    lengths the files are dealt to ``partitions`` tasks (default: shuffle partitions)
+    by their bytes (``deal_by_bytes``), else by hash; each task reads its files'
+    bytes (``pyarrow.fs``: local, HDFS, S3) and calls ``decoder(bytes) -> BGR
+    array``.  Nothing but paths is shuffled, the driver holds no file index, and
+    files outside ``paths`` are never opened -- unlike a decode scan of the whole
+    folder followed by a join.  Names starting with '_' or '.' are files like
+    others.  Undecodable and empty files get height -1 and empty data, like Spark's
+    image source; missing files give no row (the row that points at one is SKIPPED).
     """
     from specimen.functions.codec import encode, map_rows, three_channels
 
     schema = T.StructType([T.StructField(path_col, T.StringType()),
                            *[f for f in IMAGE_FIELDS if f.name != "image_id"]])
     n = partitions or int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = paths.select(path_col).repartition(n, path_col)
+    if length_col in paths.columns:
+        spread = deal_by_bytes(paths.select(path_col, length_col), n, path_col, length_col).select(path_col)
+    else:
+        spread = paths.select(path_col).repartition(n, path_col)
 
     opened: dict = {}  # scheme and host -> (file system, prefix), once per task
 

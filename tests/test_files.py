@@ -99,7 +99,8 @@ def test_prepare_dataset_end_to_end(spark, image_root):
     result = {r["value"]: r for r in rep["balance_result"].collect()}
     for value, need in deficit.items():
         assert result[value]["planned"] == need and result[value]["made"] + result[value]["still_missing"] == need
-    assert rep["dataset_overview"].first()["n_images"] >= 8 and rep["column_profile"].count() == 7
+    overview = {(r["metric"], r["value"]): r["n"] for r in rep["dataset_overview"].collect()}
+    assert overview["images", None] >= 8 and sum(v == "label" for v, _ in overview) >= 2 and rep["column_profile"].count() == 7
     assert rep["dataset_ready"].first()["ready"]
     assert spark.read.parquet(f"{out}/reports/frequency_report").count() == rep["frequency_report"].count()
 
@@ -260,3 +261,58 @@ def test_command_line_bernoulli_sample(image_root, capsys):
                          "--root", image_root, "--out", out, "--fraction", "0.5",
                          "--sample-mode", "bernoulli"]) == 0
     assert "== summary" in capsys.readouterr().out
+
+
+def test_a_flat_folder_is_sized_by_several_tasks_and_equals_its_inventory(spark):
+    root = tempfile.mkdtemp(prefix="specimen-flat-")
+    os.makedirs(os.path.join(root, "sub"))
+    for i in range(12_000):
+        with open(os.path.join(root, f"IMG_{i}.jpg"), "wb") as f:
+            f.write(b"x" * (i % 3))
+    for name in ("_h.jpg", ".h.jpg", "sub/IMG_0.jpg", "notes.txt"):
+        with open(os.path.join(root, name), "wb") as f:
+            f.write(b"yy")
+    want = {(os.path.join(d, f), os.path.getsize(os.path.join(d, f))) for d, _, names in os.walk(root) for f in names}
+    listed = src.list_files(spark, [root])
+    assert {tuple(r) for r in listed.collect()} == want and listed.count() == len(want)
+    sizes = listed.filter("length is not null").select(F.input_file_name().alias("f")).distinct().filter(F.col("f").contains("/sizes-"))
+    assert sizes.count() > 1                                     # sizes were read by several tasks
+    report = spark.createDataFrame([*want, *list(want)[:5], ("/elsewhere/a.jpg", 1), (None, 3), (root + "/sub/", None),
+                                    (root + "x/b.jpg", 2)], "path string, length long")
+    assert {tuple(r) for r in src.inventory_files(report, ["file://" + root]).collect()} == want
+    flat = {tuple(r) for r in src.inventory_files(report, [root + "/"], recursive=False).collect()}
+    assert flat == {(p, n) for p, n in want if "/sub/" not in p} == {
+        tuple(r) for r in src.list_files(spark, [root], recursive=False).collect()}
+
+
+def test_files_are_dealt_by_bytes(spark):
+    files = spark.range(4_000).select(F.concat(F.lit("/d/"), "id").alias("path"),
+                                      F.when(F.col("id") % 50 == 0, 200_000).otherwise(F.when(F.col("id") % 7 > 0, 1_000)).alias("length"))
+    dealt = src.deal_by_bytes(files, 8)
+    per = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.coalesce("length", F.lit(0))).alias("b"), F.count("*").alias("n")).collect()
+    assert len(per) == 8 and sum(r["n"] for r in per) == 4_000
+    assert max(r["b"] for r in per) < 1.35 * sum(r["b"] for r in per) / 8
+    assert src.deal_by_bytes(files.limit(0), 8).count() == 0
+
+
+def test_default_run_opens_selected_and_hidden_files_only(spark, image_root, monkeypatch):
+    from specimen.plans import jobs
+    from tests.conftest import png_decoder
+    listing = src.list_images(spark, [image_root])
+    rows = listing.filter(F.col("path").contains("IMG_10") | F.col("path").contains("IMG_5") | F.col("path").contains("IMG_1."))
+    hidden = [r["path"] for r in rows.collect() if os.path.basename(r["path"]).startswith("_")]
+    assert hidden
+    got = {r["img_path"]: r["height"] for r in jobs.decode_selected(
+        rows.select(F.col("path").alias("img_path")), png_decoder, listing).collect()}
+    assert set(got) == {r["path"] for r in rows.collect()}       # nothing else was opened
+    for p in got:                                                # hidden names are read, empty files unreadable
+        assert (got[p] == -1) == (os.path.getsize(p) == 0 or png_or_none(p) is None)
+
+
+def png_or_none(path):
+    from tests.conftest import png_decoder
+    try:
+        with open(path, "rb") as f:
+            return png_decoder(f.read())
+    except Exception:  # noqa: BLE001
+        return None

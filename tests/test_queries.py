@@ -3,6 +3,8 @@ and the relational edge cases of SURVEY §5."""
 
 from __future__ import annotations
 
+import random
+
 import math
 
 import duckdb
@@ -392,3 +394,48 @@ def test_scratch_needs_a_shared_folder_off_local():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def test_catalog_joins_split_a_hot_id(spark):
+    """Rows of one id, a third of all, are split in the joins to the resolved catalog."""
+    from specimen.operators import catalog as cat
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        i = F.col("id")
+        meta = spark.range(200_000).select(F.when(i % 3 == 0, F.lit("IMG_7")).otherwise(
+            F.concat(F.lit("IMG_"), i.cast("string"))).alias("image_id"), F.md5(i.cast("string")).alias("dx"))
+        lst = spark.range(0, 200_000, 2).select(F.concat(F.lit("/d/part_1/IMG_"), i.cast("string"), F.lit(".jpg")).alias("path"))
+        res = cat.resolve_catalog(lst.union(spark.createDataFrame([("/d/part_1/IMG_7.jpg",)], "path string")), ["/d/part_1", "/d/part_2"])
+        counts = []
+        for out in (cat.with_img_path(meta, res), cat.metadata_with_image(meta, res), cat.metadata_without_image(meta, res)):
+            counts.append(len(out.collect()))
+            assert out.columns[:2] == ["image_id", "dx"]
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert counts[0] == 200_000 and counts[1] + counts[2] == 200_000 and counts[1] > 66_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_kth_path_is_selected_without_sorting_rows(spark):
+    from specimen.operators import catalog as cat
+    rng = random.Random(3)
+    names = sorted({"/d/" + "".join(rng.choice("abé\U0001F600_") for _ in range(rng.randint(1, 9))) for _ in range(3_000)},
+                   key=lambda p: p.encode())
+    table = spark.createDataFrame([(p,) for p in names], "path string")
+    for k in (1, 2, len(names) // 2, len(names) - 1, len(names)):
+        for small in (1, 7, 10_000):
+            if small != 1 or k in (1, len(names) // 2):
+                assert cat.kth_path(table, k, small=small) == names[k - 1]
+    assert cat.kth_path(table, len(names) + 1) is None and cat.kth_path(table.limit(0), 1) is None
+    listing = table.select(F.concat("path", F.lit(".jpg")).alias("path"))
+    out = cat.organize_parts(listing, ["/x/part_1", "/x/part_2"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Window" not in plan
+    assert out.filter("part = 1").count() == -(-len(names) // 2)
+    assert cat.organize_parts(listing.limit(0), ["/x/part_1", "/x/part_2"]).count() == 0
