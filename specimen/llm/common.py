@@ -77,3 +77,23 @@ def id_crc(c: Column) -> Column:
 def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``mapInArrow`` with a plain function over record batches."""
     return df.mapInArrow(fn, schema)
+
+
+PARITY_BITS = 1024
+
+
+def parity_sketches(doc, items, n: int):
+    """A list array of ``PARITY_BITS`` parity bits a set (64 to a long), of ``n`` sets
+    given as (doc, item hash) rows.  Two sets that differ in d items differ in at
+    most d bits, so the bits in which sketches differ bound d from below."""
+    import numpy as np
+    import pyarrow as pa
+    words, bits = PARITY_BITS // 64, []
+    place = (items.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % PARITY_BITS
+    for first in range(0, n, 2_000):  # ``doc`` does not decrease
+        some = min(2_000, n - first)
+        a, b = np.searchsorted(doc, [first, first + some])
+        odd = np.bincount((doc[a:b] - first) * PARITY_BITS + place[a:b], minlength=some * PARITY_BITS) & 1
+        bits.append(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64))
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * words),
+                                    pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64)))

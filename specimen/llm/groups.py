@@ -23,6 +23,10 @@ exactly.
    these are compared with all members, as many pairs as members times a constant.
    So is, for an end, what is left after ``SPLITS`` splits.
 
+Before two sets are compared, their sizes and parity sketches are: linked sets of
+x and y items differ in at most (x + y) (den - num) / (den + num), and sketches differ
+in no more bits.  Most pairs end there, at a few bytes each.
+
 Near copies of one text differ from it in words of their own, which stand first
 in their differences: groups of thousands fall apart in one step, though every
 pair that could link is kept.  A step costs as many rows as members times the
@@ -39,7 +43,7 @@ from pyspark.sql import functions as F
 from specimen.llm.common import drop_written, written
 from specimen.llm.graph import components
 
-SMALL, SPLITS = 16, 3
+SMALL, SPLITS = 64, 3
 
 
 def checked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -51,6 +55,17 @@ def checked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return both.select("a", "b", (den * common >= num * union).alias("linked"))
 
 
+def possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``pairs`` (a, b) with ``may``: whether sizes and sketches let the sets be linked."""
+    def of(end: str, sketch: str, size: str) -> DataFrame:
+        return sets.select(F.col("id").alias(end), F.col("parity").alias(sketch), F.size("items").cast("long").alias(size))
+    both = pairs.join(of("a", "_p", "_m"), "a").join(of("b", "_q", "_n"), "b")
+    differ = F.aggregate(F.zip_with("_p", "_q", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    near = (den * F.least("_m", "_n") >= num * F.greatest("_m", "_n")) & (
+        differ * (den + num) <= (F.col("_m") + F.col("_n")) * (den - num))
+    return both.select("a", "b", near.alias("may"))
+
+
 def merge_classes(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """Labels (node, label) with the links (a, b) added; only classes that a new
     link touches are worked on, each standing for its nodes."""
@@ -128,8 +143,8 @@ def link_groups(members: DataFrame, sets: DataFrame, num: int, den: int) -> Data
     """Labels (node, label) of the classes that links inside the groups make; nodes
     without a link may be missing, None stands for no link at all.
 
-    ``members``: distinct (key, id) of groups of two or more; ``sets``: (id, items)
-    with distinct items, of every member.  Both are written tables."""
+    ``members``: distinct (key, id) of groups of two or more; ``sets``: (id, items,
+    parity) with distinct items and their sketch, of every member.  Both are written tables."""
     sizes = written(members.groupBy("key").agg(F.count("*").alias("n")), "group-sizes")
     mates = written(members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("mates")), "mates")
     leads = written(members.join(mates, "id").groupBy("key").agg(
@@ -142,8 +157,9 @@ def link_groups(members: DataFrame, sets: DataFrame, num: int, den: int) -> Data
         "id", F.bitwise_not("_top.flip").alias("lead"))
 
     def check(pairs: DataFrame) -> DataFrame:
-        table = written(pairs, "pairs")
-        out = written(checked(table, sets, num, den), "tested")
+        table = written(possible(pairs, sets, num, den), "pairs")
+        close = checked(table.filter("may").select("a", "b"), sets, num, den)
+        out = written(close.unionByName(table.filter("not may").select("a", "b", F.lit(False).alias("linked"))), "tested")
         drop_written(table)
         return out
 

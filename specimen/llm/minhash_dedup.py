@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specimen.llm.common import documents, drop_written, written
+from specimen.llm.common import documents, drop_written, parity_sketches, written
 from specimen.llm.groups import link_groups
 
 WORDS, THRESHOLD, BANDS, ROWS = 5, 0.8, 36, 7
@@ -218,7 +218,7 @@ def _expand(batches):
             t, each = t[new], each[new]
             sizes = np.bincount(t, minlength=len(rows))
             sets = pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), pa.array(each.view(np.int32)))
-            yield pa.RecordBatch.from_arrays([ids, sets], names=["id", "items"])
+            yield pa.RecordBatch.from_arrays([ids, sets, parity_sketches(t, each, len(rows))], names=["id", "items", "parity"])
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -233,9 +233,9 @@ def sketch(rows: DataFrame) -> DataFrame:
 
 
 def shingle_sets(rows: DataFrame) -> DataFrame:
-    """(id, items): 32-bit hashes of (shingle, n-th occurrence) of every numbered row,
-    so that set similarity of the items is weighted similarity of the shingles."""
-    return rows.select("_nd_row", "text").mapInArrow(_expand, "id long, items array<int>")
+    """(id, items, parity): 32-bit hashes of (shingle, n-th occurrence) of every numbered row,
+    so that set similarity of the items is weighted similarity of the shingles; ``parity`` is their sketch."""
+    return rows.select("_nd_row", "text").mapInArrow(_expand, "id long, items array<int>, parity array<long>")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -54,7 +54,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from specimen.llm.common import documents, drop_written, written
+from specimen.llm.common import documents, drop_written, parity_sketches, written
 from specimen.llm.groups import link_groups
 from specimen.llm.minhash_dedup import _mix
 
@@ -290,7 +290,8 @@ def _bit_table(ids: DataFrame, bits: int) -> np.ndarray:
 
 
 def named_sets(docs: DataFrame, ids: DataFrame, bits: int = BITS) -> DataFrame:
-    """(id, items) of the sets named in ``ids`` (and few others): distinct shingle hashes."""
+    """(id, items, parity) of the sets named in ``ids`` (and few others): distinct shingle hashes
+    and their sketch."""
     table = _bit_table(ids, bits)
 
     def run(batches):
@@ -300,12 +301,14 @@ def named_sets(docs: DataFrame, ids: DataFrame, bits: int = BITS) -> DataFrame:
                 place = node & ((1 << bits) - 1)
                 keep = (table[place >> 6] >> (place & 63)) & 1 == 1
                 upto = np.append(0, np.cumsum(sizes[keep])).astype(np.int32)
+                use = keep[doc]
+                parity = parity_sketches((np.cumsum(keep) - 1)[doc[use]], shingle[use], int(keep.sum()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[keep]), pa.ListArray.from_arrays(pa.array(upto), pa.array(shingle[keep[doc]].view(np.int64)))],
-                    names=["id", "items"])
+                    [pa.array(node[keep]), pa.ListArray.from_arrays(pa.array(upto), pa.array(shingle[use].view(np.int64))), parity],
+                    names=["id", "items", "parity"])
 
-    made = docs.select("text").mapInArrow(run, "id long, items array<long>")
-    return made.groupBy("id").agg(F.first("items").alias("items"))
+    made = docs.select("text").mapInArrow(run, "id long, items array<long>, parity array<long>")
+    return made.groupBy("id").agg(F.first("items").alias("items"), F.first("parity").alias("parity"))
 
 
 def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:

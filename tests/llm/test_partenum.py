@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from specimen.llm import partenum
-from specimen.llm.common import written
+from specimen.llm.common import parity_sketches, written
 from specimen.llm.groups import link_groups
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -137,7 +137,10 @@ def test_no_link_is_lost_inside_a_group(spark):
             for _ in range(25):
                 keep = template[rng.random(len(template)) > rng.choice([0.02, 0.05, 0.12])]
                 sets.append(sorted(set(np.append(keep, rng.choice(1 << 40, int(rng.integers(0, 9)))).tolist())))
-        table = written(spark.createDataFrame(list(enumerate(sets)), "id long, items array<long>"), "test-sets")
+        doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        parity = parity_sketches(doc, np.concatenate([np.array(x) for x in sets]), len(sets)).to_pylist()
+        table = written(spark.createDataFrame([(i, x, p) for i, (x, p) in enumerate(zip(sets, parity))],
+                                              "id long, items array<long>, parity array<long>"), "test-sets")
         members = written(table.selectExpr("1L as key", "id"), "test-members")
         labels = link_groups(members, table, 80, 100)
         got = {r.node: r.label for r in labels.collect()}
@@ -169,3 +172,19 @@ def test_very_long_texts_in_one_batch(spark):
     rows = [(i, " ".join(edited(rng, base, 300 * i, 10**9))) for i in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     assert joined(docs) == plain_join(rows)
+
+
+def test_sketches_bound_the_difference_from_below():
+    rng = np.random.default_rng(10)
+    base = rng.integers(0, 1 << 62, 400)
+    sets = [np.unique(np.append(base[rng.random(400) > 0.1], rng.integers(0, 1 << 62, int(rng.integers(0, 60))))) for _ in range(40)]
+    sets[3] = sets[3][:0]
+    doc = np.repeat(np.arange(40), [len(x) for x in sets])
+    rows = parity_sketches(doc, np.concatenate(sets), 40).to_pylist()
+    bits = [np.unpackbits(np.array(r, np.int64).view(np.uint8)) for r in rows]
+    for i in range(40):
+        for j in range(i):
+            apart = len(np.setxor1d(sets[i], sets[j]))
+            differ = int((bits[i] != bits[j]).sum())
+            assert differ <= apart and (apart - differ) % 2 == 0
+    assert len(parity_sketches(doc[:0], base[:0], 0)) == 0 and not bits[3].any()
