@@ -99,7 +99,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     ahead = rows.withColumnRenamed("id", "next_id").join(wanted, "next_id")
     ahead = fingerprints(ahead, "text", "next").select(
         "id", F.struct(F.left("text", F.col("need")).alias("front"), F.col("next_hashes").alias("hashes")).alias("ahead"))
-    ahead = ahead.groupBy("id").agg(F.min("ahead").alias("ahead"))
+    # an aggregate lies by id already, so a join to it could not be split under a hot id: a written one can
+    ahead = written(ahead.groupBy("id").agg(F.min("ahead").alias("ahead")), "next-texts")
     half = F.floor(F.length("text") / 2).cast("int")
     out = rows.join(ahead, "id").withColumn("n_chars", F.length("text").cast("long"))
     return out.select(
