@@ -12,7 +12,8 @@ Without a budget the mix holds every document at least once: the source with
 most tokens per weight is read exactly once.  A source with quota Q tokens and T
 tokens of its own gets Q div T whole blocks, each a permutation of all its
 documents, and the start of one more permutation up to Q mod T tokens.
-Permutations are orders of md5(seed:block:doc_id).
+Permutations are orders of md5(seed:block:doc_id:md5(text)), so rows without an id
+or with a repeated one are dealt each by its text.
 
 The cut of the last block is exact without sorting a source in one task: tokens
 are summed by (source, first three hex digits), the running sums (4,096 rows a
@@ -22,8 +23,8 @@ cross an exchange while the table of sources is broadcast by its size, and
 otherwise adaptive execution splits a hot source.
 
 Defined results: a null source counts as ''; null texts have no tokens; a source
-without tokens is read once per document; rows that repeat a doc_id share a hash
-and stay in or out together; an empty table gives an empty table; extra columns
+without tokens is read once per document; rows equal in doc_id and text share a
+hash and stay in or out together; an empty table gives an empty table; extra columns
 are passed through by ``mix``.
 """
 
@@ -43,7 +44,8 @@ _GRID = 33
 def _order(block: Column | int, seed: str) -> Column:
     block = F.lit(block) if isinstance(block, int) else block
     return F.md5(F.concat_ws(":", F.lit(seed), block.cast("string"),
-                             F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+                             F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+                             F.md5(F.coalesce(F.col("text"), F.lit("")))))
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -172,6 +174,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS source,
+        coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')) AS doc_key,
         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens FROM documents),
 s AS (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS t FROM d GROUP BY source),
 e AS (SELECT max(t) AS hi, min(t) FILTER (t > 0) AS lo FROM s),
@@ -183,9 +186,9 @@ q AS (SELECT source, t, CASE WHEN t > 0 THEN pow(t / hi, alpha) / z ELSE 0 END A
 b AS (SELECT *, CASE WHEN t > 0 THEN quota // t ELSE 1 END AS blocks,
         CASE WHEN t > 0 THEN quota - (quota // t) * t ELSE 0 END AS rest FROM q),
 o AS (SELECT d.*, round(b.weight, 9) AS weight, b.blocks, b.rest,
-        sum(n_tokens) OVER (PARTITION BY d.source ORDER BY md5('{SEED}:' || (b.blocks + 1) || ':' || d.doc_id)) AS upto
+        sum(n_tokens) OVER (PARTITION BY d.source ORDER BY md5('{SEED}:' || (b.blocks + 1) || ':' || d.doc_key)) AS upto
       FROM d JOIN b ON d.source = b.source),
 r AS (SELECT *, unnest(range(1, blocks + CASE WHEN rest > 0 AND upto <= rest THEN 2 ELSE 1 END)) AS block FROM o)
 SELECT doc_id, source, n_tokens, weight, CAST(block AS BIGINT) AS block,
-       md5('{SEED}:' || block || ':' || doc_id) AS block_order FROM r
+       md5('{SEED}:' || block || ':' || doc_key) AS block_order FROM r
 """

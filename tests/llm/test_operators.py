@@ -238,11 +238,23 @@ def test_mixing_realises_weights(spark):
     assert got["big"] == size["big"]
     assert size["small"] * 1.5 - 7 <= got["small"] <= size["small"] * 1.5
     # the second block holds the first documents of its permutation
-    order = sorted((hashlib.md5(f"mix:2:{i}".encode()).hexdigest(), i) for i, s, _ in rows if s == "small")
+    order = sorted((hashlib.md5(f"mix:2:{i}:{hashlib.md5(t.encode()).hexdigest()}".encode()).hexdigest(), i)
+                   for i, s, t in rows if s == "small")
     twice = {i for i, n in per_doc.items() if n == 2}
     assert {i for _, i in order[:len(twice)]} == twice
 
 
+def test_mixing_meets_quotas_without_ids(spark):
+    """A third of the rows without id, a sixth under one id: the cut is within a document."""
+    rows = [(None if i % 3 == 0 else 7 if i % 6 == 1 else i, "big" if i % 4 else "small", f"t{i} " + "w " * (i % 9))
+            for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(7)
+    out = mixing.mix(docs, max_repeats=1.5)
+    got = {r.source: r.n for r in out.groupBy("source").agg(F.sum("_mx_tokens").alias("n")).collect()}
+    quota = {r.source: r.quota for r in mixing.plan(docs, max_repeats=1.5).collect()}
+    assert set(got) == set(quota) and all(quota[s] - 9 <= got[s] <= quota[s] for s in quota)
+
+
 def test_mixing_exponent_and_edges(spark, edge_docs, empty_docs):
     docs = spark.createDataFrame([(i, f"s{i % 5}", "w " * (10 ** (i % 5) // 7 + 1)) for i in range(10)],
                                  "doc_id long, source string, text string")
@@ -327,6 +339,65 @@ def test_patterns_of_discovered_instances(spark):
     assert all(got[100 + i] == [f"ID{i:07d}XK"] for i in range(20)) and not any(got[700 + i] for i in range(5))
 
 
+def test_keys_rejected_numbers_and_lists(spark):
+    """Keys before opaque strings are learned; numbers that fail a rule are never added and
+    count against their patterns; contexts are whole words and reach along lists."""
+    long = "z" * 300
+    rows = [(i, f"blah token = \"{hashlib.sha1(str(i).encode()).hexdigest()}\" bl{i}") for i in range(6)]
+    rows += [(100 + i, f"set token=\"Pw{i:06d}x\" here{i}") for i in range(3)]     # the key, not the form
+    rows += [(150, 'a token = "Qx12345y"### b')]                                    # ends at the quote
+    rows += [(200 + i, f"commit {hashlib.sha1(str(-i).encode()).hexdigest()} n{i}") for i in range(6)]
+    rows += [(300 + i, f"pay 4111111111111111 o{i}") for i in range(4)]
+    rows += [(400 + i, f"pay 41111111111111{12 + i} p{i}") for i in range(3)]         # fails Luhn
+    rows += [(500 + i, f"{long}a u{i}@h.io e{i}") for i in range(5)] + [(600, f"{long}a CODE0001234 f"), (601, f"{long}b CODE0009999 g")]
+    rows += [(700 + i, f"mailing a{i}@h.io b{i}@h.io c{i}@h.io q{i}") for i in range(2)] + [(710, "mailing USER0004321 w")]
+    text = dict(rows)
+    got = {r.doc_id: [text[r.doc_id][s.start:s.end] for s in r.added or []]
+           for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == [hashlib.sha1(str(i).encode()).hexdigest()] for i in range(6))
+    assert all(got[100 + i] == [f"Pw{i:06d}x"] for i in range(3))
+    assert got[150] == ["Qx12345y"]
+    assert not any(got[200 + i] for i in range(6)) and not any(got[400 + i] for i in range(3))
+    assert got[600] == ["CODE0001234"] and not got[601] and got[710] == ["USER0004321"]
+
+
+def plain_scores(rows, rounds):
+    """Scores of patterns by dictionaries: rows of (instance, type, patterns)."""
+    kind, edges = {}, set()
+    for instance, t, patterns in rows:
+        if patterns:
+            kind[instance] = min(t, kind.get(instance, t))
+        edges |= {(p, instance) for p in patterns}
+    of, conf, scores = dict(kind), {i: 1000 if t <= pii.OPAQUE else 0 for i, t in kind.items()}, {}
+    for _ in range(rounds):
+        scores = {}
+        for p in {p for p, _ in edges}:
+            mine = [i for q, i in edges if q == p]
+            s, m, t = max((sum(conf[i] for i in mine if of[i] == t), sum(conf[i] >= pii.FLOOR for i in mine if of[i] == t), t)
+                          for t in {of[i] for i in mine})
+            if m >= pii.MIN_SEEDS and (t != pii.OPAQUE or p.endswith("=")):
+                scores[p] = (t, s // (len(mine) + 1))
+        for i, t in kind.items():
+            if t > pii.OPAQUE:
+                mine = [scores[p] for p, j in edges if j == i and p in scores]
+                mean = sum(s for _, s in mine) // len(mine) if mine else 0
+                of[i] = max((s, k) for k, s in mine)[1] if mine else t
+                conf[i] = mean if t == pii.FREE and mean >= pii.FLOOR else 0
+    return scores
+
+
+def test_pattern_scores_by_brute_force(spark):
+    rng = np.random.default_rng(5)
+    words = [f"{side} w{j}{'=' * (j % 3 == 0)}" for side in "LR" for j in range(6)]
+    types = [int(rng.choice([0, 1, 2, 3, pii.OPAQUE, pii.FREE, pii.FREE, pii.REJECTED])) for _ in range(60)]
+    rows = [(i, types[i], [str(w) for w in rng.choice(words, int(rng.integers(0, 4)), replace=False)])
+            for i in rng.integers(0, 60, 200).tolist()]
+    occurrences = spark.createDataFrame(rows, "instance long, type int, patterns array<string>")
+    for rounds in (1, 3):
+        got = {r.pattern: (r.of, r.score) for r in pii.score_patterns(occurrences, rounds).collect()}
+        assert got == plain_scores(rows, rounds) and got
+
+
 # ---------------------------------------------------------------- 8 near duplicates
 
 def plain_classes(rows, threshold=0.8):
