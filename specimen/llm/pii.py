@@ -5,18 +5,28 @@ positions come from the lengths of the pieces between matches.  Identifier-like
 tokens (at least ``MIN_CHARS`` characters and three digits) that no base span
 overlaps are candidates.  Every base span and candidate is an instance with
 lexical patterns: the word before its token (``L``), the word after (``R``), and
-the lead-in of its token up to '=' or ':' (``P``, as in ``key=...``; also an ``L``,
-so that ``key=...`` and ``key= ...`` meet).
-
-Bootstrapping: the base spans are the seed entities, with confidence 1.  In each
-of ``ROUNDS`` rounds Spark scores the pattern-instance graph: a pattern's score is
-the confidence of its distinct instances over their number plus one (at least
-``MIN_SEEDS`` distinct instances believed by then required), and a candidate
-instance's confidence is the mean of its scored patterns, counted from ``FLOOR``
-up: from there it is believed, so instances that confident patterns raise support
-further patterns, one hop a round.  A candidate with a pattern
-scoring ``TRUSTED`` or more is added as a span of kind ``context``.  Scores are
-whole thousandths, so sums do not depend on task order.
+the lead-in of its token up to '=' or ':' (``P``, as in ``key=...``; also an ``L``).
+A word that ends in '=' or ':' or stands before a lone one is a key, written
+``key=`` in every pattern, so that ``key=...``, ``key = "..."`` and ``"key": "..."``
+meet.  Contexts are taken from the whole text; in a list of matches of one kind
+with nothing between, all have the words around the list.
+
+Bootstrapping: the base spans are the seed entities, one type a kind, with
+confidence 1; so are opaque strings (``OPAQUE_CHARS`` or more letters, digits, '-'
+and '_', six letters among them), a fifth type whose patterns are keys only: no
+opaque string is a span by its form.  Candidates of the form of a base kind that
+failed its rule (a number of 13 to 19 digits, four dotted numbers, a phone) or that
+are part of a number over several words are rejected: never believed, but counted.
+
+In each of ``ROUNDS`` rounds Spark scores the pattern-instance graph: a pattern's
+score is the confidence of its distinct instances of one type, the strongest, over
+the number of all its distinct instances plus one (at least ``MIN_SEEDS`` distinct
+instances of that type believed by then required), and a candidate instance's
+confidence is the mean of its scored patterns, counted from ``FLOOR`` up: from there
+it is believed, of its best pattern's type, so instances that confident patterns
+raise support further patterns, one hop a round.  A candidate, not rejected, with a
+pattern scoring ``TRUSTED`` or more is added as a span of kind ``context``.  Scores
+are whole thousandths, so sums do not depend on task order.
 
 One pass reads the texts and writes only found pieces; the graph works on those
 rows.  Frequent contexts are first reduced to distinct (pattern, instance) edges,
@@ -50,9 +60,19 @@ MIN_CHARS, MIN_SEEDS, ROUNDS, FLOOR, TRUSTED = 8, 3, 3, 500, 700
 _CANDIDATE = (r"(?<![^\x20\x09-\x0D])(?=(?:[^0-9\x20\x09-\x0D]*+[0-9]){3})[^\x20\x09-\x0D]{%d,}+" % MIN_CHARS)
 _EDGE = ".,;:!?\"'()[]{}<>|"
 _LEAD_IN = r"(?<![^\x20\x09-\x0D])([^0-9\x20\x09-\x0D]*[=:])[.,;!?\"'()\[\]{}<>|]*+$"
-_GLUED = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]++$"
+_GLUED = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]++\z"
+_QUOTES = r"(?<![^\x20\x09-\x0D])[.,;!?\"'()\[\]{}<>|]++\z"
+#: up to three words before the end and what is glued to the end; from word starts only, so long texts cost linear time
+_TAIL = r"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){0,3}+[^\x20\x09-\x0D]*+\z"
+_KEY = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]++(?:=>|:=|[=:])[\x20\x09-\x0D]*+\z"
+_LAST = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+\z"
+_NEXT = r"\A[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++)"
+#: the forms of card, ip and phone: a free candidate of one of them failed the kind's rule
+_FAILED = r"^(?:[0-9](?:-?[0-9]){12,18}|[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++|\+[0-9][().0-9-]+)$"
+_OPAQUE = r"^(?=(?:[^A-Za-z]*+[A-Za-z]){6})[A-Za-z0-9_-]{%d,}+$"
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
-_CONTEXT, _BLOCK = 80, 256
+_BLOCK = 256
+OPAQUE_CHARS, OPAQUE, FREE, REJECTED = 20, 4, 8, 9  # types of instances; 0 to 3 are the base kinds
 _NULL_ID = -(1 << 63)
 _FOUND = "array<struct<kind:int,start:int,end:int,prev:string,next:string,lead:string,value:string>>"
 
@@ -93,17 +113,25 @@ def _spans(matched: Column) -> Column:
         m["kind"].alias("kind"), m["hits"].alias("hits"), m["gaps"].alias("gaps"),
         F.flatten(F.transform(m["blocks"], lambda b, j: F.transform(b, lambda x, i: _total(
             F.slice(m["totals"], F.lit(1), j)) + _total(F.slice(b, F.lit(1), i + 1))))).alias("starts")))
-    before, after = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)"
+    tailed = F.transform(started, lambda m: F.struct(
+        m["kind"].alias("kind"), m["hits"].alias("hits"), m["gaps"].alias("gaps"), m["starts"].alias("starts"),
+        F.transform(m["gaps"], lambda g: F.regexp_extract(g, _TAIL, 0)).alias("tails")))
     # what stands before a match in its token counts as a lead-in where it ends in '=' or ':', quotes and brackets aside
-    lead = lambda gap: F.regexp_extract(F.right(gap, F.lit(_CONTEXT)), _LEAD_IN, 1)
-    word = lambda gap: F.lower(F.regexp_extract(F.when(
-        lead(gap) != "", F.regexp_replace(F.right(gap, F.lit(_CONTEXT)), _GLUED, "")).otherwise(
-            F.right(gap, F.lit(_CONTEXT))), before, 1))
-    return F.flatten(F.transform(started, lambda m: F.coalesce(F.transform(m["starts"], lambda s, i: F.struct(
+    lead = lambda tail: F.regexp_extract(tail, _LEAD_IN, 1)
+
+    def word(tail: Column) -> Column:
+        bare = F.regexp_replace(tail, F.when(lead(tail) != "", _GLUED).otherwise(_QUOTES), F.lit(""))
+        key = F.regexp_extract(bare, _KEY, 1)
+        return F.lower(F.when(key != "", F.concat(key, F.lit("="))).otherwise(F.regexp_extract(bare, _LAST, 1)))
+
+    # null: nothing between this match and its neighbour of the kind
+    blank = lambda gap: F.trim(F.translate(gap, "\t\n\x0b\x0c\r", "     ")) == ""
+    return F.flatten(F.transform(tailed, lambda m: F.coalesce(F.transform(m["starts"], lambda s, i: F.struct(
         m["kind"].alias("kind"), s.alias("start"), (s + F.length(F.get(m["hits"], i))).alias("end"),
-        word(F.get(m["gaps"], i)).alias("prev"),
-        F.lower(F.regexp_extract(F.left(F.get(m["gaps"], i + 1), F.lit(_CONTEXT)), after, 1)).alias("next"),
-        lead(F.get(m["gaps"], i)).alias("lead"),
+        F.when((i == 0) | ~blank(F.get(m["gaps"], i)), word(F.get(m["tails"], i))).alias("prev"),
+        F.when((i == F.size(m["hits"]) - 1) | ~blank(F.get(m["gaps"], i + 1)), F.lower(
+            F.regexp_extract(F.get(m["gaps"], i + 1), _NEXT, 1))).alias("next"),
+        lead(F.get(m["tails"], i)).alias("lead"),
         F.get(m["hits"], i).alias("value"))), F.array().cast(_FOUND))))
 
 
@@ -135,10 +163,20 @@ def find_base(docs: DataFrame) -> DataFrame:
     return rows.select("id", "row", F.filter(_spans(F.col("_pi_matched")), _valid).alias("found"))
 
 
+def _as_key(word: Column) -> Column:
+    """A word that ends in '=' or ':' as ``word=``, quotes and brackets aside."""
+    bare = F.regexp_replace(F.lower(word), r"[\"'()\[\]{}<>|,;]", "")
+    return F.when(bare.rlike("[^=:][=:]+$"), F.regexp_replace(bare, "[=:]+$", "=")).otherwise(F.lower(word))
+
+
 def _occurrences(found: DataFrame) -> DataFrame:
-    """Seeds and free candidates as rows, with instance and patterns."""
+    """Seeds and free candidates as rows, with instance, type and patterns."""
     rows = found.select("id", "row", F.explode("found").alias("x")).select("id", "row", "x.*").distinct()
     w = Window.partitionBy("id", "row").orderBy("start", "kind")
+    alike = Window.partitionBy("id", "row", "kind").orderBy("start")
+    rows = rows.withColumns({
+        "prev": _as_key(F.last("prev", True).over(alike.rowsBetween(Window.unboundedPreceding, 0))),
+        "next": F.first("next", True).over(alike.rowsBetween(0, Window.unboundedFollowing))})
     base = F.col("kind") < len(KINDS)
     rows = rows.withColumns({
         "_past": F.max(F.when(base, F.col("end"))).over(w.rowsBetween(Window.unboundedPreceding, -1)),
@@ -148,39 +186,55 @@ def _occurrences(found: DataFrame) -> DataFrame:
     rows = rows.filter(free)
     lead_in = F.when(~base, F.regexp_extract("value", r"^([^0-9]*[=:])", 1)).otherwise(F.col("lead"))
     bare = F.ltrim(F.substr("value", F.length("_in") + 1), F.lit(_EDGE))
-    rows = rows.withColumn("_in", lead_in).withColumn(
-        "_core", F.when(base, F.col("value")).otherwise(F.rtrim(bare, F.lit(_EDGE))))
+    rows = rows.withColumn("_in", lead_in)
+    quote = F.regexp_extract(F.substr("value", F.length("_in") + 1), r"^[.,;:!?()\[\]{}<>|]*([\"'])", 1)
+    # a candidate that begins with a quote ends at the next one
+    inside = F.when(quote != "", F.split_part(bare, quote, F.lit(1))).otherwise(bare)
+    rows = rows.withColumn("_core", F.when(base, F.col("value")).otherwise(F.rtrim(inside, F.lit(_EDGE))))
     cut = F.length("value") - F.length(F.ltrim(F.substr("value", F.length("_in") + 1), F.lit(_EDGE)))
     first = F.when(base, F.col("start")).otherwise(F.col("start") + cut)
-    patterns = F.filter(F.array(
+    key = _as_key(F.col("_in"))
+    patterns = F.array_distinct(F.filter(F.array(
         F.when(F.col("prev") != "", F.concat(F.lit("L "), "prev")),
         F.when(F.col("next") != "", F.concat(F.lit("R "), "next")),
-        F.when((F.col("_in") != "") & (F.lower("_in") != F.col("prev")), F.concat(F.lit("L "), F.lower("_in"))),
-        F.when(F.col("_in") != "", F.concat(F.lit("P "), F.lower("_in")))), lambda p: p.isNotNull())
+        F.when(F.col("_in") != "", F.concat(F.lit("L "), key)),
+        F.when(F.col("_in") != "", F.concat(F.lit("P "), key))), lambda p: p.isNotNull()))
+    number = r"^[0-9-]+$"
+    failed = F.col("_core").rlike(_FAILED) | (F.col("_core").rlike(number) & (
+        F.col("prev").rlike(number) | F.col("next").rlike(number)))
+    of = (F.when(base, F.col("kind")).when(failed, REJECTED)
+          .when(F.col("_core").rlike(_OPAQUE % OPAQUE_CHARS), OPAQUE).otherwise(FREE))
     return rows.filter(F.length("_core") > 0).select(
         "id", "row", "kind", first.alias("start"), (first + F.length("_core")).cast("int").alias("end"),
-        F.xxhash64(F.lower("_core")).alias("instance"), patterns.alias("patterns"))
+        F.xxhash64(F.lower("_core")).alias("instance"), of.cast("int").alias("type"), patterns.alias("patterns"))
 
 
 def score_patterns(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(pattern, score) after the last round; scores in thousandths."""
-    seed = (F.col("kind") < len(KINDS)).cast("int")
-    edges = written(occurrences.select(F.explode("patterns").alias("pattern"), "instance", seed.alias("seed"))
-                    .groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pattern-edges")
-    believed = edges.groupBy("instance").agg((F.max("seed") * 1000).cast("long").alias("conf"))
+    """(pattern, of, score) after the last round: the type a pattern speaks for and its
+    score in thousandths.  ``occurrences`` has instance, type and patterns; an instance
+    seen as several types is of the least."""
+    edges = written(occurrences.select(F.explode("patterns").alias("pattern"), "instance", "type")
+                    .groupBy("pattern", "instance").agg(F.min("type").alias("type")), "pattern-edges")
+    seed = F.col("type") <= OPAQUE
+    believed = edges.groupBy("instance").agg(F.min("type").alias("type")).select(
+        "instance", F.col("type").alias("of"), F.when(seed, 1000).otherwise(0).cast("long").alias("conf"))
     scores = None
     for _ in range(rounds):
         believed = written(believed, "instances")
+        by_type = edges.join(believed, "instance").groupBy("pattern", "of").agg(
+            F.sum("conf").alias("_s"), F.count("*").alias("_n"), F.sum((F.col("conf") >= FLOOR).cast("int")).alias("_seeds"))
+        best = by_type.groupBy("pattern").agg(F.sum("_n").alias("_n"), F.max(F.struct("_s", "_seeds", "of")).alias("_top"))
         scores = written(
-            edges.join(believed, "instance").groupBy("pattern").agg(
-                F.sum("conf").alias("_s"), F.count("*").alias("_n"), F.sum((F.col("conf") >= FLOOR).cast("int")).alias("_seeds"))
-            .filter(F.col("_seeds") >= MIN_SEEDS)
-            .select("pattern", F.floor(F.col("_s") / (F.col("_n") + 1)).cast("long").alias("score")), "patterns")
+            best.filter((F.col("_top._seeds") >= MIN_SEEDS) & ((F.col("_top.of") != OPAQUE) | F.col("pattern").endswith("=")))
+            .select("pattern", F.col("_top.of").alias("of"),
+                    F.floor(F.col("_top._s") / (F.col("_n") + 1)).cast("long").alias("score")), "patterns")
         mean = edges.join(scores, "pattern", "left").groupBy("instance").agg(
-            F.max("seed").alias("seed"),
+            F.min("type").alias("type"), F.max(F.struct("score", "of")).alias("_top"),
             F.floor(F.sum("score") / F.count("score")).cast("long").alias("_m"))  # of scored patterns; null without any
-        believed = mean.select("instance", F.when(F.col("seed") == 1, 1000).when(
-            F.col("_m") >= FLOOR, F.col("_m")).otherwise(0).cast("long").alias("conf"))
+        believed = mean.select(
+            "instance", F.when(seed, F.col("type")).otherwise(F.coalesce("_top.of", "type")).alias("of"),
+            F.when(seed, 1000).when((F.col("type") == FREE) & (F.col("_m") >= FLOOR), F.col("_m"))
+            .otherwise(0).cast("long").alias("conf"))
     return scores
 
 
@@ -188,7 +242,7 @@ def added_spans(found: DataFrame) -> DataFrame:
     """(id, row, added) of documents with spans that patterns discovered."""
     occurrences = written(_occurrences(found), "occurrences")
     trusted = score_patterns(occurrences).filter(F.col("score") >= TRUSTED).select("pattern")
-    hits = occurrences.filter(F.col("kind") == len(KINDS)).select(
+    hits = occurrences.filter(F.col("type").isin(OPAQUE, FREE)).select(
         "id", "row", "start", "end", F.explode("patterns").alias("pattern")).join(trusted, "pattern", "left_semi")
     return hits.groupBy("id", "row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("added"))
 
