@@ -25,7 +25,8 @@ exactly.
 
 Before two sets are compared, their sizes and parity sketches are: linked sets of
 x and y items differ in at most (x + y) (den - num) / (den + num), and sketches differ
-in no more bits.  Most pairs end there, at a few bytes each.
+in no more bits.  Most pairs end there: those of outsiders and members inside the
+join that meets them, whose rows carry the sketches, so they are never written or sent.
 
 Near copies of one text differ from it in words of their own, which stand first
 in their differences: groups of thousands fall apart in one step, though every
@@ -40,7 +41,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from specimen.llm.common import drop_written, written
+from specimen.llm.common import PARITY_BITS, drop_written, written
 from specimen.llm.graph import components
 
 SMALL, SPLITS = 64, 3
@@ -55,15 +56,19 @@ def checked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return both.select("a", "b", (den * common >= num * union).alias("linked"))
 
 
+def near(p: Column | str, m: Column | str, q: Column | str, n: Column | str, num: int, den: int) -> Column:
+    """Whether sets of sketches ``p``, ``q`` and sizes ``m``, ``n`` may be linked."""
+    bits = [F.bit_count(F.get(p, F.lit(i)).bitwiseXOR(F.get(q, F.lit(i)))) for i in range(PARITY_BITS // 64)]
+    m, n = F.col(m), F.col(n)
+    return (den * F.least(m, n) >= num * F.greatest(m, n)) & (sum(bits[1:], bits[0]) * (den + num) <= (m + n) * (den - num))
+
+
 def possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """``pairs`` (a, b) with ``may``: whether sizes and sketches let the sets be linked."""
     def of(end: str, sketch: str, size: str) -> DataFrame:
         return sets.select(F.col("id").alias(end), F.col("parity").alias(sketch), F.size("items").cast("long").alias(size))
     both = pairs.join(of("a", "_p", "_m"), "a").join(of("b", "_q", "_n"), "b")
-    differ = F.aggregate(F.zip_with("_p", "_q", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = (den * F.least("_m", "_n") >= num * F.greatest("_m", "_n")) & (
-        differ * (den + num) <= (F.col("_m") + F.col("_n")) * (den - num))
-    return both.select("a", "b", near.alias("may"))
+    return both.select("a", "b", near("_p", "_m", "_q", "_n", num, den).alias("may"))
 
 
 def merge_classes(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -129,13 +134,18 @@ def _open(rows: DataFrame, by: str, more: list[Column]) -> DataFrame:
         *[F.max(c).alias(c) for c in classes.columns if c == "_lead"]).filter("_out > 0 and idx and must").drop("idx", "must")
 
 
-def _outside(rows: DataFrame, found: DataFrame, by: str) -> DataFrame:
-    """(lead, id): members outside the largest class of their group with all members
-    of other classes, as roles allow."""
-    rows = rows.select(by, "id", "_c", "idx", "must")
-    one = rows.join(found.select(by, "_top"), by).filter(F.col("_c") != F.col("_top")).select(
-        by, F.col("id").alias("lead"), F.col("_c").alias("_d"), F.col("idx").alias("_idx"), F.col("must").alias("_must"))
-    two = one.join(rows, by).filter((F.col("_c") != F.col("_d")) & (F.col("idx") | F.col("_idx")) & (F.col("must") | F.col("_must")))
+def _outside(rows: DataFrame, found: DataFrame, by: str, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(lead, id): members outside the largest class of their group with members of
+    other classes, as roles, sizes and sketches allow.  Both sides of the join that
+    meets them are read from a table, so a hot group can be split."""
+    rows = rows.select(by, "id", "_c", "idx", "must").join(found.select(by, "_top"), by)
+    held = written(rows.join(sets.select("id", "parity", F.size("items").cast("long").alias("size")), "id"), "compared")
+    one = held.filter(F.col("_c") != F.col("_top")).select(
+        by, F.col("id").alias("lead"), F.col("_c").alias("_d"), F.col("idx").alias("_idx"), F.col("must").alias("_must"),
+        F.col("parity").alias("_parity"), F.col("size").alias("_size"))
+    two = one.join(held, by).filter(
+        (F.col("_c") != F.col("_d")) & (F.col("idx") | F.col("_idx")) & (F.col("must") | F.col("_must"))
+        & near("parity", "size", "_parity", "_size", num, den))
     return two.select("lead", "id").distinct()
 
 
@@ -183,13 +193,13 @@ def link_groups(members: DataFrame, sets: DataFrame, num: int, den: int) -> Data
         if found.isEmpty():
             return labels
         small = F.lit(True) if step == SPLITS else F.col("_out") <= SMALL
-        pairs = _outside(rows, found.filter(small), "g")
+        pairs = _outside(rows, found.filter(small), "g", sets, num, den)
         if step == SPLITS:
             return _merged(labels, check(across(pairs)))
         parts = written(_differences(rows.join(found.filter(~small), "g"), sets, num, den), "parts")
         meeting = written(_class(_prefixes(parts), labels, "id", "_c"), "meeting")
         heads = written(_open(meeting, "key", [first]), "heads")
-        pairs = pairs.union(_outside(meeting, heads.filter(small), "key"))
+        pairs = pairs.union(_outside(meeting, heads.filter(small), "key", sets, num, den))
         parted = meeting.join(heads.filter(~small).select("key", F.bitwise_not("_lead.flip").alias("lead")), "key").filter(
             F.col("id") != F.col("lead")).groupBy(
             F.xxhash64("g", "lead").alias("g"), "lead", "id").agg(F.max("idx").alias("idx"), F.max("must").alias("must"))
