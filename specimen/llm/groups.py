@@ -20,7 +20,8 @@ exactly.
    elements of fewest members first.  Members that meet in an element so are the
    next, smaller groups, and elect leads in turn.
 3. A group with at most ``SMALL`` members outside its largest class is not split:
-   these are compared with all members, as many pairs as members times a constant.
+   these are compared with all members, as many pairs as members times a constant:
+   sketches are compared far cheaper than the rows of a split are made.
    So is, for an end, what is left after ``SPLITS`` splits.
 
 Before two sets are compared, their sizes and parity sketches are: linked sets of
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 from specimen.llm.common import PARITY_BITS, drop_written, written
 from specimen.llm.graph import components
 
-SMALL, SPLITS = 64, 3
+SMALL, SPLITS = 512, 3
 
 
 def checked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
