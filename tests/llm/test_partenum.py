@@ -126,10 +126,13 @@ def test_near_copies_of_one_text(spark, n, monkeypatch):
     assert sum(seen) <= 25 * n, seen
 
 
-def test_no_link_is_lost_inside_a_group(spark):
-    """All sets in one group, of several templates: the links found are all pairs' links."""
+def test_no_link_is_lost_inside_a_group(spark, monkeypatch):
+    """All sets in one group, of several templates, compared without a split or after
+    several: the links found are all pairs' links."""
+    from specimen.llm import groups
     rng = np.random.default_rng(8)
-    for trial in range(3):
+    for trial, small in enumerate((512, 40, 4)):
+        monkeypatch.setattr(groups, "SMALL", small)
         core = rng.choice(1 << 40, 30, replace=False)
         sets = []
         for _ in range(6):
