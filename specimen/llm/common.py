@@ -11,6 +11,7 @@ from specimen.session import ensure_checkpoint_dir, shared_scratch, ship_package
 
 #: The six white-space characters of ``[\x20\x09-\x0D]``, for btrim and for split.
 WS_CHARS = " \t\n\x0b\x0c\r"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WS_RUN = r"[\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,10 +29,16 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts the lineage
-    so that a lost executor never changes what later stages see."""
+    so that a lost executor never changes what later stages see.  The files of its
+    exchanges go as soon as the table stands, not when the driver's JVM next collects."""
     spark = df.sparkSession
     path = shared_scratch(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     table = spark.read.schema(df.schema).parquet(path)
     table._scratch_path = path
     return table

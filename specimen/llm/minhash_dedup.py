@@ -52,42 +52,20 @@ from pyspark.sql import functions as F
 
 from specimen.llm.common import documents, drop_written, parity_sketches, written
 from specimen.llm.groups import link_groups
+from specimen.llm.wordhash import byte_blocks, mix as _mix, sorted_within, word_hashes
 
 WORDS, THRESHOLD, BANDS, ROWS = 5, 0.8, 36, 7
 K = BANDS * ROWS
 _DARTS = K * (np.log(K) + 3)
-_CACHE_LIMIT = 100_000
-_BLOCK_WORDS = 50_000
 _NULL_ID = -(1 << 63)
 _U = np.uint64
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """64-bit finaliser."""
-    x = x ^ (x >> _U(33))
-    x = x * _U(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> _U(33))
-    x = x * _U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> _U(33))
-
-
 def _unit(x: np.ndarray) -> np.ndarray:
     """(0, 1] from the upper 53 bits."""
     return ((x >> _U(11)).astype(np.float64) + 1.0) * 2.0 ** -53
 
 
-class _Words(dict):
-    def __missing__(self, word: str) -> int:
-        import xxhash
-        if len(self) >= _CACHE_LIMIT:
-            self.clear()
-        v = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return v
-
-
-_WORD_IDS = _Words()
-
-
 def shingles(word_ids: np.ndarray, lengths: np.ndarray, n: int = WORDS):
     """Distinct (text, shingle, count) over texts concatenated in ``word_ids``."""
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
@@ -103,7 +81,7 @@ def shingles(word_ids: np.ndarray, lengths: np.ndarray, n: int = WORDS):
         whole[has] += _mix(word_ids[starts[short[has]] + j] + _U(j + 1)) * _U(2 * j + 1)
     s = _mix(np.concatenate([h[inside], whole]))
     t = np.concatenate([text[inside], short])
-    order = np.lexsort((s, t))
+    order = sorted_within(t, s)
     s, t = s[order], t[order]
     new = np.flatnonzero(np.concatenate([[True], (s[1:] != s[:-1]) | (t[1:] != t[:-1])])) if len(s) else order
     return t[new], s[new], np.diff(np.append(new, len(s)))
@@ -170,35 +148,26 @@ def _bands(sig: np.ndarray) -> np.ndarray:
 
 
 def _blocks(batch: pa.RecordBatch):
-    """(ids, word lists) of a batch, some ``_BLOCK_WORDS`` words at a time."""
-    held, size, first = [], 0, 0
-    for i, text in enumerate(batch.column(1)):
-        row = (text.as_py() or "").lower().split()
-        if held and size + len(row) > _BLOCK_WORDS:
-            yield batch.column(0).slice(first, len(held)), held
-            held, size, first = [], 0, i
-        held.append(row)
-        size += len(row)
-    if held:
-        yield batch.column(0).slice(first, len(held)), held
-
-
-def _ids(rows: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.array([len(r) for r in rows], np.int64)
-    get = _WORD_IDS.__getitem__
-    return np.fromiter((v for r in rows for v in map(get, r)), np.uint64, int(lengths.sum())), lengths
+    """(ids, texts, word hashes, words of each text) of a batch, a block of bytes at a
+    time; the texts are lower-cased, their words joined by one space."""
+    for first, offsets, _ in byte_blocks(batch.column(1)):
+        texts = [" ".join((v.as_py() or "").lower().split()).encode("utf-8", "surrogatepass")
+                 for v in batch.column(1).slice(first, len(offsets) - 1)]
+        ends = np.cumsum([0] + [len(t) for t in texts])
+        yield (batch.column(0).slice(first, len(texts)), texts,
+               *word_hashes(ends, np.frombuffer(b"".join(texts), np.uint8)))
 
 
 def _sign(batches):
     import xxhash
     for batch in batches:
-        for ids, rows in _blocks(batch):
-            sig = signatures(*shingles(*_ids(rows)), len(rows))
-            raw = [xxhash.xxh3_128_digest(" ".join(r).encode("utf-8", "surrogatepass")) for r in rows]
+        for ids, rows, hashes, lengths in _blocks(batch):
+            sig = signatures(*shingles(hashes, lengths), len(rows))
+            raw = [xxhash.xxh3_128_digest(r) for r in rows]
             key = np.frombuffer(b"".join(raw), np.int64).reshape(-1, 2)
             bands = pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * BANDS,
                                              pa.array(_bands(sig).ravel()))
-            weight = pa.array([max(len(r) - WORDS + 1, min(len(r), 1)) for r in rows], pa.int32())
+            weight = pa.array(np.maximum(lengths - WORDS + 1, np.minimum(lengths, 1)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy()), weight, bands],
                 names=["id", "h1", "h2", "weight", "bands"])
@@ -206,12 +175,12 @@ def _sign(batches):
 
 def _expand(batches):
     for batch in batches:
-        for ids, rows in _blocks(batch):
-            t, s, c = shingles(*_ids(rows))
+        for ids, rows, hashes, lengths in _blocks(batch):
+            t, s, c = shingles(hashes, lengths)
             nth = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
             each = (_mix(np.repeat(s, c) + nth.astype(np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(32)).astype(np.uint32)
             t = np.repeat(t, c)
-            order = np.lexsort((each, t))
+            order = sorted_within(t, each)
             t, each = t[order], each[order]
             # two 32-bit hashes may meet within one text: distinct items only
             new = np.append(True, (t[1:] != t[:-1]) | (each[1:] != each[:-1]))[:len(t)]

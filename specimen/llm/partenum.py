@@ -56,11 +56,11 @@ from pyspark.sql import functions as F
 
 from specimen.llm.common import documents, drop_written, parity_sketches, written
 from specimen.llm.groups import link_groups
-from specimen.llm.minhash_dedup import _mix
+from specimen.llm.wordhash import byte_blocks, mix as _mix, sorted_within, word_hashes
 
 SHINGLE, NUM, DEN = 5, 80, 100
 RICH, SALTS, DEALS, BITS = 8, 64, 63, 24
-BLOCK_WORDS, _ROWS_OUT, _CACHE_LIMIT = 60_000, 400_000, 100_000
+_ROWS_OUT = 400_000
 _U = np.uint64
 
 
@@ -145,36 +145,22 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, sizes: np.ndarray, num: int
     return np.concatenate(out_doc), np.concatenate(out_sig)
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        if len(self) >= _CACHE_LIMIT:
-            self.clear()
-        v = self[word] = xxhash.xxh64_intdigest(word)
-        return v
-
-
-_WORD_IDS = _Words()
-
-
-def shingle_sets(rows: list[list[bytes]], n: int = SHINGLE):
-    """(doc, shingle, sizes): distinct shingle hashes of word lists, by doc and hash."""
-    lengths = np.array([len(r) for r in rows], np.int64)
-    ids = np.fromiter(map(_WORD_IDS.__getitem__, (w for r in rows for w in r)), np.uint64, int(lengths.sum()))
-    doc = np.repeat(np.arange(len(rows)), lengths)
+def shingle_sets(offsets: np.ndarray, data: np.ndarray, n: int = SHINGLE):
+    """(doc, shingle, sizes): distinct shingle hashes of texts, by doc and hash."""
+    ids, lengths = word_hashes(offsets, data)
+    doc = np.repeat(np.arange(len(lengths)), lengths)
     room = np.minimum(lengths, n)[doc]  # words in a shingle of this doc
     number = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     inside = np.flatnonzero(number + room <= lengths[doc])
     h = room[inside].astype(np.uint64)
     for j in range(n):
-        at = inside + j
-        has = j < room[inside]
-        h[has] = _mix(h[has] * _U(0x9E3779B97F4A7C15) + ids[at[has]])
+        has = np.flatnonzero(j < room[inside])
+        h[has] = _mix(h[has] * _U(0x9E3779B97F4A7C15) + ids[inside[has] + j])
     doc = doc[inside]
-    order = np.lexsort((h, doc))
+    order = sorted_within(doc, h)
     doc, h = doc[order], h[order]
     new = np.append(True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1]))[:len(doc)]
-    return doc[new], h[new], np.bincount(doc[new], minlength=len(rows))
+    return doc[new], h[new], np.bincount(doc[new], minlength=len(lengths))
 
 
 def names(doc: np.ndarray, shingle: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -185,35 +171,21 @@ def names(doc: np.ndarray, shingle: np.ndarray, sizes: np.ndarray) -> np.ndarray
                     np.uint64).view(np.int64)
 
 
-def _blocks(batch: pa.RecordBatch, column: int):
-    """(first row, word lists) of a batch, some ``BLOCK_WORDS`` words at a time."""
-    held, size, first = [], 0, 0
-    for i, v in enumerate(batch.column(column).cast(pa.binary())):
-        row = (v.as_py() or b"").lower().split()  # of bytes: A-Z and the six characters only
-        if held and size + len(row) > BLOCK_WORDS:
-            yield first, held
-            held, size, first = [], 0, i
-        held.append(row)
-        size += len(row)
-    if held:
-        yield first, held
-
-
 def _named(batches):
     for batch in batches:
-        for first, rows in _blocks(batch, 1):
-            doc, shingle, sizes = shingle_sets(rows)
+        for first, offsets, data in byte_blocks(batch.column(1)):
+            doc, shingle, sizes = shingle_sets(offsets, data)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(first, len(rows)), pa.array(names(doc, shingle, sizes)), pa.array(sizes, pa.int64())],
+                [batch.column(0).slice(first, len(sizes)), pa.array(names(doc, shingle, sizes)), pa.array(sizes, pa.int64())],
                 names=["doc_id", "node", "n_shingles"])
 
 
-def _distinct(rows: list[list[bytes]]):
-    """(doc, shingle, sizes, names) of the distinct non-empty sets among ``rows``."""
-    doc, shingle, sizes = shingle_sets(rows)
+def _distinct(offsets: np.ndarray, data: np.ndarray):
+    """(doc, shingle, sizes, names) of the distinct non-empty sets among texts."""
+    doc, shingle, sizes = shingle_sets(offsets, data)
     node = names(doc, shingle, sizes)
     _, one = np.unique(node, return_index=True)
-    keep = np.zeros(len(rows), bool)
+    keep = np.zeros(len(sizes), bool)
     keep[one] = True
     keep &= sizes > 0
     number = np.cumsum(keep) - 1
@@ -226,8 +198,8 @@ def _signed(num: int, den: int, buckets: int):
     def run(batches):
         held_sig, held_node, size = [], [], 0
         for batch in batches:
-            for _, rows in _blocks(batch, 0):
-                doc, shingle, sizes, node = _distinct(rows)
+            for _, offsets, data in byte_blocks(batch.column(0)):
+                doc, shingle, sizes, node = _distinct(offsets, data)
                 own, sig = signatures(doc, shingle, sizes, num, den)
                 held_sig.append(sig.view(np.int64))
                 held_node.append(node[own])
@@ -296,8 +268,8 @@ def named_sets(docs: DataFrame, ids: DataFrame, bits: int = BITS) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for _, rows in _blocks(batch, 0):
-                doc, shingle, sizes, node = _distinct(rows)
+            for _, offsets, data in byte_blocks(batch.column(0)):
+                doc, shingle, sizes, node = _distinct(offsets, data)
                 place = node & ((1 << bits) - 1)
                 keep = (table[place >> 6] >> (place & 63)) & 1 == 1
                 upto = np.append(0, np.cumsum(sizes[keep])).astype(np.int32)
