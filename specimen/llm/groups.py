@@ -48,10 +48,16 @@ from specimen.llm.graph import components
 SMALL, SPLITS = 512, 3
 
 
+def _only(sets: DataFrame, table: DataFrame, name: str) -> DataFrame:
+    """The sets that column ``name`` of a written table names: where that table is
+    small, no other sets are sent to the join that follows."""
+    return sets.join(table.select(F.col(name).alias("id")), "id", "left_semi")
+
+
 def checked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """``pairs`` (a, b) with ``linked``: whether the sets are similar enough."""
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("_x")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("items").alias("_y")), "b")
+    both = left.join(_only(sets, pairs, "b").select(F.col("id").alias("b"), F.col("items").alias("_y")), "b")
     common = F.size(F.array_intersect("_x", "_y")).cast("long")
     union = F.size("_x") + F.size("_y") - common
     return both.select("a", "b", (den * common >= num * union).alias("linked"))
@@ -109,7 +115,7 @@ def _differences(groups: DataFrame, sets: DataFrame, num: int, den: int) -> Data
     element of the difference to the lead; ``most`` is the bound h of the member."""
     lead = sets.select(F.col("id").alias("lead"), F.col("items").alias("_x"))
     rows = groups.select("g", "lead", "id", F.col("idx").alias("must")).join(lead, "lead").join(
-        sets.select("id", F.col("items").alias("_y")), "id")
+        _only(sets, groups, "id").select("id", F.col("items").alias("_y")), "id")
     return rows.select("g", "id", "must", F.floor(F.size("_y") * (den - num) / num + 1e-6).cast("int").alias("most"), F.explode(
         F.concat(F.array_except("_y", "_x"), F.array_except("_x", "_y"))).alias("_item")).select(
             F.xxhash64("g", "_item").alias("key"), "g", "id", "must", "most")
@@ -197,7 +203,8 @@ def link_groups(members: DataFrame, sets: DataFrame, num: int, den: int) -> Data
         pairs = _outside(rows, found.filter(small), "g", sets, num, den)
         if step == SPLITS:
             return _merged(labels, check(across(pairs)))
-        parts = written(_differences(rows.join(found.filter(~small), "g"), sets, num, den), "parts")
+        split = written(rows.join(found.filter(~small).select("g"), "g"), "split")
+        parts = written(_differences(split, sets, num, den), "parts")
         meeting = written(_class(_prefixes(parts), labels, "id", "_c"), "meeting")
         heads = written(_open(meeting, "key", [first]), "heads")
         pairs = pairs.union(_outside(meeting, heads.filter(small), "key", sets, num, den))
@@ -206,7 +213,7 @@ def link_groups(members: DataFrame, sets: DataFrame, num: int, den: int) -> Data
             F.xxhash64("g", "lead").alias("g"), "lead", "id").agg(F.max("idx").alias("idx"), F.max("must").alias("must"))
         parted = written(parted, "groups")
         new = check(across(pairs.union(parted.select("lead", "id"))))
-        drop_written(rows, found, parts, meeting, heads, groups)
+        drop_written(rows, found, split, parts, meeting, heads, groups)
         labels, tested, groups = _merged(labels, new), tested.unionByName(new), parted
         step += 1
 
