@@ -56,30 +56,36 @@ def _clean(s, sf):
     return cleaning.clean_and_enrich(_raw(s, sf), _resolved(s, sf))
 
 
-def _parts(s) -> int:
+#: images a task makes: all of them may wait between two operators' Python at once
+TASK_IMAGES = 1024
+
+
+def _parts(s, sf) -> int:
     """Carrier images come from one small parquet file: their ids are spread
-    over one partition per core before pixels are generated -- pixel work is
-    CPU-bound -- with an explicit count, so AQE does not coalesce it back
-    into one task."""
+    before pixels are generated -- pixel work is CPU-bound -- over at least one
+    partition per core and as many as keep ``TASK_IMAGES`` images to a task, so
+    that its memory does not grow with the table; with an explicit count, so AQE
+    does not coalesce them back into one task."""
     try:
-        return max(1, int(s.sparkContext.defaultParallelism))
+        least = int(s.sparkContext.defaultParallelism)
     except Exception:  # noqa: BLE001 -- no SparkContext (Spark Connect)
-        return int(s.conf.get("spark.sql.shuffle.partitions"))
+        least = int(s.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, least, -(-C.table(s, sf, "embeddings").count() // TASK_IMAGES))
 
 
 def _rect(s, sf):
-    return C.rect_images(s, sf, partitions=_parts(s))
+    return C.rect_images(s, sf, partitions=_parts(s, sf))
 
 
 def _synth(s, sf, junk=False):
-    return C.synth_images(s, sf, with_junk=junk, partitions=_parts(s))
+    return C.synth_images(s, sf, with_junk=junk, partitions=_parts(s, sf))
 
 
 def _decoded(s, sf, rows: DataFrame) -> DataFrame:
     """The decoded images of the distinct files the rows point at, by path:
     ids and paths meet first, pixels are made after it (as ``decode_paths``)."""
     paths = rows.filter(F.col("img_path").isNotNull()).select("img_path", "image_id").distinct()
-    return C.synth_files(s, sf, paths, with_junk=True, partitions=_parts(s)).drop("image_id")
+    return C.synth_files(s, sf, paths, with_junk=True, partitions=_parts(s, sf)).drop("image_id")
 
 
 def _digest_of(images: DataFrame) -> DataFrame:
@@ -126,7 +132,7 @@ def scan_image_pixels(s, sf):
     vec_id % 50 = 13, zero bytes for vec_id % 50 = 29, grey for 17, an alpha
     channel for 31), decoded back by Spark's image source, reduced to digests."""
     folder = shared_scratch(s, "png")
-    imgs = ops.recoloured(C.rect_images(s, sf, partitions=_parts(s)), {17: "grey", 31: "alpha"}, 50)
+    imgs = ops.recoloured(C.rect_images(s, sf, partitions=_parts(s, sf)), {17: "grey", 31: "alpha"}, 50)
     k = F.regexp_extract("image_id", r"(\d+)$", 1).cast("long")
     imgs = imgs.select(
         "image_id",

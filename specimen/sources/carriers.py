@@ -146,12 +146,17 @@ def _rect_pixels(k: int, emb) -> np.ndarray:
     return np.stack([r, g, b], axis=-1).astype(np.uint8)
 
 
+#: images made, and held by a task's Python, at a time
+BLOCK_IMAGES = 64
+
+
 def _rows_to_images(batches, make, junk_rule=None, keep=()):
     schema = arrow_schema(T.StructType([*keep, *IMAGE_SCHEMA.fields]))
-    for rb in batches:
+    blocks = (rb.slice(at, BLOCK_IMAGES) for rb in batches for at in range(0, rb.num_rows, BLOCK_IMAGES))
+    for rb in blocks:
         d = rb.to_pydict()
         out = {f.name: [] for f in IMAGE_SCHEMA.fields} | {f.name: d[f.name] for f in keep}
-        for i, k in enumerate(d["vec_id"]):
+        for k, emb in zip(d["vec_id"], d.get("embedding", [None] * rb.num_rows)):
             out["image_id"].append(f"IMG_{k}")
             if junk_rule is not None and junk_rule(k):
                 # an unreadable file as Spark's image source reports it
@@ -160,7 +165,7 @@ def _rows_to_images(batches, make, junk_rule=None, keep=()):
                 out["n_channels"].append(-1)
                 out["data"].append(b"")
                 continue
-            rgb = make(k, d.get("embedding", [None] * len(d["vec_id"]))[i])
+            rgb = make(k, emb)
             out["height"].append(int(rgb.shape[0]))
             out["width"].append(int(rgb.shape[1]))
             out["n_channels"].append(int(rgb.shape[2]))
@@ -173,10 +178,11 @@ def synth_is_junk(k: int) -> bool:
 
 
 def _ids(spark: SparkSession, sf_dir: str, cols, partitions: int | None):
-    """embeddings rows, hash-spread over ``partitions`` tasks *before* the
-    pixels are generated, so generation is parallel and no pixel is shuffled."""
+    """embeddings rows, dealt evenly over ``partitions`` tasks *before* the
+    pixels are generated, so generation is parallel and no pixel is shuffled;
+    rows of one id need not meet, so a much repeated id fills no task."""
     e = table(spark, sf_dir, "embeddings").select(*cols)
-    return e.repartition(partitions, "vec_id") if partitions else e
+    return e.repartition(partitions) if partitions else e
 
 
 def synth_images(spark: SparkSession, sf_dir: str, with_junk: bool = False,
@@ -197,7 +203,7 @@ def synth_files(spark: SparkSession, sf_dir: str, paths: DataFrame, with_junk: b
     ship_package(spark)
     e = _ids(spark, sf_dir, ["vec_id"], None).withColumn("image_id", _img_id(F.col("vec_id")))
     wanted = e.join(paths, "image_id").select("img_path", "vec_id")
-    wanted = wanted.repartition(partitions, "img_path") if partitions else wanted
+    wanted = wanted.repartition(partitions) if partitions else wanted
     rule = synth_is_junk if with_junk else None
     keep = [T.StructField("img_path", T.StringType())]
     return wanted.mapInArrow(lambda it: _rows_to_images(it, lambda k, _: _synth_pixels(k), rule, keep),

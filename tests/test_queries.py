@@ -439,3 +439,22 @@ def test_kth_path_is_selected_without_sorting_rows(spark):
     assert "rangepartitioning" not in plan and "Window" not in plan
     assert out.filter("part = 1").count() == -(-len(names) // 2)
     assert cat.organize_parts(listing.limit(0), ["/x/part_1", "/x/part_2"]).count() == 0
+
+
+def test_image_tasks_stay_small_whatever_the_table(spark, tmp_path):
+    """Images are made a block at a time, and no task makes more than about
+    ``TASK_IMAGES`` of them, even when one id repeats through the whole table."""
+    import pyarrow as pa
+    from specimen.sources import carriers as C
+
+    n = 12_000
+    rows = spark.range(n).select(F.lit(7).cast("long").alias("vec_id"),
+                                 F.array_repeat(F.lit(0.5).cast("float"), 64).alias("embedding"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    for images in (Q._rect(spark, str(tmp_path)), Q._synth(spark, str(tmp_path))):
+        sizes = [r.n for r in images.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == n and max(sizes) <= 1.1 * Q.TASK_IMAGES
+    batch = pa.RecordBatch.from_pydict({"vec_id": pa.array(range(300), pa.int64())})
+    blocks = list(C._rows_to_images([batch], lambda k, _: C._synth_pixels(k), C.synth_is_junk))
+    assert max(b.num_rows for b in blocks) <= 64
+    assert [i for b in blocks for i in b.column(0).to_pylist()] == [f"IMG_{k}" for k in range(300)]
