@@ -10,7 +10,7 @@ with its fixed number of pieces on its own, with no shuffle; at its end the few
 pieces of unfilled bins (under j per class) go first-fit into shared bins, the
 longest first.
 
-Memory: one batch, one unfilled bin per class, and a bounded cache of word ids.
+Memory: one batch and one unfilled bin per class.
 Sequence ids are (partition << 32) + n, so a task run again gives the same rows.
 
 Defined results: null and empty texts are the single id 0; rows that repeat a

@@ -4,7 +4,9 @@ Pre-tokens of the vocabulary's pattern never span the start of a run of white
 space, nor the last space before a non-space.  A text in which no space touches
 other white space can therefore be cut before every space; each chunk's ids
 depend on the chunk alone and are cached per Python worker (bounded).  Texts
-with other white space, or with a special token's marker, are encoded whole.
+with other white space, or with a special token's marker, go to the JSON
+tokenizer.  Where only a text's ids are wanted it is not cut: one call a text is
+cheaper than a cache that the many rare words of a corpus miss.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from array import array
 
 _CACHE_LIMIT, _LONGEST_CACHED = 300_000, 200
 _ODD = re.compile(r"\s | \s|<\|")
+_ODD_SPACE = re.compile(r" (?:(?<=\s )|(?=\s))")  # the same without the marker, looked for at spaces only
 _STATE: dict[str, object] = {}
 
 
@@ -99,16 +102,15 @@ def default_paths() -> tuple[str, str]:
 def encoder(json_path: str | None = None, ranks_path: str | None = None):
     """A function text -> ids as little-endian unsigned 32-bit bytes, equal to
     the JSON tokenizer's ``encode(text, add_special_tokens=False)``."""
-    chunks = _chunk_ids(json_path, ranks_path)
-    get = chunks.__getitem__
+    default_json, default_ranks = default_paths()
+    json_path = json_path or default_json
+    plain = _rank_encoder(ranks_path or default_ranks).encode_ordinary
 
     def encode(text: str) -> bytes:
         if not text:
             return b""
-        if _ODD.search(text):
-            return _packed(chunks.whole(text))
-        head, *rest = text.split(" ")
-        spaced = map(get, [" " + c for c in rest])
-        return b"".join([get(head), *spaced] if head else spaced)
+        if "<|" in text or _ODD_SPACE.search(text):
+            return _packed(_json_encoder(json_path).encode(text, add_special_tokens=False).ids)
+        return _packed(plain(text))
 
     return encode

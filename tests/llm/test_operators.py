@@ -580,3 +580,21 @@ def test_very_long_text_features():
     (_, x), = langid.features(pa.array([word * 200_000]))
     (_, y), = langid.features(pa.array([word * 1_000]))
     assert np.allclose(x / x.sum(), y / y.sum(), atol=1e-3)
+
+
+def test_a_text_is_encoded_in_one_call(monkeypatch):
+    """Rare words do not cost a call each, and odd white space next to a space is
+    found wherever it stands."""
+    calls = []
+
+    class Counted:
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return [1]
+    monkeypatch.setattr(tok, "_rank_encoder", lambda path: Counted())
+    encode = tok.encoder()
+    text = " ".join(f"rare{k}word" for k in range(500))
+    assert encode(text) == b"\x01\0\0\0" and calls == [text]
+    for odd in ("a  b", "a \nb", "a\n b", "a\u00a0 b", "a \x1cb", "  a", "a  ", "\t a", "x<|y"):
+        assert encode(odd) == np.array(json_ids(odd), "<u4").tobytes()
+    assert calls == [text]
