@@ -26,6 +26,7 @@ Repeated rows are predicted one by one; extra columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -163,6 +164,15 @@ def _sample(train: DataFrame, share: int) -> DataFrame:
     return texts.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= share).select("text", "lang")
 
 
+def _unpacked(vecs, rows: np.ndarray, model: Model) -> np.ndarray:
+    """The vectors of some fitted texts; few rows at a time, since the driver is small."""
+    x = np.empty((len(rows), DIM), np.float32)
+    for at in range(0, len(rows), 64):
+        counts = [np.frombuffer(zlib.decompress(vecs[i].as_py()), np.float16) for i in rows[at:at + 64].tolist()]
+        x[at:at + 64] = model.vectors(np.array(counts, np.float32))
+    return x
+
+
 def fit(train: DataFrame, fit_docs: int = FIT_DOCS, k: int = CENTROIDS) -> Model:
     """Learn from the columns text and lang of ``train``."""
     train = train.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -175,21 +185,20 @@ def fit(train: DataFrame, fit_docs: int = FIT_DOCS, k: int = CENTROIDS) -> Model
 
     def vectorise(batches):
         for batch in batches:
-            vecs = [row.astype(np.float16).tobytes() for _, x in features(batch.column(0))
+            vecs = [zlib.compress(row.astype(np.float16).tobytes(), 1) for _, x in features(batch.column(0))
                     for row in np.minimum(x, 60000)]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(vecs, pa.binary())],
                                              names=["lang", "vec"])
 
+    # mostly zeros: packed, a tenth of what the driver would hold
     got = sample.select("text", "lang").mapInArrow(vectorise, "lang string, vec binary").toArrow()
-    names = np.array(got.column("lang").to_pylist(), object)
-    counts = np.array([np.frombuffer(v, np.float16) for v in got.column("vec").to_pylist()],
-                      np.float32).reshape(len(names), DIM)
+    names, vecs = np.array(got.column("lang").to_pylist(), object), got.column("vec")
     model = Model([], np.zeros((0, DIM), np.float32), idf, {})
-    x = model.vectors(counts)
     parts = []
     for lang in sorted(sizes, key=lambda v: (-sizes[v], v)):  # ties go to the commoner language
-        if (names == lang).any():
-            c = _kmeans(x[names == lang], k)
+        own = np.flatnonzero(names == lang)
+        if len(own):
+            c = _kmeans(_unpacked(vecs, own, model), k)
             parts.append(c)
             model.langs += [lang] * len(c)
     if not parts:

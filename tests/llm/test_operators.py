@@ -598,3 +598,22 @@ def test_a_text_is_encoded_in_one_call(monkeypatch):
     for odd in ("a  b", "a \nb", "a\n b", "a\u00a0 b", "a \x1cb", "  a", "a  ", "\t a", "x<|y"):
         assert encode(odd) == np.array(json_ids(odd), "<u4").tobytes()
     assert calls == [text]
+
+
+def test_language_fit_holds_one_language_at_a_time(spark):
+    """The driver's Python never holds the vectors of all fitted texts at once."""
+    import random
+    import tracemalloc
+    draw, rows = random.Random(3), []
+    for n in range(1000):
+        letters = ("abcde", "fghij", "klmno", "pqrst")[n % 4]
+        rows.append((n, " ".join("".join(draw.choices(letters, k=5)) for _ in range(30)), f"l{n % 4}"))
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    tracemalloc.start()
+    try:
+        model = langid.fit(train)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sorted(set(model.langs)) == ["l0", "l1", "l2", "l3"]
+    assert peak < 1000 * langid.DIM * 4
