@@ -45,19 +45,26 @@ from pyspark.sql import functions as F
 from specimen.llm.common import PARITY_BITS, drop_written, written
 from specimen.llm.graph import components
 
-SMALL, SPLITS = 512, 3
+SMALL, SPLITS, BITS = 512, 3, 24
 
 
-def _only(sets: DataFrame, table: DataFrame, name: str) -> DataFrame:
-    """The sets that column ``name`` of a written table names: where that table is
-    small, no other sets are sent to the join that follows."""
-    return sets.join(table.select(F.col(name).alias("id")), "id", "left_semi")
+def _only(sets: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """The sets that columns of a written table name, and few others: a table of at
+    most 2 ** ``BITS`` bits with those of the ids set is broadcast, so however long
+    the list is, sets that no row needs are not sent to the join that follows."""
+    place = F.col("_id").bitwiseAND((1 << BITS) - 1)
+    one = F.expr("shiftleft(1L, cast(_place & 63 as int))")
+    wanted = table.select(F.explode(F.array(*columns)).alias("_id")).select(place.alias("_place"))
+    bits = wanted.groupBy(F.shiftright("_place", 6).alias("_at")).agg(F.bit_or(one).alias("_bits"))
+    rows = sets.withColumn("_place", F.col("id").bitwiseAND((1 << BITS) - 1)).withColumn("_at", F.shiftright("_place", 6))
+    return rows.join(F.broadcast(bits), "_at").filter(F.col("_bits").bitwiseAND(one) != 0).select(*sets.columns)
 
 
 def checked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """``pairs`` (a, b) with ``linked``: whether the sets are similar enough."""
+    sets = _only(sets, pairs, "a", "b")
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("_x")), "a")
-    both = left.join(_only(sets, pairs, "b").select(F.col("id").alias("b"), F.col("items").alias("_y")), "b")
+    both = left.join(sets.select(F.col("id").alias("b"), F.col("items").alias("_y")), "b")
     common = F.size(F.array_intersect("_x", "_y")).cast("long")
     union = F.size("_x") + F.size("_y") - common
     return both.select("a", "b", (den * common >= num * union).alias("linked"))
@@ -113,9 +120,10 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _differences(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(key, g, id, must, most) of members of ``groups`` (g, lead, id, idx): one row per
     element of the difference to the lead; ``most`` is the bound h of the member."""
+    sets = _only(sets, groups, "lead", "id")
     lead = sets.select(F.col("id").alias("lead"), F.col("items").alias("_x"))
     rows = groups.select("g", "lead", "id", F.col("idx").alias("must")).join(lead, "lead").join(
-        _only(sets, groups, "id").select("id", F.col("items").alias("_y")), "id")
+        sets.select("id", F.col("items").alias("_y")), "id")
     return rows.select("g", "id", "must", F.floor(F.size("_y") * (den - num) / num + 1e-6).cast("int").alias("most"), F.explode(
         F.concat(F.array_except("_y", "_x"), F.array_except("_x", "_y"))).alias("_item")).select(
             F.xxhash64("g", "_item").alias("key"), "g", "id", "must", "most")

@@ -191,3 +191,25 @@ def test_sketches_bound_the_difference_from_below():
             differ = int((bits[i] != bits[j]).sum())
             assert differ <= apart and (apart - differ) % 2 == 0
     assert len(parity_sketches(doc[:0], base[:0], 0)) == 0 and not bits[3].any()
+
+
+def test_sets_no_pair_names_are_not_sent(spark):
+    """However long the list of pairs is, a join on sets drops the others before its
+    exchange, and gives the same links."""
+    import random
+    from specimen.llm import groups
+    draw = random.Random(5)
+    ids = [draw.getrandbits(64) - 2 ** 63 for _ in range(2000)]
+    sets = spark.createDataFrame([(i, list(range(n, n + 20))) for n, i in enumerate(ids)], "id long, items array<long>")
+    near = [(ids[n], ids[n + 1 + n % 2 * 9]) for n in range(60)]
+    pairs = spark.createDataFrame(near, "a long, b long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = {r.id for r in groups._only(sets, pairs, "a", "b").collect()}
+        got = {(r.a, r.b): r.linked for r in groups.checked(pairs, sets, 80, 100).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    wanted = {i for pair in near for i in pair}
+    assert wanted <= left and len(left) <= len(wanted) + 5
+    assert got == {pair: n % 2 == 0 for n, pair in enumerate(near)}
