@@ -89,6 +89,11 @@ def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
 PARITY_BITS = 1024
 
 
+def _places(items, bits):
+    import numpy as np
+    return (items.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % bits
+
+
 def parity_sketches(doc, items, n: int):
     """A list array of ``PARITY_BITS`` parity bits a set (64 to a long), of ``n`` sets
     given as (doc, item hash) rows.  Two sets that differ in d items differ in at
@@ -96,7 +101,7 @@ def parity_sketches(doc, items, n: int):
     import numpy as np
     import pyarrow as pa
     words, bits = PARITY_BITS // 64, []
-    place = (items.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % PARITY_BITS
+    place = _places(items, PARITY_BITS)
     for first in range(0, n, 2_000):  # ``doc`` does not decrease
         some = min(2_000, n - first)
         a, b = np.searchsorted(doc, [first, first + some])
@@ -104,3 +109,23 @@ def parity_sketches(doc, items, n: int):
         bits.append(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64))
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * words),
                                     pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64)))
+
+
+FINE_MOST = 1 << 24
+
+
+def fine_sketches(doc, items, sizes):
+    """Parity sketches with two to four bits an item, of the sets for which these are
+    more than ``PARITY_BITS``; the others have null.  Lengths are powers of two, so the
+    halves of one, each bit added to its twin, are the sketch of half the length."""
+    import numpy as np
+    import pyarrow as pa
+    bits = np.minimum(1 << np.ceil(np.log2(np.maximum(2 * sizes, 2))).astype(np.int64), FINE_MOST)
+    bits[bits <= PARITY_BITS] = 0
+    upto = np.append(0, np.cumsum(bits))
+    use = bits[doc] > 0
+    place, times = np.unique(upto[doc[use]] + _places(items[use], bits[doc[use]]), return_counts=True)
+    odd = place[times & 1 == 1]
+    packed = np.bincount(odd >> 3, 1 << (odd & 7), int(upto[-1]) >> 3).astype(np.uint8)
+    starts = pa.array((upto >> 6).astype(np.int32), mask=np.append(bits == 0, False))
+    return pa.ListArray.from_arrays(starts, pa.array(packed.view(np.int64)))

@@ -77,12 +77,29 @@ def near(p: Column | str, m: Column | str, q: Column | str, n: Column | str, num
     return (den * F.least(m, n) >= num * F.greatest(m, n)) & (sum(bits[1:], bits[0]) * (den + num) <= (m + n) * (den - num))
 
 
+def apart(p: str, q: str) -> Column:
+    """Bits in which two sketches differ; of two lengths, the longer is halved."""
+    short = F.least(F.size(p), F.size(q))
+
+    def halved(x: str) -> Column:
+        both = F.zip_with(F.slice(x, F.lit(1), short), F.slice(x, short + 1, short), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(x) > short, both).otherwise(F.col(x))
+    bits = F.zip_with(halved(p), halved(q), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    return F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+
+
 def possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """``pairs`` (a, b) with ``may``: whether sizes and sketches let the sets be linked."""
+    """``pairs`` (a, b) with ``may``: whether sizes and sketches let the sets be linked;
+    fine sketches are compared where a set has one."""
+    best = F.coalesce("fine", "parity") if "fine" in sets.columns else F.col("parity")
+
     def of(end: str, sketch: str, size: str) -> DataFrame:
-        return sets.select(F.col("id").alias(end), F.col("parity").alias(sketch), F.size("items").cast("long").alias(size))
+        return sets.select(F.col("id").alias(end), best.alias(sketch), F.size("items").cast("long").alias(size))
     both = pairs.join(of("a", "_p", "_m"), "a").join(of("b", "_q", "_n"), "b")
-    return both.select("a", "b", near("_p", "_m", "_q", "_n", num, den).alias("may"))
+    coarse = (F.size("_p") == PARITY_BITS // 64) & (F.size("_q") == PARITY_BITS // 64)
+    sized = den * F.least("_m", "_n") >= num * F.greatest("_m", "_n")  # so lengths differ by a factor of two at most
+    fine = sized & (apart("_p", "_q") * (den + num) <= (F.col("_m") + F.col("_n")) * (den - num))
+    return both.select("a", "b", F.when(coarse, near("_p", "_m", "_q", "_n", num, den)).when(sized, fine).otherwise(False).alias("may"))
 
 
 def merge_classes(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -164,20 +181,33 @@ def _outside(rows: DataFrame, found: DataFrame, by: str, sets: DataFrame, num: i
     return two.select("lead", "id").distinct()
 
 
+def _one_each(members: DataFrame) -> DataFrame:
+    """(key, id, n) of one group of each list of members, told by two hashes of it; ``n`` is
+    their number.  Near copies meet in dozens of groups of the same members."""
+    groups = written(members.groupBy("key").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("_x"), F.bit_xor(F.xxhash64(F.lit(7), "id")).alias("_y")), "lists")
+    kept = written(groups.groupBy("n", "_x", "_y").agg(F.min("key").alias("key")).select("key", "n"), "group-sizes")
+    rows = _only(members.select(F.col("key").alias("id"), F.col("id").alias("_member")), kept, "key")
+    few = written(rows.select(F.col("id").alias("key"), F.col("_member").alias("id")).join(kept, "key"), "groups")
+    drop_written(groups, kept)
+    return few
+
+
 def link_groups(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame | None:
     """Labels (node, label) of the classes that links inside the groups make; nodes
     without a link may be missing, None stands for no link at all.
 
     ``members``: distinct (key, id) of groups of two or more; ``sets``: (id, items,
-    parity) with distinct items and their sketch, of every member.  Both are written tables."""
-    sizes = written(members.groupBy("key").agg(F.count("*").alias("n")), "group-sizes")
-    mates = written(members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("mates")), "mates")
+    parity) with distinct items and their sketch, of every member, and ``fine`` sketches
+    if there are any.  Both are written tables."""
+    members = _one_each(members)
+    mates = written(members.groupBy("id").agg(F.sum("n").alias("mates")), "mates")
     leads = written(members.join(mates, "id").groupBy("key").agg(
         F.max(F.struct("mates", F.bitwise_not("id").alias("flip"))).alias("_top")).select(
             "key", F.bitwise_not("_top.flip").alias("lead"), F.col("_top.mates").alias("mates")), "leads")
     stars = written(members.join(leads, "key").filter(F.col("id") != F.col("lead")).select(
         "lead", "id", "mates").distinct(), "stars")
-    drop_written(sizes, mates, leads)
+    drop_written(members, mates, leads)
     best = stars.groupBy("id").agg(F.max(F.struct("mates", F.bitwise_not("lead").alias("flip"))).alias("_top")).select(
         "id", F.bitwise_not("_top.flip").alias("lead"))
 

@@ -54,7 +54,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from specimen.llm.common import documents, drop_written, parity_sketches, written
+from specimen.llm.common import documents, drop_written, fine_sketches, parity_sketches, written
 from specimen.llm.groups import link_groups
 from specimen.llm.wordhash import byte_blocks, mix as _mix, sorted_within, word_hashes
 
@@ -213,9 +213,12 @@ def _signed(num: int, den: int, buckets: int):
 
 
 def _dealt(sig: np.ndarray, node: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """(bucket, shared, sigs, nodes) rows.  The first set of every signature here goes
+    """(bucket, sigs, homes, nodes) rows.  The first set of every signature here goes
     to the signature's bucket; signatures of several sets go, with all of them, to
-    buckets of ``shared`` ones as well, dealt by signature and set."""
+    other buckets as well, dealt by signature and set, with the signature's own bucket
+    in ``homes`` (else null).  Of a signature 32 bits are sent: with its bucket, which
+    are as many as the input needs, they tell as good as all apart, and two that meet
+    only make one group of two."""
     order = np.lexsort((node, sig))
     sig, node = sig[order], node[order]
     new = np.append(True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1]))
@@ -226,23 +229,27 @@ def _dealt(sig: np.ndarray, node: np.ndarray, buckets: int) -> pa.RecordBatch:
     key = np.concatenate([sig[first].view(np.uint64), _mix(sig[more].view(np.uint64) + deal)])
     shared = np.repeat([False, True], [int(first.sum()), int(more.sum())])
     sig, node = np.concatenate([sig[first], sig[more]]), np.concatenate([node[first], node[more]])
-    bucket = (_mix(key) % _U(buckets)).astype(np.int64)
+    home, bucket = ((_mix(k) % _U(buckets)).astype(np.int32) for k in (sig.view(np.uint64), key))
     order = np.lexsort((node, shared, bucket))  # equal names side by side
-    sig, node, shared, bucket = sig[order], node[order], shared[order], bucket[order]
+    sig, node, shared, bucket, home = sig[order].astype(np.int32), node[order], shared[order], bucket[order], home[order]
     head = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (shared[1:] != shared[:-1])))
-    upto = pa.array(np.append(head, len(sig)).astype(np.int32))
+    upto = np.append(head, len(sig)).astype(np.int32)
+    homes = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(shared))[upto].astype(np.int32),
+                                              mask=np.append(~shared[head], False)), pa.array(home[shared]))
     return pa.RecordBatch.from_arrays(
-        [pa.array(bucket[head].astype(np.int32)), pa.array(shared[head]), pa.ListArray.from_arrays(upto, pa.array(sig)),
-         pa.ListArray.from_arrays(upto, pa.array(node))], names=["bucket", "shared", "sigs", "nodes"])
+        [pa.array(bucket[head]), pa.ListArray.from_arrays(pa.array(upto), pa.array(sig)), homes,
+         pa.ListArray.from_arrays(pa.array(upto), pa.array(node))], names=["bucket", "sigs", "homes", "nodes"])
 
 
 def candidate_groups(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """Distinct (key, id): sets (by name) that share a signature with another set."""
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = docs.select("text").mapInArrow(
-        _signed(num, den, buckets), "bucket int, shared boolean, sigs array<long>, nodes array<long>").repartition("bucket")
-    rows = packed.select("bucket", "shared", F.explode(F.arrays_zip("sigs", "nodes")).alias("x")).select(
-        "bucket", "shared", F.col("x.sigs").alias("sig"), F.col("x.nodes").alias("node"))
+        _signed(num, den, buckets), "bucket int, sigs array<int>, homes array<int>, nodes array<long>").repartition("bucket")
+    lists = F.arrays_zip("sigs", F.coalesce("homes", F.array().cast("array<int>")).alias("homes"), "nodes")
+    rows = packed.select("bucket", F.col("homes").isNotNull().alias("shared"), F.explode(lists).alias("x")).select(
+        "bucket", "shared", F.shiftleft(F.coalesce("x.homes", "bucket").cast("long"), 32).bitwiseOR(
+            F.col("x.sigs").cast("long").bitwiseAND(0xFFFFFFFF)).alias("sig"), F.col("x.nodes").alias("node"))
     w = Window.partitionBy("bucket", "sig").orderBy("node")  # clustered by bucket already
     near = rows.withColumns({"_before": F.lag("node").over(w), "_after": F.lead("node").over(w)})
     # equal names side by side are copies from other tasks
@@ -262,8 +269,8 @@ def _bit_table(ids: DataFrame, bits: int) -> np.ndarray:
 
 
 def named_sets(docs: DataFrame, ids: DataFrame, bits: int = BITS) -> DataFrame:
-    """(id, items, parity) of the sets named in ``ids`` (and few others): distinct shingle hashes
-    and their sketch."""
+    """(id, items, parity, fine) of the sets named in ``ids`` (and few others): distinct shingle
+    hashes and their sketches."""
     table = _bit_table(ids, bits)
 
     def run(batches):
@@ -274,13 +281,15 @@ def named_sets(docs: DataFrame, ids: DataFrame, bits: int = BITS) -> DataFrame:
                 keep = (table[place >> 6] >> (place & 63)) & 1 == 1
                 upto = np.append(0, np.cumsum(sizes[keep])).astype(np.int32)
                 use = keep[doc]
-                parity = parity_sketches((np.cumsum(keep) - 1)[doc[use]], shingle[use], int(keep.sum()))
+                number = (np.cumsum(keep) - 1)[doc[use]]
+                parity = parity_sketches(number, shingle[use], int(keep.sum()))
+                fine = fine_sketches(number, shingle[use], sizes[keep])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[keep]), pa.ListArray.from_arrays(pa.array(upto), pa.array(shingle[use].view(np.int64))), parity],
-                    names=["id", "items", "parity"])
+                    [pa.array(node[keep]), pa.ListArray.from_arrays(pa.array(upto), pa.array(shingle[use].view(np.int64))), parity, fine],
+                    names=["id", "items", "parity", "fine"])
 
-    made = docs.select("text").mapInArrow(run, "id long, items array<long>, parity array<long>")
-    return made.groupBy("id").agg(F.first("items").alias("items"), F.first("parity").alias("parity"))
+    made = docs.select("text").mapInArrow(run, "id long, items array<long>, parity array<long>, fine array<long>")
+    return made.groupBy("id").agg(*[F.first(c).alias(c) for c in ("items", "parity", "fine")])
 
 
 def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:

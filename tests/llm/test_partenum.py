@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from specimen.llm import partenum
-from specimen.llm.common import parity_sketches, written
+from specimen.llm.common import fine_sketches, parity_sketches, written
 from specimen.llm.groups import link_groups
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -213,3 +213,81 @@ def test_sets_no_pair_names_are_not_sent(spark):
     wanted = {i for pair in near for i in pair}
     assert wanted <= left and len(left) <= len(wanted) + 5
     assert got == {pair: n % 2 == 0 for n, pair in enumerate(near)}
+
+
+def large_sets(n_pairs=12):
+    """Sets of 700 to 6,000 items: (2i, 2i + 1) share a part that shrinks with i, others nothing."""
+    rng = np.random.default_rng(11)
+    sets = []
+    for i in range(n_pairs):
+        base = rng.choice(1 << 60, int(rng.integers(700, 6000)), replace=False)
+        lost = rng.random(len(base)) < (0.02 + 0.04 * i) / 2
+        sets += [np.sort(base), np.sort(np.append(base[~lost], rng.choice(1 << 60, int(lost.sum()))))]
+    sets += [rng.integers(0, 1 << 60, 300), rng.integers(0, 1 << 60, 0), rng.integers(0, 1 << 60, 1200)]
+    doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    return sets, doc, np.concatenate(sets), np.array([len(x) for x in sets])
+
+
+def test_fine_sketches_bound_the_difference_and_halve():
+    sets, doc, items, sizes = large_sets()
+    fine = fine_sketches(doc, items, sizes).to_pylist()
+    plain = parity_sketches(doc, items, len(sets)).to_pylist()
+    halves = lambda x, n: x if len(x) == n else halves([a ^ b for a, b in zip(x[:len(x) // 2], x[len(x) // 2:])], n)
+    bits = lambda x, y: sum(((a ^ b) & (1 << 64) - 1).bit_count() for a, b in zip(x, y))
+    for i, x in enumerate(fine):
+        assert (x is None) == (sizes[i] <= 512)
+        if x is not None:
+            assert 2 * sizes[i] <= 64 * len(x) < 4 * sizes[i] and halves(x, 16) == plain[i]
+    for i in range(0, 24, 2):
+        n = min(len(fine[i]), len(fine[i + 1]))
+        assert bits(halves(fine[i], n), halves(fine[i + 1], n)) <= len(np.setxor1d(sets[i], sets[i + 1]))
+    assert fine_sketches(doc[:0], items[:0], sizes[:0]).to_pylist() == []
+
+
+def test_large_sets_that_cannot_link_are_not_compared_in_full(spark):
+    """Sketches of 1,024 bits tell nothing of sets of thousands of items: fine ones end
+    pairs of unlike sets before their items are sent, and never one that links."""
+    from specimen.llm import groups
+    sets, doc, items, sizes = large_sets()
+    table = written(spark.createDataFrame(
+        list(zip(range(len(sets)), [x.tolist() for x in sets], parity_sketches(doc, items, len(sets)).to_pylist(),
+                 fine_sketches(doc, items, sizes).to_pylist())),
+        "id long, items array<long>, parity array<long>, fine array<long>"), "test-sets")
+    pairs = written(spark.createDataFrame([(i, j) for i in range(len(sets)) for j in range(i)], "a long, b long"), "test-pairs")
+    may = {(r.a, r.b): r.may for r in groups.possible(pairs, table, 80, 100).collect()}
+    linked = {(r.a, r.b) for r in groups.checked(pairs, table, 80, 100).filter("linked").collect()}
+    assert len(may) == len(sets) * (len(sets) - 1) // 2 and None not in may.values()
+    passed = {p for p, x in may.items() if x}
+    assert linked and linked <= passed
+    assert all(a - b == 1 and b % 2 == 0 for a, b in passed), passed - linked
+
+
+def test_groups_of_the_same_members_are_one(spark):
+    from specimen.llm import groups
+    rows = [(k, i) for k in range(40) for i in ((1, 2) if k % 2 else (2, 3, 5))] + [(90, 1), (90, 3), (91, 2), (91, 3)]
+    members = written(spark.createDataFrame(rows, "key long, id long"), "test-members")
+    got = {}
+    for r in groups._one_each(members).collect():
+        got.setdefault((r.key, r.n), []).append(r.id)
+    assert sorted(sorted(x) for x in got.values()) == [[1, 2], [1, 3], [2, 3], [2, 3, 5]]
+    assert all(n == len(x) for (_, n), x in got.items())
+
+
+def test_signatures_cross_the_exchange_in_32_bits():
+    """A row holds 32 bits of a signature; with its bucket they are the same of every
+    batch, also in the buckets of signatures that several sets share."""
+    rng = np.random.default_rng(12)
+    sig = np.repeat(rng.integers(-2**63, 2**63 - 1, 500), rng.integers(1, 4, 500))
+    node = rng.integers(-2**63, 2**63 - 1, len(sig))
+    keys = {}
+    for part in (slice(None, None, 2), slice(1, None, 2)):
+        batch = partenum._dealt(sig[part], node[part], 24)
+        assert str(batch.schema.field("sigs").type.value_type) == "int32"
+        for r in batch.to_pylist():
+            for n, (s, x) in enumerate(zip(r["sigs"], r["nodes"])):
+                home = r["bucket"] if r["homes"] is None else r["homes"][n]
+                keys.setdefault((home, s), set()).add(x)
+    wanted = {}
+    for s, x in zip(sig.tolist(), node.tolist()):
+        wanted.setdefault(s, set()).add(x)
+    assert sorted(map(sorted, keys.values())) == sorted(map(sorted, wanted.values()))
