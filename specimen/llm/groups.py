@@ -39,6 +39,8 @@ execution can split.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,6 +79,12 @@ def near(p: Column | str, m: Column | str, q: Column | str, n: Column | str, num
     return (den * F.least(m, n) >= num * F.greatest(m, n)) & (sum(bits[1:], bits[0]) * (den + num) <= (m + n) * (den - num))
 
 
+def _sketches(sets: DataFrame) -> DataFrame:
+    """(id, size, parity) and ``fine``, if there are any, of sets with items or with their ``size``."""
+    size = F.col("size") if "size" in sets.columns else F.size("items")
+    return sets.select("id", size.cast("long").alias("size"), *[c for c in ("parity", "fine") if c in sets.columns])
+
+
 def apart(p: str, q: str) -> Column:
     """Bits in which two sketches differ; of two lengths, the longer is halved."""
     short = F.least(F.size(p), F.size(q))
@@ -91,10 +99,11 @@ def apart(p: str, q: str) -> Column:
 def possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """``pairs`` (a, b) with ``may``: whether sizes and sketches let the sets be linked;
     fine sketches are compared where a set has one."""
+    sets = _sketches(sets)
     best = F.coalesce("fine", "parity") if "fine" in sets.columns else F.col("parity")
 
     def of(end: str, sketch: str, size: str) -> DataFrame:
-        return sets.select(F.col("id").alias(end), best.alias(sketch), F.size("items").cast("long").alias(size))
+        return sets.select(F.col("id").alias(end), best.alias(sketch), F.col("size").alias(size))
     both = pairs.join(of("a", "_p", "_m"), "a").join(of("b", "_q", "_n"), "b")
     coarse = (F.size("_p") == PARITY_BITS // 64) & (F.size("_q") == PARITY_BITS // 64)
     sized = den * F.least("_m", "_n") >= num * F.greatest("_m", "_n")  # so lengths differ by a factor of two at most
@@ -171,7 +180,7 @@ def _outside(rows: DataFrame, found: DataFrame, by: str, sets: DataFrame, num: i
     other classes, as roles, sizes and sketches allow.  Both sides of the join that
     meets them are read from a table, so a hot group can be split."""
     rows = rows.select(by, "id", "_c", "idx", "must").join(found.select(by, "_top"), by)
-    held = written(rows.join(sets.select("id", "parity", F.size("items").cast("long").alias("size")), "id"), "compared")
+    held = written(rows.join(_sketches(sets).select("id", "parity", "size"), "id"), "compared")
     one = held.filter(F.col("_c") != F.col("_top")).select(
         by, F.col("id").alias("lead"), F.col("_c").alias("_d"), F.col("idx").alias("_idx"), F.col("must").alias("_must"),
         F.col("parity").alias("_parity"), F.col("size").alias("_size"))
@@ -193,13 +202,16 @@ def _one_each(members: DataFrame) -> DataFrame:
     return few
 
 
-def link_groups(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame | None:
+def link_groups(members: DataFrame, sets: DataFrame, num: int, den: int,
+                items: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
     """Labels (node, label) of the classes that links inside the groups make; nodes
     without a link may be missing, None stands for no link at all.
 
     ``members``: distinct (key, id) of groups of two or more; ``sets``: (id, items,
     parity) with distinct items and their sketch, of every member, and ``fine`` sketches
-    if there are any.  Both are written tables."""
+    if there are any.  Both are written tables.  Where ``sets`` has no items but their
+    number, ``size``, ``items`` gives a written table (id, items) of the sets named in a
+    column ``id``, and maybe others: items are then made for the few sets that need them."""
     members = _one_each(members)
     mates = written(members.groupBy("id").agg(F.sum("n").alias("mates")), "mates")
     leads = written(members.join(mates, "id").groupBy("key").agg(
@@ -213,11 +225,16 @@ def link_groups(members: DataFrame, sets: DataFrame, num: int, den: int) -> Data
 
     def check(pairs: DataFrame) -> DataFrame:
         table = written(possible(pairs, sets, num, den), "pairs")
-        close = checked(table.filter("may").select("a", "b"), sets, num, den)
+        may = table.filter("may").select("a", "b")
+        full = of(may, "a", "b")
+        close = checked(may, full, num, den)
         out = written(close.unionByName(table.filter("not may").select("a", "b", F.lit(False).alias("linked"))), "tested")
-        drop_written(table)
+        drop_written(table, full if items else None)
         return out
 
+    def of(table: DataFrame, *columns: str) -> DataFrame:
+        return items(table.select(F.explode(F.array(*columns)).alias("id")).distinct()) if items else sets
+
     tested = check(_ordered(best))
     labels = _merged(None, tested)
 
@@ -242,7 +259,9 @@ def link_groups(members: DataFrame, sets: DataFrame, num: int, den: int) -> Data
         if step == SPLITS:
             return _merged(labels, check(across(pairs)))
         split = written(rows.join(found.filter(~small).select("g"), "g"), "split")
-        parts = written(_differences(split, sets, num, den), "parts")
+        full = of(split, "lead", "id")
+        parts = written(_differences(split, full, num, den), "parts")
+        drop_written(full if items else None)
         meeting = written(_class(_prefixes(parts), labels, "id", "_c"), "meeting")
         heads = written(_open(meeting, "key", [first]), "heads")
         pairs = pairs.union(_outside(meeting, heads.filter(small), "key", sets, num, den))

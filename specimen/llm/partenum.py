@@ -28,13 +28,14 @@ first at which either has enough parts, and there they share one.  After
 Sets with a signature in common form groups; ``groups.link_groups`` finds the
 links in them exactly, without the pairs of a group.
 
-Where the work is: three passes over the texts (names and sizes; signatures;
-shingles of the sets that share a signature), one exchange of (signature, name)
+Where the work is: passes over the texts (names and sizes; signatures; sketches of the
+sets that share a signature; and, two or three times, shingles of the few sets that
+sketches leave to be compared), one exchange of (signature, name)
 rows, sent as arrays by bucket of signatures.  A set's name is a 64-bit hash of its sorted shingle hashes, so copies are
 one node, whatever their ids.  Each task drops copies within its own batches and
 keeps one row of every signature that repeats there for the common group; its
 sets, known to be shared, are dealt over ``DEALS`` more keys, so that a hot group
-meets in the exchange as a row per batch.  The third pass skips texts by a bit
+meets in the exchange as a row per batch.  The later passes skip sets by a bit
 table of fixed size (2 ** ``BITS`` bits) over the names wanted; what it lets through
 in excess is more work only.
 
@@ -268,10 +269,16 @@ def _bit_table(ids: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
-def named_sets(docs: DataFrame, ids: DataFrame, bits: int = BITS) -> DataFrame:
-    """(id, items, parity, fine) of the sets named in ``ids`` (and few others): distinct shingle
-    hashes and their sketches."""
+ITEMS = {"items": "array<long>"}
+SKETCHES = {"size": "long", "parity": "array<long>", "fine": "array<long>"}
+
+
+def named_sets(docs: DataFrame, ids: DataFrame, columns: dict[str, str] = ITEMS | SKETCHES, bits: int = BITS) -> DataFrame:
+    """``id`` and ``columns`` of the sets named in ``ids`` (and few others): distinct shingle
+    hashes, their number and their sketches."""
     table = _bit_table(ids, bits)
+    if not table.any():
+        docs = docs.limit(0)  # no pass over the texts
 
     def run(batches):
         for batch in batches:
@@ -282,14 +289,16 @@ def named_sets(docs: DataFrame, ids: DataFrame, bits: int = BITS) -> DataFrame:
                 upto = np.append(0, np.cumsum(sizes[keep])).astype(np.int32)
                 use = keep[doc]
                 number = (np.cumsum(keep) - 1)[doc[use]]
-                parity = parity_sketches(number, shingle[use], int(keep.sum()))
-                fine = fine_sketches(number, shingle[use], sizes[keep])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[keep]), pa.ListArray.from_arrays(pa.array(upto), pa.array(shingle[use].view(np.int64))), parity, fine],
-                    names=["id", "items", "parity", "fine"])
+                made = {"id": pa.array(node[keep])}
+                if "items" in columns:
+                    made["items"] = pa.ListArray.from_arrays(pa.array(upto), pa.array(shingle[use].view(np.int64)))
+                if "size" in columns:
+                    made |= {"size": pa.array(sizes[keep], pa.int64()), "fine": fine_sketches(number, shingle[use], sizes[keep]),
+                             "parity": parity_sketches(number, shingle[use], int(keep.sum()))}
+                yield pa.RecordBatch.from_arrays([made[c] for c in ("id", *columns)], names=["id", *columns])
 
-    made = docs.select("text").mapInArrow(run, "id long, items array<long>, parity array<long>, fine array<long>")
-    return made.groupBy("id").agg(*[F.first(c).alias(c) for c in ("items", "parity", "fine")])
+    made = docs.select("text").mapInArrow(run, ", ".join(f"{c} {kind}" for c, kind in ({"id": "long"} | columns).items()))
+    return made.groupBy("id").agg(*[F.first(c).alias(c) for c in columns])
 
 
 def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -302,8 +311,8 @@ def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataF
     rows = written(docs.mapInArrow(_named, f"doc_id {kind}, node long, n_shingles long"), "names")
     members = written(candidate_groups(docs, num, den), "members")
     ids = written(members.select("id").distinct(), "wanted")
-    sets = written(named_sets(docs, ids), "sets")
-    labels = link_groups(members, sets, num, den)
+    sets = written(named_sets(docs, ids, SKETCHES), "sets")
+    labels = link_groups(members, sets, num, den, lambda some: written(named_sets(docs, some, ITEMS), "items"))
     drop_written(members, ids, sets)
     least = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     if labels is not None:

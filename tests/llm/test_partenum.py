@@ -291,3 +291,24 @@ def test_signatures_cross_the_exchange_in_32_bits():
     for s, x in zip(sig.tolist(), node.tolist()):
         wanted.setdefault(s, set()).add(x)
     assert sorted(map(sorted, keys.values())) == sorted(map(sorted, wanted.values()))
+
+
+def test_items_are_made_for_the_sets_that_need_them(spark, monkeypatch):
+    """Texts that share a passage are candidates, but only their sketches are written;
+    items are made for the sets of pairs that these leave open, and not read without any."""
+    rng = np.random.default_rng(13)
+    passage = [f"p{x}" for x in range(30)]
+    rows = [(i, " ".join([*passage, *(f"w{x}" for x in rng.integers(0, 10**9, 900))])) for i in range(60)]
+    rows += [(100, rows[3][1] + " more"), (101, rows[8][1] + " words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    made, plain = {}, partenum.written
+
+    def counted(df, name):
+        out = plain(df, name)
+        made.setdefault(name, []).append((out.count(), out.columns))
+        return out
+    monkeypatch.setattr(partenum, "written", counted)
+    assert joined(docs) == plain_join(rows)
+    assert made["sets"] == [(made["wanted"][0][0], ["id", "size", "parity", "fine"])]
+    assert all(columns == ["id", "items"] for _, columns in made["items"])
+    assert 4 <= sum(n for n, _ in made["items"]) <= 12, made
